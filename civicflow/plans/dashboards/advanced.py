@@ -1 +1,205 @@
-"""(filled in below)"""
+"""Advanced and advanced-analytics dashboards: search, revolving door,
+spend per head, budget tiers, influence network, budget ranking."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from civicflow.operators.ordering import asc, desc, rank_leq, top_k
+from civicflow.plans.common import Tables, addresses, entries, identities, labels
+from civicflow.plans.registry import query
+
+S = "advanced"
+SEARCH_TERM = "0000001"
+
+
+def like_escape(term: str) -> str:
+    """Escape LIKE wildcards so a search term matches literally."""
+    return term.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+
+
+@query("srch_name", section=S, term=SEARCH_TERM, oracle=f"""
+SELECT name_text AS name, identity AS kind, city
+FROM lobbyist_identity LEFT JOIN address ON address_id = address.id
+WHERE name_text ILIKE '%{SEARCH_TERM}%'
+ORDER BY name NULLS LAST, kind NULLS LAST, city NULLS LAST LIMIT 50""")
+def srch_name(t: Tables, term: str = "") -> DataFrame:
+    rows = (t["lobbyist_identity"]
+            .filter(F.col("name_text").ilike(f"%{like_escape(term)}%"))
+            .select("name_text", "identity", "address_id")
+            .join(addresses(t, "city"), "address_id", "left")
+            .select(F.col("name_text").alias("name"), F.col("identity").alias("kind"), "city"))
+    return top_k(rows, 50, asc("name"), asc("kind"), asc("city"))
+
+
+@query("rev_distribution", section=S, oracle="""
+SELECT gov_function_type, count(*) AS n FROM mv_revolving_door_network
+GROUP BY gov_function_type ORDER BY n DESC""")
+def rev_distribution(t: Tables) -> DataFrame:
+    return (t["mv_revolving_door_network"].groupBy("gov_function_type")
+            .agg(F.count(F.lit(1)).alias("n")).orderBy(desc("n"), asc("gov_function_type")))
+
+
+@query("rev_detail", section=S, oracle="""
+SELECT end_year_month AS gov_until, last_name || ', ' || first_name AS person,
+       organization_name AS organisation, role, gov_function_type AS former_office
+FROM mv_revolving_door_network
+ORDER BY end_year_month DESC NULLS FIRST, person NULLS LAST, organisation NULLS LAST, role NULLS LAST,
+         former_office NULLS LAST
+LIMIT 100""")
+def rev_detail(t: Tables) -> DataFrame:
+    rows = t["mv_revolving_door_network"].select(
+        F.col("end_year_month").alias("gov_until"),
+        F.concat("last_name", F.lit(", "), "first_name").alias("person"),
+        F.col("organization_name").alias("organisation"), "role",
+        F.col("gov_function_type").alias("former_office"))
+    return top_k(rows, 100, desc("gov_until"), asc("person"), asc("organisation"), asc("role"),
+                 asc("former_office"))
+
+
+@query("adv_spend_per_head", section=S, oracle="""
+SELECT li.name_text AS name,
+       CAST(fe.expenses_to_eur AS DOUBLE) / CAST(GREATEST(emp.employee_fte, 1.0) AS DOUBLE) AS spend_per_head
+FROM register_entry re
+JOIN lobbyist_identity li ON re.id = li.entry_id
+JOIN financial_expenses fe ON re.id = fe.entry_id
+JOIN employees_involved emp ON re.id = emp.entry_id
+WHERE fe.expenses_to_eur IS NOT NULL AND emp.employee_fte > 0
+ORDER BY spend_per_head DESC NULLS FIRST, name NULLS LAST LIMIT 15""")
+def adv_spend_per_head(t: Tables, k: int = 15) -> DataFrame:
+    """Top-k of expenses / max(fte, 1) over every (fiscal row, staff row) pair.
+
+    The ratio grows with the expense and shrinks with the head count, so the
+    global top-k pairs use only each entry's k largest expenses and k smallest
+    head counts: both sides are cut to k per entry (exact, not a sample)
+    before the pairs are formed.
+    """
+    w_fe = Window.partitionBy("entry_id").orderBy(F.col("expenses_to_eur").desc())
+    fe = (t["financial_expenses"].filter(F.col("expenses_to_eur").isNotNull())
+          .select("entry_id", "expenses_to_eur")
+          .withColumn("r", F.row_number().over(w_fe)).filter(F.col("r") <= k).drop("r"))
+    heads = F.greatest(F.col("employee_fte"), F.lit(1.0))
+    w_emp = Window.partitionBy("entry_id").orderBy(F.col("heads").asc())
+    emp = (t["employees_involved"].filter(F.col("employee_fte") > 0)
+           .select("entry_id", heads.cast("double").alias("heads"))
+           .withColumn("r", F.row_number().over(w_emp)).filter(F.col("r") <= k).drop("r"))
+    rows = (entries(t).join(identities(t, "name_text"), "entry_id")
+            .join(fe, "entry_id").join(emp, "entry_id")
+            .select(F.col("name_text").alias("name"),
+                    (F.col("expenses_to_eur").cast("double") / F.col("heads"))
+                    .alias("spend_per_head")))
+    return top_k(rows, k, desc("spend_per_head"), asc("name"))
+
+
+TIER_LOW = "Low Budget (<20k)"
+TIER_MID = "Mid Budget (20k-100k)"
+TIER_HIGH = "High Budget (100k-500k)"
+TIER_TOP = "Whales (>500k)"
+
+
+@query("adv_budget_tiers", section=S, oracle=f"""
+SELECT CASE WHEN expenses_to_eur < 20000 THEN '{TIER_LOW}'
+            WHEN expenses_to_eur < 100000 THEN '{TIER_MID}'
+            WHEN expenses_to_eur < 500000 THEN '{TIER_HIGH}'
+            ELSE '{TIER_TOP}' END AS budget_tier,
+       COUNT(*) AS value
+FROM financial_expenses WHERE expenses_to_eur IS NOT NULL
+GROUP BY budget_tier ORDER BY value DESC""")
+def adv_budget_tiers(t: Tables) -> DataFrame:
+    x = F.col("expenses_to_eur")
+    tier = (F.when(x < 20000, TIER_LOW).when(x < 100000, TIER_MID)
+            .when(x < 500000, TIER_HIGH).otherwise(TIER_TOP))
+    return (t["financial_expenses"].filter(x.isNotNull())
+            .groupBy(tier.alias("budget_tier")).agg(F.count(F.lit(1)).alias("value"))
+            .orderBy(desc("value")))
+
+
+def _influence_parts(t: Tables):
+    """Pieces of the client → contract → agency → ex-official chain.
+
+    Returns (clients, persons): clients = (entry_id, client) rows of contract
+    client organisations; persons = (identity_id, entry_id, agency, ep_person,
+    fn_id, via) rows, one per (entrusted person or legal representative) with
+    a function.  The OR join ``ep.fn = rgf.id OR lr.fn = rgf.id`` is split
+    into its two equi-join branches.
+    """
+    c = t["contracts"].select(F.col("id").alias("parent_id"), "entry_id")
+    ci = t["contract_item"].select(F.col("id").alias("contract_item_id"), "parent_id")
+    cc = t["contract_clients"].select(F.col("id").alias("clients_id"), "contract_item_id")
+    cco = t["contract_client_org"].select("clients_id", F.col("name").alias("client"))
+    clients = cco.join(cc, "clients_id").join(ci, "contract_item_id").join(c, "parent_id") \
+        .select("entry_id", "client")
+    li = entries(t).join(identities(t, F.col("name_text").alias("agency")), "entry_id")
+    ep = t["entrusted_person"].select(
+        "identity_id",
+        F.concat("last_name", F.lit(", "), "first_name").alias("ep_person"),
+        F.col("recent_gov_function_id").alias("ep_fn"))
+    lr = t["legal_representative"].select(
+        "identity_id", F.col("recent_gov_function_id").alias("lr_fn"))
+    rgf = t["recent_government_function"].select(F.col("id").alias("fn_id"),
+                                                 F.col("type_label_id").alias("label_id"))
+    return clients, li, ep, lr, rgf
+
+
+@query("adv_influence_network", section=S, oracle="""
+SELECT DISTINCT cco.name AS client, li.name_text AS agency,
+       COALESCE(ep.last_name || ', ' || ep.first_name, li.name_text) AS ex_politician,
+       cl.de AS former_function
+FROM contract_client_org cco
+JOIN contract_clients cc ON cco.clients_id = cc.id
+JOIN contract_item c_item ON cc.contract_item_id = c_item.id
+JOIN contracts c ON c_item.parent_id = c.id
+JOIN register_entry re ON c.entry_id = re.id
+JOIN lobbyist_identity li ON re.id = li.entry_id
+LEFT JOIN entrusted_person ep ON li.id = ep.identity_id
+LEFT JOIN legal_representative lr ON li.id = lr.identity_id
+JOIN recent_government_function rgf ON (ep.recent_gov_function_id = rgf.id OR lr.recent_gov_function_id = rgf.id)
+LEFT JOIN code_label cl ON rgf.type_label_id = cl.id
+WHERE rgf.id IS NOT NULL
+ORDER BY client NULLS LAST, agency NULLS LAST, ex_politician NULLS LAST, former_function NULLS LAST
+LIMIT 100""")
+def adv_influence_network(t: Tables, k: int | None = 100) -> DataFrame:
+    """DISTINCT (client, agency, ex-politician, former function).
+
+    Branch 1 (ep.fn = rgf.id): the entrusted person's own function; a row
+    exists whatever the legal representatives are (LEFT JOIN gives ≥ 1).
+    Branch 2 (lr.fn = rgf.id): the representative's function, shown with the
+    name of *every* entrusted person of the agency (or the agency name when
+    it has none).  Both are de-duplicated before clients are attached.
+    """
+    clients, li, ep, lr, rgf = _influence_parts(t)
+    b1 = (li.join(ep, "identity_id").join(rgf, F.col("ep_fn") == F.col("fn_id"))
+          .select("identity_id", "entry_id", "agency",
+                  F.coalesce("ep_person", "agency").alias("ex_politician"), "label_id"))
+    lr_fns = lr.join(rgf, F.col("lr_fn") == F.col("fn_id")).select("identity_id", "label_id") \
+        .distinct()
+    ep_names = li.join(ep, "identity_id", "left") \
+        .select("identity_id", "entry_id", "agency",
+                F.coalesce("ep_person", "agency").alias("ex_politician")).distinct()
+    b2 = ep_names.join(lr_fns, "identity_id") \
+        .select("identity_id", "entry_id", "agency", "ex_politician", "label_id")
+    people = (b1.unionByName(b2)
+              .join(labels(t, de="former_function"), "label_id", "left")
+              .select("entry_id", "agency", "ex_politician", "former_function").distinct())
+    rows = clients.distinct().join(people, "entry_id") \
+        .select("client", "agency", "ex_politician", "former_function").distinct()
+    if k is None:
+        return rows
+    return top_k(rows, k, asc("client"), asc("agency"), asc("ex_politician"),
+                 asc("former_function"))
+
+
+@query("adv_budget_rank", section=S, oracle="""
+SELECT rank, name AS organisation, expenses AS budget FROM (
+    SELECT COALESCE(li.name_text, li.company_name) AS name, fe.expenses_to_eur AS expenses,
+           RANK() OVER (ORDER BY fe.expenses_to_eur DESC NULLS LAST) AS rank
+    FROM financial_expenses fe JOIN lobbyist_identity li ON fe.entry_id = li.entry_id
+) ranked_stats WHERE rank <= 20 ORDER BY rank ASC""")
+def adv_budget_rank(t: Tables, k: int = 20) -> DataFrame:
+    rows = (t["financial_expenses"].select("entry_id", F.col("expenses_to_eur").alias("budget"))
+            .join(identities(t, "name_text", "company_name"), "entry_id")
+            .select(F.coalesce("name_text", "company_name").alias("organisation"), "budget"))
+    return (rank_leq(rows, "budget", k, "rank")
+            .withColumn("rank", F.col("rank").cast("long"))
+            .select("rank", "organisation", "budget").orderBy("rank", asc("organisation")))
