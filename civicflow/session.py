@@ -37,6 +37,9 @@ def build_session(master: str | None = None, app: str = "civicflow",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor.
+            builder = builder.config("spark.driver.memory", "16g")
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -1 +1,276 @@
-"""(filled in below)"""
+"""Ingest round trip as registered queries (SRC-1 … SRC-7, FLT-*, NRM-*).
+
+The register tables derived from the driver's data are nested into entry
+documents, cut into pages in which every entry appears twice, and sent
+through the whole ingest path: read pages → extract → merge metadata →
+de-duplicate → flatten → quarantine → label dimensions.  Each query
+projects one ingested table onto its natural columns (register number,
+ordinal, values); the oracle computes the same projection straight from the
+register tables, so equality proves the round trip.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from civicflow.operators.flatten import ENTRY
+from civicflow.plans.common import Tables
+from civicflow.plans.registry import query
+from civicflow.sources import pages as P
+from civicflow.sources.nest import nest_documents, pages_text
+from civicflow.session import shared_path
+from civicflow.sources.store import ingest_to, stage
+
+S = "ingest"
+SOURCE = "register-fixture"
+_memo: dict[int, tuple] = {}
+
+
+def ingested(t: Tables):
+    """(tables, entries) of the round trip, built once per table set."""
+    key = id(t)
+    if key not in _memo:
+        text = pages_text(nest_documents(t, SOURCE), copies=2)
+        entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(
+            P.pages_from_text(text))))
+        spark = entries.sparkSession
+        entries = stage(entries, "entries")
+        tables, _ = ingest_to(entries, shared_path(spark, "ingest", unique=True))
+        _memo[key] = (tables, entries)
+    return _memo[key]
+
+
+def _numbered(t: Tables, table: str) -> DataFrame:
+    tables, _ = ingested(t)
+    return tables[table].withColumnRenamed(ENTRY, "register_number")
+
+
+@query("src_dedupe", section=S, oracle=f"""
+SELECT register_number, '{SOURCE}' AS source FROM register_entry""")
+def src_dedupe(t: Tables) -> DataFrame:
+    """Every entry is landed twice; one survives per register number."""
+    _, entries = ingested(t)
+    return entries.select(F.col(ENTRY).alias("register_number"), F.col("e.source").alias("source"))
+
+
+@query("flt_register_entry", section=S, oracle=f"""
+SELECT register_number, '{SOURCE}' AS source, TIMESTAMP '2025-01-01 00:00:00' AS source_date
+FROM register_entry""")
+def flt_register_entry(t: Tables) -> DataFrame:
+    return ingested(t)[0]["register_entry"].select(
+        "register_number", "source", F.col("source_date").cast("timestamp_ntz").alias("source_date"))
+
+
+@query("flt_identity", section=S, oracle="""
+SELECT re.register_number, li.identity, li.last_name, li.first_name, li.name_text, li.company_name,
+       li.recent_gov_function_present, li.legal_form_text, a.city, a.zip_code,
+       cl.code AS country_code, lf.de AS legal_form_type, mc.total_count AS members_total
+FROM lobbyist_identity li JOIN register_entry re ON re.id = li.entry_id
+LEFT JOIN address a ON a.id = li.address_id
+LEFT JOIN country_label cl ON cl.id = a.country_id
+LEFT JOIN code_label lf ON lf.id = li.legal_form_type_label_id
+LEFT JOIN members_count mc ON mc.identity_id = li.id""")
+def flt_identity(t: Tables) -> DataFrame:
+    tb, _ = ingested(t)
+    a = tb["address"].select(F.col("id").alias("address_id"), "city", "zip_code", "country_id")
+    cl = tb["country_label"].select(F.col("id").alias("country_id"),
+                                    F.col("code").alias("country_code"))
+    lf = tb["code_label"].select(F.col("id").alias("legal_form_type_label_id"),
+                                 F.col("de").alias("legal_form_type"))
+    mc = tb["members_count"].select(F.col("identity_id").alias("id"),
+                                    F.col("total_count").alias("members_total"))
+    return (_numbered(t, "lobbyist_identity")
+            .join(a, "address_id", "left").join(cl, "country_id", "left")
+            .join(lf, "legal_form_type_label_id", "left").join(mc, "id", "left")
+            .select("register_number", "identity", "last_name", "first_name", "name_text",
+                    "company_name", "recent_gov_function_present", "legal_form_text", "city",
+                    "zip_code", "country_code", "legal_form_type", "members_total"))
+
+
+def _person_oracle(table: str, present: str) -> str:
+    return f"""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY p.identity_id ORDER BY p.id) AS INTEGER) AS ordinal,
+       p.last_name, p.first_name, {present} AS gov_present, rgf.end_year_month AS gov_until,
+       rgf.ended AS gov_ended, cl.de AS gov_type, h.function_position
+FROM {table} p JOIN lobbyist_identity li ON li.id = p.identity_id
+JOIN register_entry re ON re.id = li.entry_id
+LEFT JOIN recent_government_function rgf ON rgf.id = p.recent_gov_function_id
+LEFT JOIN code_label cl ON cl.id = rgf.type_label_id
+LEFT JOIN recent_gov_house_reps h ON h.recent_gov_fn_id = rgf.id"""
+
+
+def _persons(t: Tables, table: str, present) -> DataFrame:
+    tb, _ = ingested(t)
+    rgf = tb["recent_government_function"].select(
+        F.col("id").alias("recent_gov_function_id"), F.col("end_year_month").alias("gov_until"),
+        F.col("ended").alias("gov_ended"), F.col("type_label_id"))
+    cl = tb["code_label"].select(F.col("id").alias("type_label_id"), F.col("de").alias("gov_type"))
+    house = tb["recent_gov_house_reps"].select(F.col("recent_gov_fn_id")
+                                               .alias("recent_gov_function_id"),
+                                               "function_position")
+    return (_numbered(t, table).join(rgf, "recent_gov_function_id", "left")
+            .join(cl, "type_label_id", "left").join(house, "recent_gov_function_id", "left")
+            .select("register_number", "ordinal", "last_name", "first_name",
+                    present.alias("gov_present"), "gov_until", "gov_ended", "gov_type",
+                    "function_position"))
+
+
+@query("flt_entrusted_person", section=S,
+       oracle=_person_oracle("entrusted_person", "p.recent_gov_function_present"))
+def flt_entrusted_person(t: Tables) -> DataFrame:
+    return _persons(t, "entrusted_person", F.col("recent_gov_function_present"))
+
+
+@query("flt_legal_representative", section=S,
+       oracle=_person_oracle("legal_representative", "p.recent_gov_function_id IS NOT NULL"))
+def flt_legal_representative(t: Tables) -> DataFrame:
+    return _persons(t, "legal_representative", F.col("recent_gov_function_id").isNotNull())
+
+
+@query("flt_field_of_interest", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY foi.activities_id ORDER BY foi.id) AS INTEGER) AS ordinal,
+       cl.de AS topic, foi.field_of_interest_text
+FROM field_of_interest foi JOIN activities_interests ai ON ai.id = foi.activities_id
+JOIN register_entry re ON re.id = ai.entry_id
+LEFT JOIN code_label cl ON cl.id = foi.label_id""")
+def flt_field_of_interest(t: Tables) -> DataFrame:
+    cl = ingested(t)[0]["code_label"].select(F.col("id").alias("label_id"),
+                                             F.col("de").alias("topic"))
+    return (_numbered(t, "field_of_interest").join(cl, "label_id", "left")
+            .select("register_number", "ordinal", "topic", "field_of_interest_text"))
+
+
+@query("flt_financial_expenses", section=S, oracle="""
+SELECT register_number, refuse_info, refuse_reason, fiscal_year_start_ym, related_year_start,
+       related_year_end, expenses_from_eur, expenses_to_eur FROM (
+  SELECT re.register_number, fe.*, row_number() OVER (PARTITION BY fe.entry_id
+         ORDER BY fe.fiscal_year_start_ym DESC, fe.id DESC) AS r
+  FROM financial_expenses fe JOIN register_entry re ON re.id = fe.entry_id) x
+WHERE r = 1""")
+def flt_financial_expenses(t: Tables) -> DataFrame:
+    return _numbered(t, "financial_expenses").select(
+        "register_number", "refuse_info", "refuse_reason", "fiscal_year_start_ym",
+        "related_year_start", "related_year_end", "expenses_from_eur", "expenses_to_eur")
+
+
+@query("flt_donator_item", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY di.parent_id ORDER BY di.id) AS INTEGER) AS ordinal,
+       di.name, di.amount_to_eur, di.description, d.info_present, d.refuse_info
+FROM donator_item di JOIN donators d ON d.id = di.parent_id
+JOIN register_entry re ON re.id = d.entry_id""")
+def flt_donator_item(t: Tables) -> DataFrame:
+    d = ingested(t)[0]["donators"].select(F.col("id").alias("parent_id"), "info_present",
+                                          "refuse_info")
+    return (_numbered(t, "donator_item").join(d, "parent_id")
+            .select("register_number", "ordinal", "name", "amount_to_eur", "description",
+                    "info_present", "refuse_info"))
+
+
+@query("flt_public_allowance_item", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY pa.parent_id ORDER BY pa.id) AS INTEGER) AS ordinal,
+       pa.name, cl.de AS allowance_type, pa.location, pa.amount_to_eur, pa.description
+FROM public_allowance_item pa JOIN public_allowances p ON p.id = pa.parent_id
+JOIN register_entry re ON re.id = p.entry_id
+LEFT JOIN code_label cl ON cl.id = pa.type_label_id""")
+def flt_public_allowance_item(t: Tables) -> DataFrame:
+    cl = ingested(t)[0]["code_label"].select(F.col("id").alias("type_label_id"),
+                                             F.col("de").alias("allowance_type"))
+    return (_numbered(t, "public_allowance_item").join(cl, "type_label_id", "left")
+            .select("register_number", "ordinal", "name", "allowance_type", "location",
+                    "amount_to_eur", "description"))
+
+
+@query("flt_regulatory_project_item", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY rpi.parent_id ORDER BY rpi.id) AS INTEGER) AS ordinal,
+       rpi.title, db.title AS draft_title, db.publication_date,
+       (SELECT COUNT(*) FROM reg_project_field_of_interest f WHERE f.project_item_id = rpi.id) AS topics,
+       (SELECT COUNT(*) FROM reg_project_printed_matter m WHERE m.project_item_id = rpi.id) AS printed_matters
+FROM regulatory_project_item rpi JOIN regulatory_projects rp ON rp.id = rpi.parent_id
+JOIN register_entry re ON re.id = rp.entry_id
+LEFT JOIN draft_bill db ON db.project_item_id = rpi.id""")
+def flt_regulatory_project_item(t: Tables) -> DataFrame:
+    tb, _ = ingested(t)
+    db = tb["draft_bill"].select(F.col("project_item_id").alias("id"),
+                                 F.col("title").alias("draft_title"), "publication_date")
+    nf = tb["reg_project_field_of_interest"].groupBy(F.col("project_item_id").alias("id")) \
+        .agg(F.count(F.lit(1)).alias("topics"))
+    nm = tb["reg_project_printed_matter"].groupBy(F.col("project_item_id").alias("id")) \
+        .agg(F.count(F.lit(1)).alias("printed_matters"))
+    return (_numbered(t, "regulatory_project_item").join(db, "id", "left")
+            .join(nf, "id", "left").join(nm, "id", "left")
+            .select("register_number", "ordinal", "title", "draft_title", "publication_date",
+                    F.coalesce(F.col("topics"), F.lit(0)).alias("topics"),
+                    F.coalesce(F.col("printed_matters"), F.lit(0)).alias("printed_matters")))
+
+
+@query("flt_statement_item", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY si.parent_id ORDER BY si.id) AS INTEGER) AS ordinal,
+       si.regulatory_project_title, si.text_body, si.sending_date, s.statements_count
+FROM statement_item si JOIN statements s ON s.id = si.parent_id
+JOIN register_entry re ON re.id = s.entry_id""")
+def flt_statement_item(t: Tables) -> DataFrame:
+    s = ingested(t)[0]["statements"].select(F.col("id").alias("parent_id"), "statements_count")
+    return (_numbered(t, "statement_item").join(s, "parent_id")
+            .select("register_number", "ordinal", "regulatory_project_title", "text_body",
+                    "sending_date", "statements_count"))
+
+
+@query("flt_contract_item", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY ci.parent_id ORDER BY ci.id) AS INTEGER) AS ordinal,
+       ci.description,
+       (SELECT COUNT(*) FROM contract_field_of_interest f WHERE f.contract_item_id = ci.id) AS topics,
+       (SELECT COUNT(*) FROM contract_client_org o JOIN contract_clients c ON c.id = o.clients_id
+         WHERE c.contract_item_id = ci.id) AS client_orgs,
+       (SELECT COUNT(*) FROM contractor_org o JOIN contract_contractors c ON c.id = o.contractors_id
+         WHERE c.contract_item_id = ci.id) AS contractor_orgs
+FROM contract_item ci JOIN contracts c ON c.id = ci.parent_id
+JOIN register_entry re ON re.id = c.entry_id""")
+def flt_contract_item(t: Tables) -> DataFrame:
+    tb, _ = ingested(t)
+
+    def per_item(df: DataFrame, link: str, parent: str, name: str) -> DataFrame:
+        wrap = tb[link].select(F.col("id").alias(parent), F.col("contract_item_id").alias("id"))
+        return df.select(parent).join(wrap, parent).groupBy("id") \
+            .agg(F.count(F.lit(1)).alias(name))
+    nf = tb["contract_field_of_interest"].groupBy(F.col("contract_item_id").alias("id")) \
+        .agg(F.count(F.lit(1)).alias("topics"))
+    nc = per_item(tb["contract_client_org"], "contract_clients", "clients_id", "client_orgs")
+    no = per_item(tb["contractor_org"], "contract_contractors", "contractors_id",
+                  "contractor_orgs")
+    return (_numbered(t, "contract_item").join(nf, "id", "left").join(nc, "id", "left")
+            .join(no, "id", "left")
+            .select("register_number", "ordinal", "description",
+                    *[F.coalesce(F.col(c), F.lit(0)).alias(c)
+                      for c in ("topics", "client_orgs", "contractor_orgs")]))
+
+
+@query("flt_code_label", section=S, oracle="""
+SELECT DISTINCT cl.domain, cl.code, cl.de FROM code_label cl
+WHERE cl.domain = 'field_of_interest' AND cl.id IN (
+    SELECT label_id FROM field_of_interest UNION SELECT label_id FROM reg_project_field_of_interest
+    UNION SELECT label_id FROM contract_field_of_interest)""")
+def flt_code_label(t: Tables) -> DataFrame:
+    return (ingested(t)[0]["code_label"].filter(F.col("domain") == "field_of_interest")
+            .select("domain", "code", "de"))
+
+
+@query("flt_account_versions", section=S, oracle="""
+SELECT re.register_number, ad.active_lobbyist, ad.account_has_codex_violations,
+       ad.first_publication_date,
+       (SELECT COUNT(*) FROM account_register_entry_version v WHERE v.account_id = ad.id) AS versions,
+       (SELECT MAX(v.version) FROM account_register_entry_version v WHERE v.account_id = ad.id) AS last_version,
+       (SELECT COUNT(*) FROM codex_violation v WHERE v.account_id = ad.id) AS violations
+FROM account_details ad JOIN register_entry re ON re.id = ad.entry_id""")
+def flt_account_versions(t: Tables) -> DataFrame:
+    tb, _ = ingested(t)
+    v = tb["account_register_entry_version"].groupBy(F.col("account_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("versions"), F.max("version").alias("last_version"))
+    cv = tb["codex_violation"].groupBy(F.col("account_id").alias("id")) \
+        .agg(F.count(F.lit(1)).alias("violations"))
+    return (_numbered(t, "account_details").join(v, "id", "left").join(cv, "id", "left")
+            .select("register_number", "active_lobbyist", "account_has_codex_violations",
+                    F.col("first_publication_date").cast("timestamp_ntz")
+                    .alias("first_publication_date"),
+                    F.coalesce(F.col("versions"), F.lit(0)).alias("versions"), "last_version",
+                    F.coalesce(F.col("violations"), F.lit(0)).alias("violations")))
