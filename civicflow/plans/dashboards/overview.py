@@ -124,9 +124,11 @@ def ov_client_landscape(t: Tables) -> DataFrame:
         F.count_if(F.col("clients_present")).cast("double").alias("Entries with listed clients"),
         F.avg(F.coalesce(F.col("clients_count"), F.lit(0))).cast("double")
         .alias("Average clients per entry"))
-    orgs = t["client_org"].agg(F.count(F.lit(1)).cast("double").alias("Total client organisations"))
-    persons = t["client_person"].agg(F.count(F.lit(1)).cast("double").alias("Total client persons"))
-    one = ci.crossJoin(orgs).crossJoin(persons)  # three single-row aggregates
+    # The two other counts are scalar subqueries: evaluated once, inlined.
+    orgs = t["client_org"].agg(F.count(F.lit(1)).cast("double")).scalar()
+    persons = t["client_person"].agg(F.count(F.lit(1)).cast("double")).scalar()
+    one = ci.select("*", orgs.alias("Total client organisations"),
+                    persons.alias("Total client persons"))
     return (one.select(F.expr(
         "stack(4, 'Entries with listed clients', `Entries with listed clients`, "
         "'Total client organisations', `Total client organisations`, "

@@ -45,6 +45,6 @@ def load_all() -> dict[str, QuerySpec]:
     from civicflow.plans import benchmark, reports, stress, views  # noqa: F401
     from civicflow.plans.dashboards import (  # noqa: F401
         advanced, city, compliance, finance, geo, legislation, market,
-        optimized, organization, overview, party)
+        optimized, organization, overview, parameters, party)
     from civicflow.sources import ingest_queries  # noqa: F401
     return REGISTRY

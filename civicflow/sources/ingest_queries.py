@@ -28,21 +28,21 @@ _memo: dict[int, tuple] = {}
 
 
 def ingested(t: Tables):
-    """(tables, entries) of the round trip, built once per table set."""
+    """(tables, entries, pages) of the round trip, built once per table set."""
     key = id(t)
     if key not in _memo:
         text = pages_text(nest_documents(t, SOURCE), copies=2)
-        entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(
-            P.pages_from_text(text))))
+        pages = stage(P.pages_from_text(text), "pages")
+        entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(pages)))
         spark = entries.sparkSession
         entries = stage(entries, "entries")
         tables, _ = ingest_to(entries, shared_path(spark, "ingest", unique=True))
-        _memo[key] = (tables, entries)
+        _memo[key] = (tables, entries, pages)
     return _memo[key]
 
 
 def _numbered(t: Tables, table: str) -> DataFrame:
-    tables, _ = ingested(t)
+    tables = ingested(t)[0]
     return tables[table].withColumnRenamed(ENTRY, "register_number")
 
 
@@ -50,7 +50,7 @@ def _numbered(t: Tables, table: str) -> DataFrame:
 SELECT register_number, '{SOURCE}' AS source FROM register_entry""")
 def src_dedupe(t: Tables) -> DataFrame:
     """Every entry is landed twice; one survives per register number."""
-    _, entries = ingested(t)
+    entries = ingested(t)[1]
     return entries.select(F.col(ENTRY).alias("register_number"), F.col("e.source").alias("source"))
 
 
@@ -72,7 +72,7 @@ LEFT JOIN country_label cl ON cl.id = a.country_id
 LEFT JOIN code_label lf ON lf.id = li.legal_form_type_label_id
 LEFT JOIN members_count mc ON mc.identity_id = li.id""")
 def flt_identity(t: Tables) -> DataFrame:
-    tb, _ = ingested(t)
+    tb = ingested(t)[0]
     a = tb["address"].select(F.col("id").alias("address_id"), "city", "zip_code", "country_id")
     cl = tb["country_label"].select(F.col("id").alias("country_id"),
                                     F.col("code").alias("country_code"))
@@ -101,7 +101,7 @@ LEFT JOIN recent_gov_house_reps h ON h.recent_gov_fn_id = rgf.id"""
 
 
 def _persons(t: Tables, table: str, present) -> DataFrame:
-    tb, _ = ingested(t)
+    tb = ingested(t)[0]
     rgf = tb["recent_government_function"].select(
         F.col("id").alias("recent_gov_function_id"), F.col("end_year_month").alias("gov_until"),
         F.col("ended").alias("gov_ended"), F.col("type_label_id"))
@@ -190,7 +190,7 @@ FROM regulatory_project_item rpi JOIN regulatory_projects rp ON rp.id = rpi.pare
 JOIN register_entry re ON re.id = rp.entry_id
 LEFT JOIN draft_bill db ON db.project_item_id = rpi.id""")
 def flt_regulatory_project_item(t: Tables) -> DataFrame:
-    tb, _ = ingested(t)
+    tb = ingested(t)[0]
     db = tb["draft_bill"].select(F.col("project_item_id").alias("id"),
                                  F.col("title").alias("draft_title"), "publication_date")
     nf = tb["reg_project_field_of_interest"].groupBy(F.col("project_item_id").alias("id")) \
@@ -227,7 +227,7 @@ SELECT re.register_number, CAST(row_number() OVER (PARTITION BY ci.parent_id ORD
 FROM contract_item ci JOIN contracts c ON c.id = ci.parent_id
 JOIN register_entry re ON re.id = c.entry_id""")
 def flt_contract_item(t: Tables) -> DataFrame:
-    tb, _ = ingested(t)
+    tb = ingested(t)[0]
 
     def per_item(df: DataFrame, link: str, parent: str, name: str) -> DataFrame:
         wrap = tb[link].select(F.col("id").alias(parent), F.col("contract_item_id").alias("id"))
@@ -263,7 +263,7 @@ SELECT re.register_number, ad.active_lobbyist, ad.account_has_codex_violations,
        (SELECT COUNT(*) FROM codex_violation v WHERE v.account_id = ad.id) AS violations
 FROM account_details ad JOIN register_entry re ON re.id = ad.entry_id""")
 def flt_account_versions(t: Tables) -> DataFrame:
-    tb, _ = ingested(t)
+    tb = ingested(t)[0]
     v = tb["account_register_entry_version"].groupBy(F.col("account_id").alias("id")).agg(
         F.count(F.lit(1)).alias("versions"), F.max("version").alias("last_version"))
     cv = tb["codex_violation"].groupBy(F.col("account_id").alias("id")) \
@@ -274,3 +274,12 @@ def flt_account_versions(t: Tables) -> DataFrame:
                     .alias("first_publication_date"),
                     F.coalesce(F.col("versions"), F.lit(0)).alias("versions"), "last_version",
                     F.coalesce(F.col("violations"), F.lit(0)).alias("violations")))
+
+
+@query("src_reconcile", section=S, oracle="""
+SELECT COUNT(*) AS expected, COUNT(*) AS processed, 0 AS missing FROM register_entry""")
+def src_reconcile(t: Tables) -> DataFrame:
+    """SRC-8: the total the pages announce against the entries processed."""
+    _, entries, pages = ingested(t)
+    return P.reconcile_totals(entries, pages).select(
+        "expected", "processed", F.col("missing").cast("int").alias("missing"))

@@ -313,18 +313,20 @@ def pages_text(docs: DataFrame, page_size: int = 100, copies: int = 1) -> DataFr
     de-duplication must remove.
     """
     n = docs.select("registerNumber", "json")
-    buckets = F.pmod(F.xxhash64("registerNumber"), F.lit(1 << 30))
-    parts = []
-    for k in range(copies):
-        parts.append(n.select(
-            F.format_string("page-%02d-%010d", F.lit(k), (buckets / page_size).cast("long"))
-            .alias("_page"), "json"))
+    # The API states the total on every page; it is a scalar subquery.
+    total = n.agg(F.count(F.lit(1))).scalar()
+    pages = F.greatest(F.ceil(total / F.lit(page_size)), F.lit(1))
+    bucket = F.pmod(F.xxhash64("registerNumber"), pages)
+    parts = [n.select(F.format_string("page-%02d-%010d", F.lit(k), bucket).alias("_page"), "json")
+             for k in range(copies)]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return (rows.groupBy("_page")
-            .agg(F.concat(F.lit('{"source":"register-fixture","resultCount":'),
-                          F.count(F.lit(1)).cast("string"),
-                          F.lit(',"results":['),
-                          F.concat_ws(",", F.sort_array(F.collect_list("json"))),
-                          F.lit("]}")).alias("value")))
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.concat_ws(",", F.sort_array(F.collect_list("json"))).alias("body"))
+            .select("_page", F.concat(F.lit('{"source":"register-fixture","resultCount":'),
+                                      F.col("n").cast("string"),
+                                      F.lit(',"totalResultCount":'), total.cast("string"),
+                                      F.lit(',"results":['), F.col("body"),
+                                      F.lit("]}")).alias("value")))

@@ -105,8 +105,7 @@ def reconcile_totals(entries: DataFrame, stats: DataFrame | None = None) -> Data
     names = set(stats.columns)
     cands = [F.col(c).cast("long") for c in ("totalResultCount", "totalCount",
                                                "registerEntriesTotalCount") if c in names]
-    expected = stats.select(F.coalesce(*cands).alias("expected")).limit(1) if cands else \
-        stats.select(F.lit(None).cast("long").alias("expected")).limit(1)
-    # One row × one row.
-    return expected.crossJoin(processed) \
+    expected = (stats.select(F.coalesce(*cands).alias("expected"))
+                .agg(F.max("expected")).scalar()) if cands else F.lit(None).cast("long")
+    return processed.select(expected.alias("expected"), "processed") \
         .withColumn("missing", F.col("expected") - F.col("processed"))
