@@ -124,3 +124,29 @@ def test_stream_ingest_applies_batches(spark):
     cur = current_tables(spark, out + "/store")
     got = sorted((r["_entry"], r["name"]) for r in cur["donator_item"].collect())
     assert got == [("R1", "c"), ("R2", "d")]
+
+
+def test_seed_enums(spark):
+    from civicflow.sources.store import seed_enums
+    enums = seed_enums(spark)
+    assert sorted(r["code"] for r in enums["activity_operation_type"].collect()) == \
+        ["BOTH", "MANDATE_OPERATED", "SELF_OPERATED"]
+    assert len(enums) == 4
+
+
+def test_reconcile_totals(spark):
+    docs = [("p1", json.dumps({**META, "totalResultCount": 3,
+                               "results": [_entry("R1"), _entry("R2")]}))]
+    pages = _pages(spark, docs)
+    entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(pages)))
+    r = P.reconcile_totals(entries, pages).first()
+    assert (r["expected"], r["processed"], r["missing"]) == (3, 2, 1)
+
+
+def test_search_term_is_escaped(spark):
+    from civicflow.plans.dashboards.advanced import like_escape
+    df = spark.createDataFrame([("100% sure",), ("1000 sure",), ("a_b",), ("ab",)], "n string")
+    hits = lambda term: sorted(r["n"] for r in
+                               df.filter(F.col("n").ilike(f"%{like_escape(term)}%")).collect())
+    assert hits("0%") == ["100% sure"]
+    assert hits("a_b") == ["a_b"]
