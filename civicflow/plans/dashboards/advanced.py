@@ -3,10 +3,10 @@ spend per head, budget tiers, influence network, budget ranking."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.operators.ordering import asc, desc, rank_leq, top_k
+from civicflow.operators.ordering import asc, desc, rank_leq, top_k, top_k_per_group
 from civicflow.plans.common import Tables, addresses, entries, identities, labels
 from civicflow.plans.registry import query
 
@@ -75,15 +75,15 @@ def adv_spend_per_head(t: Tables, k: int = 15) -> DataFrame:
     head counts: both sides are cut to k per entry (exact, not a sample)
     before the pairs are formed.
     """
-    w_fe = Window.partitionBy("entry_id").orderBy(F.col("expenses_to_eur").desc())
-    fe = (t["financial_expenses"].filter(F.col("expenses_to_eur").isNotNull())
-          .select("entry_id", "expenses_to_eur")
-          .withColumn("r", F.row_number().over(w_fe)).filter(F.col("r") <= k).drop("r"))
-    heads = F.greatest(F.col("employee_fte"), F.lit(1.0))
-    w_emp = Window.partitionBy("entry_id").orderBy(F.col("heads").asc())
-    emp = (t["employees_involved"].filter(F.col("employee_fte") > 0)
-           .select("entry_id", heads.cast("double").alias("heads"))
-           .withColumn("r", F.row_number().over(w_emp)).filter(F.col("r") <= k).drop("r"))
+    fe = top_k_per_group(
+        t["financial_expenses"].filter(F.col("expenses_to_eur").isNotNull())
+        .select("entry_id", "expenses_to_eur"),
+        ["entry_id"], k, F.col("expenses_to_eur").desc())
+    heads = F.greatest(F.col("employee_fte"), F.lit(1.0)).cast("double")
+    emp = top_k_per_group(
+        t["employees_involved"].filter(F.col("employee_fte") > 0)
+        .select("entry_id", heads.alias("heads")),
+        ["entry_id"], k, F.col("heads").asc())
     rows = (entries(t).join(identities(t, "name_text"), "entry_id")
             .join(fe, "entry_id").join(emp, "entry_id")
             .select(F.col("name_text").alias("name"),

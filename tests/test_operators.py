@@ -32,3 +32,16 @@ def test_name_network_matches_pair_join(tables):
              .select(F.col("li.entry_id"), F.col("li.last_name")).distinct())
     assert sorted(map(tuple, cx_name_network(tables).collect())) == \
         sorted(map(tuple, brute.collect()))
+
+
+def test_top_k_per_group_matches_row_number(spark):
+    from civicflow.operators.ordering import top_k_per_group
+    rnd = random.Random(3)
+    rows = [(rnd.choice([1, 1, 1, 1, 2, 3]), rnd.randint(0, 50), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, v int, i int")
+    fast = sorted(map(tuple, top_k_per_group(df, ["g"], 5, F.col("v").desc(),
+                                             F.col("i")).collect()))
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("i"))
+    slow = sorted(map(tuple, df.withColumn("r", F.row_number().over(w))
+                      .filter(F.col("r") <= 5).drop("r").collect()))
+    assert fast == slow
