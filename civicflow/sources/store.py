@@ -174,11 +174,23 @@ def merge_labels(old: DataFrame | None, new: DataFrame | None) -> DataFrame | No
         .select(*old.columns)
 
 
-def write_tables(tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
-    """SRC-9: one parquet directory per table (typed, with ``_entry``)."""
-    for name, df in tables.items():
-        if df is not None:
-            df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+def write_tables(tables: dict[str, DataFrame], path: str, mode: str = "overwrite",
+                 parallel: int = 8) -> None:
+    """SRC-9: one parquet directory per table (typed, with ``_entry``).
+
+    The tables are independent jobs; submitting several at once keeps the
+    cluster busy while small tables finish (Spark schedules concurrent jobs
+    from different threads).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
+        df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+
+    todo = [(n, d) for n, d in tables.items() if d is not None]
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(write, todo))
 
 
 def read_tables(spark: SparkSession, path: str, names) -> dict[str, DataFrame]:
