@@ -59,14 +59,15 @@ class Flattener:
     contacts: list[DataFrame] = field(default_factory=list)
     gov_functions: list[DataFrame] = field(default_factory=list)
     labels: list[DataFrame] = field(default_factory=list)
-    rejects: list[DataFrame] = field(default_factory=list)
+    rejects: dict[int, tuple[DataFrame, list]] = field(default_factory=dict)
 
     # ------------------------------------------------------------ helpers
     def emit(self, table: str, df: DataFrame) -> None:
         self.tables.setdefault(table, []).append(df)
 
     def reject(self, df: DataFrame, cond: Column, rule: str) -> None:
-        self.rejects.append(df.filter(cond).select(ENTRY, F.lit(rule).alias("rule")))
+        # Checks are grouped per source DataFrame and evaluated in one pass.
+        self.rejects.setdefault(id(df), (df, []))[1].append((cond, rule))
 
     def label(self, df: DataFrame, domain: str, obj: Column, site: int, *ords) -> Column:
         """Record a label use; return its id column expression."""
@@ -933,5 +934,7 @@ def flatten_entries(docs: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, D
     tables = {name: conform(_union(parts), name).select(*[c for c, *_ in TABLES[name]], ENTRY)
               for name, parts in f.tables.items()}
     uses = _union(f.labels)
-    rejects = _union(f.rejects) if f.rejects else None
+    from civicflow.sources.store import violations
+    rejects = _union([violations(df, checks) for df, checks in f.rejects.values()]) \
+        if f.rejects else None
     return tables, uses, rejects

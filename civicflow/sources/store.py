@@ -7,7 +7,7 @@ per-occurrence dimensions alike — with one anti join per table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators.flatten import ENTRY, flatten_entries, label_dimensions
@@ -24,24 +24,34 @@ def seed_enums(spark: SparkSession) -> dict[str, DataFrame]:
             for name, codes in ENUMS.items()}
 
 
-def schema_rejects(tables: dict[str, DataFrame]) -> DataFrame | None:
-    """§1.7 rules derived from the schema: NOT NULL columns and enum codes.
+def violations(df: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
+    """(entry, rule) for every check a row fails — one pass over ``df``.
 
-    One narrow filter per table; the union of (entry, rule) rows is small.
+    All checks of a table are evaluated in one projection (an array of the
+    failed rule names, exploded), not one filtered scan per rule.
     """
+    failed = F.filter(F.array(*[F.when(cond, F.lit(rule)) for cond, rule in checks]),
+                      lambda x: x.isNotNull())
+    return df.select(ENTRY, F.explode(failed).alias("rule"))
+
+
+def schema_rejects(tables: dict[str, DataFrame]) -> DataFrame | None:
+    """§1.7 rules derived from the schema: NOT NULL columns and enum codes."""
     parts = []
     for name, df in tables.items():
         if name in LABEL_TABLES or name not in TABLES:
             continue
+        checks = []
         for col, _, nullable, ref in TABLES[name]:
             if col == "id":
                 continue
             if not nullable:
-                parts.append(df.filter(F.col(col).isNull())
-                             .select(ENTRY, F.lit(f"{name}.{col} is NULL").alias("rule")))
+                checks.append((F.col(col).isNull(), f"{name}.{col} is NULL"))
             if ref in ENUMS:
-                parts.append(df.filter(F.col(col).isNotNull() & ~F.col(col).isin(ENUMS[ref]))
-                             .select(ENTRY, F.lit(f"{name}.{col} not in {ref}").alias("rule")))
+                checks.append((F.col(col).isNotNull() & ~F.col(col).isin(ENUMS[ref]),
+                               f"{name}.{col} not in {ref}"))
+        if checks:
+            parts.append(violations(df, checks))
     if not parts:
         return None
     out = parts[0]
