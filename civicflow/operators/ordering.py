@@ -79,3 +79,37 @@ def top_k_per_group(df: DataFrame, keys: list[str], k: int, *order: Column,
             .withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k)
             .withColumn("__r", F.row_number().over(w2)).filter(F.col("__r") <= k)
             .drop("__salt", "__r"))
+
+
+def lag_by(df: DataFrame, key: str, order: list[str], value: str, alias: str,
+           parts: int | None = None) -> DataFrame:
+    """``LAG(value) OVER (PARTITION BY key ORDER BY order)``, exact and skew-safe.
+
+    ``order`` must make rows unique within a key (end it with an id).  A plain
+    window sorts each key in one task; here
+
+    1. the rows are range-partitioned on (key, order) — a hot key is split
+       over several consecutive partitions — and numbered inside each
+       (partition, key) slice;
+    2. slice sizes (one row per slice) give each slice its offset within the
+       key, so every row gets its global position ``rn`` in the key;
+    3. the previous value is an equi join on (key, rn - 1), which hashes on
+       both columns and spreads a hot key over all tasks.
+    """
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, key, *order).withColumn("__pid", F.spark_partition_id())
+    # Partition ids come from a sampled range partitioner; the slices are
+    # checkpointed (reliably, below spark.checkpoint.dir) so both uses below
+    # see the same assignment.
+    local = ranged.withColumn(
+        "__lrn", F.row_number().over(Window.partitionBy("__pid", key).orderBy(*order))
+    ).checkpoint()
+    sizes = local.groupBy(key, "__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(key, "__pid",
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    numbered = (local.join(offsets, [key, "__pid"])
+                .withColumn("__rn", F.col("__lrn") + F.col("__off"))
+                .drop("__pid", "__lrn", "__off"))
+    prev = numbered.select(key, (F.col("__rn") + 1).alias("__rn"), F.col(value).alias(alias))
+    return numbered.join(prev, [key, "__rn"], "left").drop("__rn")
