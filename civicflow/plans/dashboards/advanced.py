@@ -182,10 +182,26 @@ def adv_influence_network(t: Tables, k: int | None = 100) -> DataFrame:
     people = (b1.unionByName(b2)
               .join(labels(t, de="former_function"), "label_id", "left")
               .select("entry_id", "agency", "ex_politician", "former_function").distinct())
-    rows = clients.distinct().join(people, "entry_id") \
-        .select("client", "agency", "ex_politician", "former_function").distinct()
+    clients = clients.distinct()
     if k is None:
-        return rows
+        return clients.join(people, "entry_id") \
+            .select("client", "agency", "ex_politician", "former_function").distinct()
+    # Rows sort by (client, agency) first and every (client, agency) pair of
+    # an entry with people yields at least one row, so the k result rows use
+    # at most the k smallest pairs.  Pairs are cut to those (<= k rows,
+    # broadcast) before clients are combined with people: exact, and no
+    # entry's full client × person product is formed.
+    pairs = clients.join(people.select("entry_id", "agency").distinct(), "entry_id")
+    best = top_k(pairs.select("client", "agency").distinct(), k, asc("client"), asc("agency")) \
+        .select(F.col("client").alias("b_client"), F.col("agency").alias("b_agency"))
+    chosen = pairs.join(F.broadcast(best),
+                        F.col("client").eqNullSafe(F.col("b_client"))
+                        & F.col("agency").eqNullSafe(F.col("b_agency"))) \
+        .select("entry_id", "client", "agency")
+    rows = (chosen.join(people.withColumnRenamed("agency", "p_agency"),
+                        (chosen["entry_id"] == people["entry_id"])
+                        & chosen["agency"].eqNullSafe(F.col("p_agency")))
+            .select("client", "agency", "ex_politician", "former_function").distinct())
     return top_k(rows, k, asc("client"), asc("agency"), asc("ex_politician"),
                  asc("former_function"))
 
