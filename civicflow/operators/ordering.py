@@ -81,8 +81,12 @@ def top_k_per_group(df: DataFrame, keys: list[str], k: int, *order: Column,
             .drop("__salt", "__r"))
 
 
+# A key with more rows than this is split over several tasks by ``lag_by``.
+LAG_SPLIT_ROWS = 2_000_000
+
+
 def lag_by(df: DataFrame, key: str, order: list[str], value: str, alias: str,
-           parts: int | None = None) -> DataFrame:
+           parts: int | None = None, split_rows: int = LAG_SPLIT_ROWS) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY key ORDER BY order)``, exact and skew-safe.
 
     ``order`` must make rows unique within a key (end it with an id).  A plain
@@ -95,7 +99,15 @@ def lag_by(df: DataFrame, key: str, order: list[str], value: str, alias: str,
        key, so every row gets its global position ``rn`` in the key;
     3. the previous value is an equi join on (key, rn - 1), which hashes on
        both columns and spreads a hot key over all tasks.
+
+    The split costs a range sort and a checkpoint, so it is used only behind a
+    size check: one aggregate finds the largest key, and keys that fit a task
+    (``split_rows``) keep the plain window.
     """
+    biggest = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")) \
+        .agg(F.max("__n")).first()[0] or 0
+    if biggest <= split_rows:
+        return df.withColumn(alias, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, key, *order).withColumn("__pid", F.spark_partition_id())
     # Partition ids come from a sampled range partitioner; the slices are

@@ -53,8 +53,10 @@ def test_lag_by_matches_window_lag_with_hot_key(spark):
     rows = [(0 if i % 3 else rnd.randint(1, 20), rnd.randint(2000, 2030), i, rnd.randint(0, 99))
             for i in range(900)]
     df = spark.createDataFrame(rows, "k int, y int, id int, v int")
-    fast = sorted(map(tuple, lag_by(df, "k", ["y", "id"], "v", "p", parts=7)
-                      .select("k", "y", "id", "v", "p").collect()))
     w = Window.partitionBy("k").orderBy("y", "id")
     slow = sorted(map(tuple, df.withColumn("p", F.lag("v").over(w)).collect()))
-    assert fast == slow
+    for split_rows in (0, 10**9):          # the split path and the window path
+        fast = sorted(map(tuple, lag_by(df, "k", ["y", "id"], "v", "p", parts=7,
+                                        split_rows=split_rows)
+                          .select("k", "y", "id", "v", "p").collect()))
+        assert fast == slow
