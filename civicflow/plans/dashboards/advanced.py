@@ -169,35 +169,45 @@ def adv_influence_network(t: Tables, k: int | None = 100) -> DataFrame:
     it has none).  Both are de-duplicated before clients are attached.
     """
     clients, li, ep, lr, rgf = _influence_parts(t)
-    b1 = (li.join(ep, "identity_id").join(rgf, F.col("ep_fn") == F.col("fn_id"))
-          .select("identity_id", "entry_id", "agency",
-                  F.coalesce("ep_person", "agency").alias("ex_politician"), "label_id"))
     lr_fns = lr.join(rgf, F.col("lr_fn") == F.col("fn_id")).select("identity_id", "label_id") \
         .distinct()
-    ep_names = li.join(ep, "identity_id", "left") \
-        .select("identity_id", "entry_id", "agency",
-                F.coalesce("ep_person", "agency").alias("ex_politician")).distinct()
-    b2 = ep_names.join(lr_fns, "identity_id") \
-        .select("identity_id", "entry_id", "agency", "ex_politician", "label_id")
-    people = (b1.unionByName(b2)
-              .join(labels(t, de="former_function"), "label_id", "left")
-              .select("entry_id", "agency", "ex_politician", "former_function").distinct())
+
+    def people_of(agencies: DataFrame) -> DataFrame:
+        b1 = (agencies.join(ep, "identity_id").join(rgf, F.col("ep_fn") == F.col("fn_id"))
+              .select("identity_id", "entry_id", "agency",
+                      F.coalesce("ep_person", "agency").alias("ex_politician"), "label_id"))
+        ep_names = agencies.join(ep, "identity_id", "left") \
+            .select("identity_id", "entry_id", "agency",
+                    F.coalesce("ep_person", "agency").alias("ex_politician")).distinct()
+        b2 = ep_names.join(lr_fns, "identity_id") \
+            .select("identity_id", "entry_id", "agency", "ex_politician", "label_id")
+        return (b1.unionByName(b2)
+                .join(labels(t, de="former_function"), "label_id", "left")
+                .select("entry_id", "agency", "ex_politician", "former_function").distinct())
+
     clients = clients.distinct()
     if k is None:
-        return clients.join(people, "entry_id") \
+        return clients.join(people_of(li), "entry_id") \
             .select("client", "agency", "ex_politician", "former_function").distinct()
     # Rows sort by (client, agency) first and every (client, agency) pair of
-    # an entry with people yields at least one row, so the k result rows use
-    # at most the k smallest pairs.  Pairs are cut to those (<= k rows,
-    # broadcast) before clients are combined with people: exact, and no
-    # entry's full client × person product is formed.
-    pairs = clients.join(people.select("entry_id", "agency").distinct(), "entry_id")
+    # an agency with an ex-official yields at least one row, so the k result
+    # rows use at most the k smallest pairs.  Which agencies have one is
+    # known without pairing people (a matched entrusted person or a matched
+    # representative); pairs are cut to the k smallest (<= k rows,
+    # broadcast), and people are combined only for the chosen agencies:
+    # exact, and no other agency's client × person product is formed.
+    with_official = (ep.join(rgf, F.col("ep_fn") == F.col("fn_id")).select("identity_id")
+                     .unionByName(lr_fns.select("identity_id")))
+    agencies = li.join(with_official, "identity_id", "left_semi") \
+        .select("entry_id", "agency").distinct()
+    pairs = clients.join(agencies, "entry_id")
     best = top_k(pairs.select("client", "agency").distinct(), k, asc("client"), asc("agency")) \
         .select(F.col("client").alias("b_client"), F.col("agency").alias("b_agency"))
     chosen = pairs.join(F.broadcast(best),
                         F.col("client").eqNullSafe(F.col("b_client"))
                         & F.col("agency").eqNullSafe(F.col("b_agency"))) \
         .select("entry_id", "client", "agency")
+    people = people_of(li.join(chosen.select("entry_id"), "entry_id", "left_semi"))
     rows = (chosen.join(people.withColumnRenamed("agency", "p_agency"),
                         (chosen["entry_id"] == people["entry_id"])
                         & chosen["agency"].eqNullSafe(F.col("p_agency")))
