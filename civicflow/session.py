@@ -20,6 +20,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size (64 MB), not to the
+    # default parallelism: fewer, fuller tasks on a busy cluster.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # AQE demotes a sort-merge join to a broadcast join only after it has
     # measured the built side at runtime; this is the size check behind every
