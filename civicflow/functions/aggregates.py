@@ -21,11 +21,6 @@ def string_agg_distinct(c, sep: str) -> Column:
     return F.when(F.size(s) > 0, F.array_join(F.array_sort(s), sep))
 
 
-def sorted_set(c) -> Column:
-    """Sorted distinct non-NULL values of ``c``."""
-    return F.array_sort(F.collect_set(_c(c)))
-
-
 def json_agg_distinct(c) -> Column:
     """``JSON_AGG(DISTINCT c)`` as an array: sorted values, then NULL if any.
 
@@ -36,6 +31,3 @@ def json_agg_distinct(c) -> Column:
     saw_null = F.max(F.when(_c(c).isNull(), F.lit(1)).otherwise(F.lit(0))) == 1
     return F.when(saw_null, F.concat(vals, F.array(F.lit(None).cast("string")))).otherwise(vals)
 
-
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)

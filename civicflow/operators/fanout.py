@@ -41,9 +41,3 @@ def left_rows(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.greatest(F.coalesce(c, F.lit(0)).cast("long"), F.lit(1).cast("long"))
 
-
-def times(x: Column | str, n: Column | str) -> Column:
-    """``x · n`` keeping NULL when x is NULL (SUM over no non-NULL values)."""
-    x = F.col(x) if isinstance(x, str) else x
-    n = F.col(n) if isinstance(n, str) else n
-    return x * n
