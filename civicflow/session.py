@@ -75,7 +75,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc_dir = spark.sparkContext.getCheckpointDir()
         current = sc_dir
     if not current:
-        # Only reached in tests / local runs: no cluster named a folder.
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            # A machine-local folder would not survive a lost executor.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object "
+                               "store) before running civicflow on a cluster")
+        # Local runs and tests only: no cluster named a folder.
         current = os.path.join(tempfile.gettempdir(), "civicflow-checkpoints")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
