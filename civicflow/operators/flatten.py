@@ -74,11 +74,12 @@ class Flattener:
         seq = F.struct(F.col(SEQ).alias("o"), F.array(
             F.lit(site).cast("long"), *[o.cast("long") for o in ords],
             *[F.lit(0).cast("long") for _ in range(4 - len(ords))]).alias("path"))
+        key = N.label_key(obj)
+        # Uses without a key are dropped once, on the union (flatten_entries).
         self.labels.append(df.select(
-            ENTRY, F.lit(domain).alias("domain"), N.label_key(obj).alias("code"),
-            obj["de"].alias("de"), obj["en"].alias("en"), seq.alias("seq"))
-            .filter(F.col("code").isNotNull()))
-        return N.label_id(domain, obj)
+            ENTRY, F.lit(domain).alias("domain"), key.alias("code"),
+            obj["de"].alias("de"), obj["en"].alias("en"), seq.alias("seq")))
+        return F.when(key.isNotNull(), F.xxhash64(F.lit(domain), key))
 
     def address(self, df: DataFrame, obj: Column, key: Column, site: int, *ords) -> Column:
         present = N.any_field(obj, _ADDRESS_FIELDS)
@@ -933,7 +934,7 @@ def flatten_entries(docs: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, D
     _dimension_tables(f)
     tables = {name: conform(_union(parts), name).select(*[c for c, *_ in TABLES[name]], ENTRY)
               for name, parts in f.tables.items()}
-    uses = _union(f.labels)
+    uses = _union(f.labels).filter(F.col("code").isNotNull())
     from civicflow.sources.store import violations
     rejects = _union([violations(df, checks) for df, checks in f.rejects.values()]) \
         if f.rejects else None
