@@ -60,7 +60,15 @@ def extract_entries(pages: DataFrame) -> DataFrame:
     lists = F.coalesce(F.when(F.size(results) > 0, results), register)
     own = F.when(results.isNull() & register.isNull() & F.col("registerNumber").isNotNull(),
                  F.array(_entry_struct()))
-    entries = F.coalesce(lists, own, F.array().cast(T.ArrayType(entry_schema())))
+    # A bare list that also holds non-objects ([e, 1]) is one corrupt record
+    # for the JSON reader: its object elements are parsed from the raw text,
+    # the rest dropped.
+    raw = F.col("_corrupt_record")
+    salvaged = F.when(F.trim(raw).startswith("["), F.filter(
+        F.transform(F.from_json(raw, T.ArrayType(T.StringType())),
+                    lambda x: F.when(F.trim(x).startswith("{"), F.from_json(x, entry_schema()))),
+        lambda e: e.isNotNull()))
+    entries = F.coalesce(lists, own, salvaged, F.array().cast(T.ArrayType(entry_schema())))
     meta = F.struct(*[F.col(m).alias(m) for m in META_FIELDS])
     return (pages.select("_page", meta.alias("_meta"), F.posexplode(entries).alias("_pos", "e"))
             .filter(F.col("e").isNotNull()))

@@ -150,3 +150,19 @@ def test_search_term_is_escaped(spark):
                                df.filter(F.col("n").ilike(f"%{like_escape(term)}%")).collect())
     assert hits("0%") == ["100% sure"]
     assert hits("a_b") == ["a_b"]
+
+
+def test_read_pages_from_landed_files(spark):
+    """SRC-1/2 on files: an empty results list falls through to
+    registerEntries, an empty page gives nothing, a bare list gives its
+    objects and drops non-objects."""
+    landing = tempfile.mkdtemp(prefix="civicflow-pages-")
+    files = {"page-1.json": {**META, "results": [], "registerEntries": [_entry("R1")]},
+             "page-2.json": {},
+             "page-3.json": [_entry("R2"), 1]}
+    for name, body in files.items():
+        with open(os.path.join(landing, name), "w") as f:
+            json.dump(body, f)
+    entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(
+        P.read_pages(spark, landing))))
+    assert sorted(r["_entry"] for r in entries.collect()) == ["R1", "R2"]
