@@ -166,3 +166,20 @@ def test_read_pages_from_landed_files(spark):
     entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(
         P.read_pages(spark, landing))))
     assert sorted(r["_entry"] for r in entries.collect()) == ["R1", "R2"]
+
+
+def test_upsert_incoming_run_wins(spark):
+    from civicflow.sources.store import upsert_entries
+    cols = "id long, register_number string, source string"
+    old = spark.createDataFrame([(1, "R1", "old"), (2, "R2", "old")], cols)
+    new = spark.createDataFrame([(1, "R1", "new"), (3, "R3", "new")], cols)
+    got = sorted(map(tuple, upsert_entries(old, new).collect()))
+    assert got == [(1, "R1", "new"), (2, "R2", "old"), (3, "R3", "new")]
+
+
+def test_refresh_all_materializes_both_views(spark, tables):
+    from civicflow.sources.store import refresh_all
+    out = tempfile.mkdtemp(prefix="civicflow-mv-")
+    mvs = refresh_all(tables, out)
+    for name, df in mvs.items():
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, tables[name].collect()))
