@@ -11,6 +11,8 @@ register tables, so equality proves the round trip.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +27,17 @@ from civicflow.sources.store import ingest_to, stage
 S = "ingest"
 SOURCE = "register-fixture"
 _memo: dict[int, tuple] = {}
+_lock = threading.Lock()
 
 
 def ingested(t: Tables):
     """(tables, entries, pages) of the round trip, built once per table set."""
     key = id(t)
+    with _lock:
+        return _memo[key] if key in _memo else _build(t, key)
+
+
+def _build(t: Tables, key: int):
     if key not in _memo:
         text = pages_text(nest_documents(t, SOURCE), copies=2)
         pages = stage(P.pages_from_text(text), "pages")
