@@ -180,3 +180,67 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+#: Pieces of an accumulated array and how many partial ones a task of a merge sums.
+CHUNKS = 32
+FAN_IN = 64
+_PART_SCHEMA = "part long, chunk int, payload binary"
+
+
+def _pack_array(values: np.ndarray) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<i8").tobytes())
+
+
+def _unpack_array(payload: bytes) -> np.ndarray:
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), "<i8")
+
+
+def accumulate(df: DataFrame, kernel, length: int) -> np.ndarray:
+    """Sum over all rows of an integer array of fixed ``length``.
+
+    ``kernel(batch, total)`` adds a batch's share to ``total`` (int64).  Each
+    task sums its rows first; the tasks' arrays, cut in CHUNKS pieces, are
+    merged FAN_IN at a time.  Only the total, ``length`` numbers, reaches the
+    driver."""
+    def partial(batches):
+        from pyspark import TaskContext
+
+        total = np.zeros(length, np.int64)
+        for batch in batches:
+            for piece in slices(batch):
+                kernel(piece, total)
+        part = TaskContext.get().partitionId()
+        for c, values in enumerate(np.array_split(total, CHUNKS)):
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([part], pa.int64()), "chunk": pa.array([c], pa.int32()),
+                "payload": pa.array([_pack_array(values)], pa.binary())})
+
+    def merge(rows):
+        import pandas as pd
+
+        total = None
+        for payload in rows["payload"]:
+            values = _unpack_array(payload)
+            total = values if total is None else total + values
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0]) // FAN_IN],
+                             "chunk": [int(rows["chunk"].iloc[0])],
+                             "payload": [_pack_array(total)]})
+
+    parts, n = df.mapInArrow(partial, _PART_SCHEMA), df.rdd.getNumPartitions()
+    while True:
+        parts = parts.groupBy(expr_div("part", FAN_IN), "chunk").applyInPandas(merge, _PART_SCHEMA)
+        n = -(-n // FAN_IN)
+        if n <= 1:
+            break
+    found = {r["chunk"]: _unpack_array(r["payload"]) for r in parts.collect()}
+    if not found:
+        return np.zeros(length, np.int64)
+    return np.concatenate([found[c] for c in range(CHUNKS)])
+
+
+def expr_div(column: str, by: int):
+    from pyspark.sql import functions as F
+    return F.expr(f"{column} div {by}").alias("__group")

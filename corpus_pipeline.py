@@ -2,32 +2,61 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
 writes each stage's result as Parquet below the shared checkpoint folder and
-rereads it as the next one's ``docs``.
+rereads it as the next one's ``docs``.  All stages but the last return the
+columns of ``docs``.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civicflow.llm import packing
+from civicflow.llm import decontaminate, near_dedup, packing, pii, quality
 from civicflow.llm.common import prepare, staged
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.accepted(docs, _table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one with the least doc_id."""
+    return near_dedup.deduplicated(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item."""
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; n_chars follows the text."""
+    masked = pii.redact(docs)
+    return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) \
+        if "n_chars" in docs.columns else masked
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens."""
+    """Pieces of all documents in sequences of at most 2048 tokens, with their ids."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates),
+          ("decontamination", drop_leaks), ("pii", mask_personal_data), ("packing", pack_sequences)]
 
-#: Tokenizers and classifiers can't be expressed in SQL; the stages are tested against brute force.
+#: Learned models and tokenizers have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
     return docs
