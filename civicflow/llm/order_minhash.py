@@ -36,7 +36,10 @@ _WORDS = f"\\S{{1,{PIECE}}}"
 
 
 def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with column ``out``: the fingerprint of column ``text``, an array of longs."""
+    """``df`` with column ``out``: the fingerprint of column ``text``, an array of longs.
+
+    A column that a lambda reads is read outside it too: the optimizer would
+    otherwise move its expression into the lambda, to run once per element."""
     base = f"__{out}"
     w, s, a, b, g, m = (f"{base}_{x}" for x in "wsabgm")
     shift = 64 - BINS_BITS
@@ -60,7 +63,8 @@ def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         f"flatten(transform({b}, (x, r) -> "
         f"sequence(0, coalesce(get({b}, r + 1), size({a})) - x - 1)))"))
     df = df.withColumn(g, F.expr(
-        f"sort_array(transform({a}, (x, i) -> struct(xxhash64(x.h, {occurrence}[i]) AS g, x.p AS p)))"))
+        f"sort_array(transform(arrays_zip({a}, {occurrence}), z -> "
+        f"struct(xxhash64(z.{a}.h, z.{occurrence}) AS g, z.{a}.p AS p)))"))
     df = df.withColumn(m, F.expr(
         f"filter({g}, (x, i) -> i < 2 OR "
         f"shiftrightunsigned({g}[i - 2].g, {shift}) <> shiftrightunsigned(x.g, {shift}))"))

@@ -127,8 +127,10 @@ def spans(df: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
             F.sequence(F.lit(0), ((F.size(d) - 1) / _BLOCK).cast("int")),
             lambda j: _sum(F.slice(F.col(d), j * _BLOCK + 1, F.lit(_BLOCK)))))
             .otherwise(F.array().cast("array<int>")))
-        df = df.withColumn(s, F.transform(F.col(m), lambda x, i: F.struct(
+        # size(b) keeps the optimizer from moving b's expression into the lambda.
+        df = df.withColumn(s, F.when(F.size(b) > 0, F.transform(F.col(m), lambda x, i: F.struct(
             x.alias("m"), _prefix(F.col(d), F.col(b), i).alias("start"))))
+            .otherwise(F.array().cast("array<struct<m:string,start:int>>")))
         ok = F.filter(s, lambda x: k.valid(x["m"])) if k.valid else F.col(s)
         near = lambda x: F.lower(F.substring(
             t, F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)) + 1,
@@ -161,10 +163,10 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
         f"CASE WHEN size(__s) = 0 THEN array() ELSE transform("
         f"sequence(0, CAST((size(__s) - 1) / {_BLOCK} AS INT)), j -> {top}) END"))
     rows = rows.withColumn("__before", F.expr(
-        f"transform(__s, (x, i) -> greatest("
+        f"CASE WHEN size(__tops) = 0 THEN array() ELSE transform(__s, (x, i) -> greatest("
         f"coalesce(array_max(slice(__tops, 1, CAST(i / {_BLOCK} AS INT))), 0), "
         f"coalesce(array_max(transform(slice(__s, CAST(i / {_BLOCK} AS INT) * {_BLOCK} + 1, "
-        f"i - CAST(i / {_BLOCK} AS INT) * {_BLOCK}), y -> y.e)), 0)))"))
+        f"i - CAST(i / {_BLOCK} AS INT) * {_BLOCK}), y -> y.e)), 0))) END"))
     text_ = f"CAST(`{text}` AS STRING)"
     masked = F.expr(
         f"CASE WHEN size(__s) = 0 THEN {text_} ELSE concat("
