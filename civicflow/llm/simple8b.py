@@ -55,58 +55,47 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     """Words and the word offsets of the blocks.
 
     Greedy: at each place the selector that packs most ids, or all ids left
-    in the block (unused places of its last word are zero).  All blocks
-    advance in lockstep."""
+    in the block (unused places of its last word are zero).  Which selectors fit
+    is known for all places at once; only the walk from word to word is a loop."""
     values = np.asarray(ids, np.uint64)
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32)
-    n_blocks = -(-n // block)
-    lo = np.arange(n_blocks, dtype=np.int64) * block
-    hi = np.minimum(lo + block, n)
-    # choice[i]: the first selector whose next ids, within the block, all fit.
-    place = np.arange(n, dtype=np.int64)
-    end = hi[place // block]
+    end = np.minimum((np.arange(n, dtype=np.int64) // block + 1) * block, n)
     choice = np.full(n, ESCAPE, np.uint8)
-    open_ = np.ones(n, bool)
+    following = np.arange(1, n + 1, dtype=np.int64)
+    open_ = np.arange(n, dtype=np.int64)
+    # From the widest: where a selector doesn't fit, no narrower one does.
+    for s in range(len(PACKS) - 1, -1, -1):
+        count, bits = PACKS[s]
+        wide = np.zeros(n + 1, np.int32)
+        np.cumsum(values >> np.uint64(bits) > 0, dtype=np.int32, out=wide[1:])
+        last = np.minimum(open_ + count, end[open_])
+        fits = wide[last] == wide[open_]
+        open_, last = open_[fits], last[fits]
+        choice[open_], following[open_] = s, last
+        if not len(open_):
+            break
+    starts, at, jump = [], 0, following.tolist()
+    while at < n:
+        starts.append(at)
+        at = jump[at]
+    start = np.array(starts, np.int64)
+    sel = choice[start]
+    place = np.arange(len(start)) + np.concatenate([[0], np.cumsum(sel[:-1] == ESCAPE)])
+    words = np.zeros(int(place[-1]) + 1 + int(sel[-1] == ESCAPE), np.uint64)
+    words[place] = sel.astype(np.uint64) << np.uint64(60)
+    words[place[sel == ESCAPE] + 1] = values[start[sel == ESCAPE]]
     for s, (count, bits) in enumerate(PACKS):
-        wide = np.concatenate([[0], np.cumsum(values >> np.uint64(bits) > 0)])
-        last = np.minimum(place + count, end)
-        fits = open_ & (wide[last] == wide[place])
-        choice[fits] = s
-        open_ &= ~fits
-    step = np.array([c for c, _ in PACKS] + [0, 1], np.int64)
-    at, block_of = lo.copy(), np.arange(n_blocks)
-    words: list[np.ndarray] = []
-    order: list[np.ndarray] = []
-    counts = np.zeros(n_blocks, np.int64)
-    while len(at):
-        sel = choice[at]
-        word = sel.astype(np.uint64) << np.uint64(60)
-        for s in np.unique(sel):
-            if s == ESCAPE:
-                continue
-            count, bits = PACKS[s]
-            rows = np.flatnonzero(sel == s)
-            for j in range(count):
-                i = at[rows] + j
-                ok = i < hi[block_of[rows]]
-                if not ok.any():
-                    break
-                word[rows[ok]] |= values[i[ok]] << np.uint64(j * bits)
-        words.append(word)
-        order.append(block_of * (2 * block + 2) + counts[block_of])
-        counts[block_of] += 1
-        esc = sel == ESCAPE
-        if esc.any():
-            words.append(values[at[esc]])
-            order.append(block_of[esc] * (2 * block + 2) + counts[block_of[esc]])
-            counts[block_of[esc]] += 1
-        at = at + step[sel]
-        live = at < hi[block_of]
-        at, block_of = at[live], block_of[live]
-    out = np.concatenate(words)[np.argsort(np.concatenate(order), kind="stable")]
-    return out, np.concatenate([[0], np.cumsum(counts)]).astype(np.uint32)
+        rows = np.flatnonzero(sel == s)
+        if not len(rows):
+            continue
+        size = following[start[rows]] - start[rows]
+        for j in range(int(size.max())):
+            r = rows[size > j]
+            words[place[r]] |= values[start[r] + j] << np.uint64(j * bits)
+    first = np.searchsorted(start, np.arange(0, n, block))
+    return words, np.append(place[first], len(words)).astype(np.uint32)
 
 
 def decode_blocks(words: np.ndarray, offsets: np.ndarray, n_ids: int,

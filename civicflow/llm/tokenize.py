@@ -2,31 +2,96 @@
 
 Texts are cut at places that no token can cross, the pieces of a batch are
 dictionary-encoded by Arrow, and only pieces a worker has not met go through
-the tokenizer.  The ids are those of encoding the whole text at once:
-
-* ``word``: the tokenizer drops white space, so any ASCII white space is such
-  a place;
-* ``byte``: a byte-level pre-tokenizer starts a new token at a single space
-  between two characters that are not white space.  The space goes with the
-  piece after it.  A text with any other space beside white space is encoded
-  whole.
+the tokenizer.  The ids are those of encoding the whole text at once.  Both
+pre-tokenizers separate letters or digits from punctuation, so a place between
+an ASCII letter or digit and ASCII punctuation is one, but for the apostrophe
+(contractions) and ``< | >`` (special tokens).  Further:
+
+* ``word``: the tokenizer drops white space, so ASCII white space is such a
+  place.  It also lowers the text; pure ASCII pieces are lowered before.
+* ``byte``: a token starts at a single space or line end between two
+  characters that are not white space; the space goes with the piece after
+  it.  A text with any other white space is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from civicflow.llm.common import ragged
+from civicflow.llm.common import buffer_of, ragged
 
 #: Pieces a worker remembers (about 150 bytes each); further ones are encoded when met.
 CACHE_PIECES = 500_000
 #: Longer pieces are encoded without being remembered.
 CACHE_CHARS = 64
 
+#: Classes of bytes: other, ASCII letter or digit, ASCII punctuation, space, other ASCII white space.
+_OTHER, _ALNUM, _PUNCT, _SPACE, _WHITE = range(5)
+_CLASS = np.zeros(256, np.uint8)
+for _b in range(128):
+    _c = chr(_b)
+    _CLASS[_b] = (_ALNUM if _c.isalnum() else _SPACE if _c == " " else _WHITE if _c in "\t\n\v\f\r"
+                  else _PUNCT if 32 < _b < 127 and _c not in "'<|>" else _OTHER)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: White space beyond ASCII (fixed values of Unicode's White_Space property).
+_WIDE_SPACE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def _unsafe(text: pa.Array, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts with white space beside white space or at the end, or with any beyond ASCII."""
+    white = kind >= _SPACE
+    bad = np.zeros(len(kind) + 1, np.int64)
+    after = np.append(white[1:], False)
+    after[offsets[1:][offsets[1:] > 0] - 1] = True
+    # A line end that starts a text, too: only a space goes with the next piece.
+    found = white & after
+    head = offsets[:-1][np.diff(offsets) > 0]
+    found[head] |= kind[head] == _WHITE
+    np.cumsum(found, out=bad[1:])
+    wide = pc.match_substring_regex(text, _WIDE_SPACE).to_numpy(zero_copy_only=False)
+    return (bad[offsets[1:]] > bad[offsets[:-1]]) | wide
+
+
+def _pieces(text: pa.Array, kind: str) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts and the n + 1 offsets."""
+    raw, offsets = buffer_of(text)
+    if not len(raw):
+        return pa.array([], pa.large_string()), np.zeros(len(text) + 1, np.int64)
+    cls = _CLASS[raw]
+    left, right = cls[:-1], cls[1:]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[1:-1] = (left == _ALNUM) & (right == _PUNCT) | (left == _PUNCT) & (right == _ALNUM)
+    white = cls >= _SPACE
+    if kind == "word":
+        edge[:-1] |= white
+        edge[1:] |= white
+    else:
+        edge[:-1] |= white
+        edge[1:] |= cls == _WHITE
+        bad = _unsafe(text, cls, offsets)
+        if bad.any():
+            edge[:-1][np.repeat(bad, np.diff(offsets))] = False
+    edge[offsets] = True
+    cut = np.flatnonzero(edge)
+    start, end = cut[:-1], cut[1:]
+    if kind == "word":
+        real = ~white[start]
+        start, end = start[real], end[real]
+        high = np.concatenate([[0], np.cumsum((raw >= 128) | (raw == 124))])
+        plain = np.repeat(high[end] == high[start], end - start)
+        raw = raw[~white]
+        raw = np.where(plain, _LOWER[raw], raw)
+    ends = np.concatenate([[0], np.cumsum(end - start)])
+    flat = pa.LargeStringArray.from_buffers(
+        len(start), pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes()))
+    return flat, np.searchsorted(start, offsets)
+
 
 class Encoder:
     """ids of texts; kept per worker process and vocabulary file."""
@@ -51,24 +116,27 @@ class Encoder:
         self.ids = np.zeros(1 << 18, np.uint32)
         self.n_ids = 0
 
-    def _remember(self, pieces: list[str]) -> list[np.ndarray]:
-        """Encode new pieces; remember the short ones while there is room."""
-        out = [np.asarray(e.ids, np.uint32)
-               for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        for piece, ids in zip(pieces, out):
+    def _remember(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids and lengths of new pieces; remembers the short ones while there is room."""
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32, int(size.sum()))
+        room = CACHE_PIECES - len(self.known)
+        short = np.fromiter((len(p) <= CACHE_CHARS for p in pieces), bool, len(pieces))
+        keep = np.flatnonzero(short)[:room]
+        if len(keep):
             k = len(self.known)
-            if k >= CACHE_PIECES or len(piece) > CACHE_CHARS:
-                continue
-            if k >= len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            while self.n_ids + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.starts[k], self.lengths[k] = self.n_ids, len(ids)
-            self.ids[self.n_ids:self.n_ids + len(ids)] = ids
-            self.n_ids += len(ids)
-            self.known[piece] = k
-        return out
+            start = np.cumsum(size) - size
+            own = ids[ragged(start[keep], size[keep])]
+            self.starts = _grown(self.starts, k + len(keep))
+            self.lengths = _grown(self.lengths, k + len(keep))
+            self.ids = _grown(self.ids, self.n_ids + len(own))
+            self.starts[k:k + len(keep)] = self.n_ids + np.cumsum(size[keep]) - size[keep]
+            self.lengths[k:k + len(keep)] = size[keep]
+            self.ids[self.n_ids:self.n_ids + len(own)] = own
+            self.n_ids += len(own)
+            self.known.update(zip((pieces[i] for i in keep.tolist()), range(k, k + len(keep))))
+        return ids, size
 
     def _table(self, pieces: list[str]):
         """Starts and lengths of each piece in one id array (remembered ids, then new ones)."""
@@ -80,61 +148,31 @@ class Encoder:
         ids = self.ids[:self.n_ids]
         if len(missing):
             n = self.n_ids
-            new = self._remember([pieces[i] for i in missing])
-            size = np.fromiter(map(len, new), np.int64, len(new))
+            new, size = self._remember([pieces[i] for i in missing.tolist()])
             starts[missing] = n + np.cumsum(size) - size
             lengths[missing] = size
-            ids = np.concatenate([ids[:n], *new])
+            ids = np.concatenate([ids[:n], new])
         return ids, starts, lengths
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts (uint32, concatenated) and the n + 1 offsets."""
-        if len(text) == 0:
-            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        if self.kind == "word":
-            parts = pc.ascii_split_whitespace(text)
-        else:
-            parts = pc.split_pattern(text, " ")
-        offsets = parts.offsets.to_numpy().astype(np.int64)
-        flat = parts.flatten()
+        flat, offsets = _pieces(text, self.kind)
+        if not len(flat):
+            return np.zeros(0, np.uint32), np.zeros(len(text) + 1, np.int64)
         coded = flat.dictionary_encode()
-        code = coded.indices.to_numpy().astype(np.int64)
-        vocabulary = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        offsets = offsets - offsets[0]
-        if self.kind == "byte":
-            # A piece that is empty or touches white space makes its text's spaces unsafe.
-            odd = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in vocabulary),
-                              bool, len(vocabulary))
-            first = np.zeros(len(code), bool)
-            first[offsets[:-1][np.diff(offsets) > 0]] = True
-            bad = np.add.reduceat(np.append(odd[code], False).astype(np.int64), offsets[:-1]) > 0
-            bad &= np.diff(offsets) > 0
-            v = len(vocabulary)
-            code = np.where(first, code, code + v)
-            whole = np.flatnonzero(bad)
-            if len(whole):
-                keep = ~np.repeat(bad, np.diff(offsets))
-                # One piece, the text itself, stands for an unsafe text.
-                texts = text.take(pa.array(whole)).to_pylist()
-                count = np.where(bad, 1, np.diff(offsets))
-                new = np.concatenate([[0], np.cumsum(count)])
-                fresh = np.empty(new[-1], np.int64)
-                mask = np.ones(new[-1], bool)
-                mask[new[:-1][bad]] = False
-                fresh[mask] = code[keep]
-                fresh[~mask] = 2 * v + np.arange(len(whole))
-                code, offsets = fresh, new
-            else:
-                texts = []
-            used, code = np.unique(code, return_inverse=True)
-            pieces = [vocabulary[c] if c < v else " " + vocabulary[c - v] if c < 2 * v
-                      else texts[c - 2 * v] for c in used.tolist()]
-        else:
-            pieces = vocabulary
-        ids, starts, lengths = self._table(pieces)
-        out = ids[ragged(starts[code], lengths[code])]
-        ends = np.concatenate([[0], np.cumsum(lengths[code])])
-        return out, ends[offsets]
+        code = coded.indices.to_numpy()
+        ids, starts, lengths = self._table(
+            coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = lengths[code]
+        out = ids[ragged(starts[code], size)]
+        return out, np.concatenate([[0], np.cumsum(size)])[offsets]
+
+
+def _grown(values: np.ndarray, n: int) -> np.ndarray:
+    """``values`` with room for n at least."""
+    while n > len(values):
+        values = np.concatenate([values, np.zeros_like(values)])
+    return values
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
