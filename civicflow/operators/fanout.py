@@ -41,3 +41,11 @@ def left_rows(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.greatest(F.coalesce(c, F.lit(0)).cast("long"), F.lit(1).cast("long"))
 
+
+def exact(*factors: Column | str) -> Column:
+    """Product of whole numbers as decimal(38,0): multiplicities overflow a long."""
+    out = None
+    for f in factors:
+        f = (F.col(f) if isinstance(f, str) else f).cast("decimal(38,0)")
+        out = f if out is None else (out * f).cast("decimal(38,0)")
+    return out

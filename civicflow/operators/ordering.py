@@ -81,47 +81,25 @@ def top_k_per_group(df: DataFrame, keys: list[str], k: int, *order: Column,
             .drop("__salt", "__r"))
 
 
-# A key with more rows than this is split over several tasks by ``lag_by``.
-LAG_SPLIT_ROWS = 2_000_000
-
-
-def lag_by(df: DataFrame, key: str, order: list[str], value: str, alias: str,
-           parts: int | None = None, split_rows: int = LAG_SPLIT_ROWS) -> DataFrame:
-    """``LAG(value) OVER (PARTITION BY key ORDER BY order)``, exact and skew-safe.
-
-    ``order`` must make rows unique within a key (end it with an id).  A plain
-    window sorts each key in one task; here
-
-    1. the rows are range-partitioned on (key, order) — a hot key is split
-       over several consecutive partitions — and numbered inside each
-       (partition, key) slice;
-    2. slice sizes (one row per slice) give each slice its offset within the
-       key, so every row gets its global position ``rn`` in the key;
-    3. the previous value is an equi join on (key, rn - 1), which hashes on
-       both columns and spreads a hot key over all tasks.
-
-    The split costs a range sort and a checkpoint, so it is used only behind a
-    size check: one aggregate finds the largest key, and keys that fit a task
-    (``split_rows``) keep the plain window.
+def lag_by(df: DataFrame, key: str, order: list[str], value: str, alias: str) -> DataFrame:
+    """``LAG(value) OVER (PARTITION BY key ORDER BY order)``, exact, one plan for every size.
+
+    ``order`` must make rows unique within a key (end it with an id).  A key
+    is cut into slices, one per value of the first order column; each slice
+    is a window of its own.  A slice's first row takes the last value of the
+    slice before, which partial aggregates find (one row per slice), so a hot
+    key's rows are never sorted in one task.  Nothing runs until an action.
     """
-    biggest = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")) \
-        .agg(F.max("__n")).first()[0] or 0
-    if biggest <= split_rows:
-        return df.withColumn(alias, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, key, *order).withColumn("__pid", F.spark_partition_id())
-    # Partition ids come from a sampled range partitioner; the slices are
-    # checkpointed (reliably, below spark.checkpoint.dir) so both uses below
-    # see the same assignment.
-    local = ranged.withColumn(
-        "__lrn", F.row_number().over(Window.partitionBy("__pid", key).orderBy(*order))
-    ).checkpoint()
-    sizes = local.groupBy(key, "__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(key, "__pid",
-                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    numbered = (local.join(offsets, [key, "__pid"])
-                .withColumn("__rn", F.col("__lrn") + F.col("__off"))
-                .drop("__pid", "__lrn", "__off"))
-    prev = numbered.select(key, (F.col("__rn") + 1).alias("__rn"), F.col(value).alias(alias))
-    return numbered.join(prev, [key, "__rn"], "left").drop("__rn")
+    head, *tail = order
+    inside = Window.partitionBy(key, head).orderBy(*tail)
+    last = df.groupBy(key, head).agg(
+        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*tail)).alias("__last"))
+    before = last.select(
+        F.col(key).alias("__key"), F.col(head).alias("__head"),
+        F.lag("__last").over(Window.partitionBy(key).orderBy(head)).alias("__before"))
+    rows = (df.withColumn("__place", F.row_number().over(inside))
+            .withColumn("__lag", F.lag(value).over(inside)))
+    joined = rows.join(before, rows[key].eqNullSafe(before["__key"])
+                       & rows[head].eqNullSafe(before["__head"]), "left")
+    return joined.withColumn(alias, F.when(F.col("__place") == 1, F.col("__before.v"))
+                             .otherwise(F.col("__lag"))).select(*df.columns, alias)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.operators.fanout import child_stats
+from civicflow.operators.fanout import child_stats, exact
 from civicflow.operators.ordering import asc, desc, top_k
 from civicflow.plans.common import Tables, entries, entry_topics, identities
 from civicflow.plans.registry import query
@@ -18,7 +18,7 @@ SEARCH_TERM = "0000001"
 
 
 @query("bm_heatmap", section="benchmark", oracle="""
-SELECT cl.de AS thema, COUNT(*) AS anzahl, CAST(SUM(fe.expenses_to_eur) AS BIGINT) AS total_eur
+SELECT cl.de AS thema, COUNT(*) AS anzahl, CAST(SUM(fe.expenses_to_eur) AS DECIMAL(38, 0)) AS total_eur
 FROM register_entry re
 JOIN financial_expenses fe ON re.id = fe.entry_id
 JOIN activities_interests ai ON re.id = ai.entry_id
@@ -39,7 +39,7 @@ def bm_heatmap(t: Tables) -> DataFrame:
     agg = (topics.join(fe, "entry_id")
            .groupBy(F.col("de").alias("thema"))
            .agg(F.sum(F.col("n") * F.col("fe_rows")).alias("anzahl"),
-                F.sum(F.col("n") * F.col("fe_sum")).alias("total_eur")))
+                F.sum(exact("n", "fe_sum")).alias("total_eur")))
     return top_k(agg, 20, desc("total_eur"), asc("thema"))
 
 

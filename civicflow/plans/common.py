@@ -5,11 +5,9 @@ and its ``id`` is renamed to the foreign-key name children use.  Joins can
 then be written with USING-style column lists, Catalyst prunes the parquet
 scans to exactly these columns, and no two inputs of a join share a name.
 
-Dimension tables (code_label, country_label, activity_operation_type) are
-controlled vocabularies: their size is bounded by the register's code lists,
-not by the number of entries, so they are broadcast explicitly.  Every other
-join is left to AQE, which measures the built side at runtime before it
-chooses a broadcast and otherwise keeps the sort-merge / shuffled-hash plan.
+No join is hinted: label tables grow with free text, so their size is left to
+AQE as well, which measures the built side at runtime before it chooses a
+broadcast and otherwise keeps the sort-merge / shuffled-hash plan.
 """
 
 from __future__ import annotations
@@ -31,16 +29,16 @@ def identities(t: Tables, *cols: str) -> DataFrame:
 
 
 def labels(t: Tables, key: str = "label_id", de: str = "de", *, domain: str | None = None) -> DataFrame:
-    """code_label narrowed to (key, de); broadcast (bounded vocabulary)."""
+    """code_label narrowed to (key, de)."""
     cl = t["code_label"]
     if domain is not None:
         cl = cl.filter(F.col("domain") == domain)
-    return F.broadcast(cl.select(F.col("id").alias(key), F.col("de").alias(de)))
+    return cl.select(F.col("id").alias(key), F.col("de").alias(de))
 
 
 def countries(t: Tables) -> DataFrame:
-    return F.broadcast(t["country_label"].select(F.col("id").alias("country_id"),
-                                                 F.col("code").alias("country_code")))
+    return t["country_label"].select(F.col("id").alias("country_id"),
+                                     F.col("code").alias("country_code"))
 
 
 def addresses(t: Tables, *cols: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.operators.fanout import child_stats
+from civicflow.operators.fanout import child_stats, exact
 from civicflow.operators.ordering import asc, desc, top_k
 from civicflow.plans.common import (Tables, addresses, entries, entry_topics,
                                     identities, sector_entries, sql_list)
@@ -54,13 +54,13 @@ def mkt_actors(t: Tables, sectors=()) -> DataFrame:
 
 
 @query("mkt_volume", section=S, sectors=SECTORS, oracle=f"""
-SELECT CAST(SUM(fe.expenses_to_eur) AS BIGINT) AS volume FROM register_entry re
+SELECT CAST(SUM(fe.expenses_to_eur) AS DECIMAL(38, 0)) AS volume FROM register_entry re
 JOIN financial_expenses fe ON re.id = fe.entry_id {_SECTOR_JOIN}
 WHERE cl.de IN ({_IN})""")
 def mkt_volume(t: Tables, sectors=()) -> DataFrame:
     fe = child_stats(t["financial_expenses"], "entry_id", "expenses_to_eur", "fe")
     return (sector_multiplicity(t, sectors).join(fe, "entry_id")
-            .agg(F.sum(F.col("n") * F.col("fe_sum")).alias("volume")))
+            .agg(F.sum(exact("n", "fe_sum")).alias("volume")))
 
 
 @query("mkt_laws_count", section=S, sectors=SECTORS, oracle=f"""
@@ -88,14 +88,14 @@ def mkt_top_law(t: Tables, sectors=()) -> DataFrame:
 
 
 @query("mkt_top_orgs", section=S, sectors=SECTORS, oracle=f"""
-SELECT li.name_text AS organisation, CAST(SUM(fe.expenses_to_eur) AS BIGINT) AS expenses FROM register_entry re
+SELECT li.name_text AS organisation, CAST(SUM(fe.expenses_to_eur) AS DECIMAL(38, 0)) AS expenses FROM register_entry re
 JOIN lobbyist_identity li ON re.id = li.entry_id
 JOIN financial_expenses fe ON re.id = fe.entry_id {_SECTOR_JOIN}
 WHERE cl.de IN ({_IN}) GROUP BY li.name_text ORDER BY 2 DESC NULLS FIRST, 1 LIMIT 15""")
 def mkt_top_orgs(t: Tables, sectors=()) -> DataFrame:
     fe = child_stats(t["financial_expenses"], "entry_id", "expenses_to_eur", "fe")
     per_entry = (sector_multiplicity(t, sectors).join(fe, "entry_id")
-                 .select("entry_id", (F.col("n") * F.col("fe_sum")).alias("s")))
+                 .select("entry_id", exact("n", "fe_sum").alias("s")))
     agg = (per_entry.join(identities(t, "name_text"), "entry_id")
            .groupBy(F.col("name_text").alias("organisation"))
            .agg(F.sum("s").alias("expenses")))
@@ -115,7 +115,7 @@ def mkt_legal_forms(t: Tables, sectors=()) -> DataFrame:
 
 @query("mkt_trend", section=S, sectors=SECTORS, oracle=f"""
 SELECT CAST(strptime(fe.fiscal_year_start_ym, '%Y-%m') AS DATE) AS time,
-       CAST(SUM(fe.expenses_to_eur) AS BIGINT) AS sector_expenses FROM register_entry re
+       CAST(SUM(fe.expenses_to_eur) AS DECIMAL(38, 0)) AS sector_expenses FROM register_entry re
 JOIN financial_expenses fe ON re.id = fe.entry_id {_SECTOR_JOIN}
 WHERE cl.de IN ({_IN}) GROUP BY fe.fiscal_year_start_ym ORDER BY 1""")
 def mkt_trend(t: Tables, sectors=()) -> DataFrame:
@@ -123,7 +123,7 @@ def mkt_trend(t: Tables, sectors=()) -> DataFrame:
                      "expenses_to_eur", "fe")
     return (sector_multiplicity(t, sectors).join(fe, "entry_id")
             .groupBy("fiscal_year_start_ym")
-            .agg(F.sum(F.col("n") * F.col("fe_sum")).alias("sector_expenses"))
+            .agg(F.sum(exact("n", "fe_sum")).alias("sector_expenses"))
             .select(F.to_date(F.try_to_timestamp("fiscal_year_start_ym", F.lit("yyyy-MM")))
                     .alias("time"), "sector_expenses")
             .orderBy(asc("time")))
@@ -143,7 +143,9 @@ GROUP BY cl.de ORDER BY 2 DESC, 1 LIMIT 20""")
 def mkt_interest_overlap(t: Tables, sectors=()) -> DataFrame:
     """Topic co-occurrence; the sector CTE is not de-duplicated, so an entry
     counts (its sector rows) × (its rows of the other topic) times."""
-    other = (entry_topics(t).filter(~F.col("de").isin(list(sectors)))
+    # No selection means all sectors, and then no other topic is left.
+    unselected = ~F.col("de").isin(list(sectors)) if sectors else F.lit(False)
+    other = (entry_topics(t).filter(unselected)
              .groupBy("entry_id", "de").agg(F.count(F.lit(1)).alias("m")))
     agg = (sector_multiplicity(t, sectors).join(other, "entry_id")
            .groupBy(F.col("de").alias("other_topic"))
@@ -175,7 +177,7 @@ def mkt_cities(t: Tables, sectors=()) -> DataFrame:
 
 @query("mkt_detail", section=S, sectors=SECTORS, oracle=f"""
 SELECT li.name_text AS organisation, li.legal_form_text AS legal_form, a.city,
-       CAST(SUM(fe.expenses_to_eur) AS BIGINT) AS finances FROM register_entry re
+       CAST(SUM(fe.expenses_to_eur) AS DECIMAL(38, 0)) AS finances FROM register_entry re
 JOIN lobbyist_identity li ON re.id = li.entry_id
 JOIN address a ON li.address_id = a.id
 JOIN financial_expenses fe ON re.id = fe.entry_id {_SECTOR_JOIN}
@@ -184,7 +186,7 @@ ORDER BY 4 DESC NULLS FIRST, 1 NULLS LAST, 2 NULLS LAST, 3 NULLS LAST LIMIT 100"
 def mkt_detail(t: Tables, sectors=()) -> DataFrame:
     fe = child_stats(t["financial_expenses"], "entry_id", "expenses_to_eur", "fe")
     per_entry = (sector_multiplicity(t, sectors).join(fe, "entry_id")
-                 .select("entry_id", (F.col("n") * F.col("fe_sum")).alias("s")))
+                 .select("entry_id", exact("n", "fe_sum").alias("s")))
     agg = (per_entry.join(identities(t, "name_text", "legal_form_text", "address_id"), "entry_id")
            .join(addresses(t, "city"), "address_id")
            .groupBy(F.col("name_text").alias("organisation"),

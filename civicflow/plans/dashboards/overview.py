@@ -49,7 +49,7 @@ FROM activities_interests ai JOIN activity_operation_type aot ON ai.activity_ope
 GROUP BY code""")
 def ov_operation_type(t: Tables) -> DataFrame:
     # Partial aggregation first, then the 3-row enum join (drops unknown codes).
-    aot = F.broadcast(t["activity_operation_type"].select(F.col("code").alias("operation_type")))
+    aot = t["activity_operation_type"].select(F.col("code").alias("operation_type"))
     counts = (t["activities_interests"]
               .groupBy(F.col("activity_operation_type").alias("operation_type"))
               .agg(F.count(F.lit(1)).alias("n")))
@@ -69,7 +69,7 @@ SELECT CASE WHEN li.identity = 'NATURAL' THEN '{IDENTITY_NATURAL}'
 FROM lobbyist_identity li LEFT JOIN code_label cl ON li.legal_form_type_label_id = cl.id
 GROUP BY 1 ORDER BY lobbyists DESC""")
 def ov_identity_type(t: Tables) -> DataFrame:
-    cl = F.broadcast(t["code_label"].select(F.col("id").alias("legal_form_type_label_id"), "de"))
+    cl = t["code_label"].select(F.col("id").alias("legal_form_type_label_id"), "de")
     kind = (F.when(F.col("identity") == "NATURAL", F.lit(IDENTITY_NATURAL))
             .when(F.col("legal_form_type_label_id").isNotNull(),
                   F.coalesce(F.col("de"), F.lit(IDENTITY_UNKNOWN_FORM)))
@@ -101,7 +101,7 @@ JOIN activities_interests ai ON ai.id = foi.activities_id
 LEFT JOIN code_label cl ON cl.id = foi.label_id
 GROUP BY field_label ORDER BY mentions DESC NULLS FIRST, field_label LIMIT 10""")
 def ov_top_fields(t: Tables) -> DataFrame:
-    cl = F.broadcast(t["code_label"].select(F.col("id").alias("label_id"), "de", "en"))
+    cl = t["code_label"].select(F.col("id").alias("label_id"), "de", "en")
     ai = t["activities_interests"].select(F.col("id").alias("activities_id"))
     label = F.coalesce("de", "en", "field_of_interest_text", F.lit("Unspecified"))
     agg = (t["field_of_interest"].select("activities_id", "label_id", "field_of_interest_text")
