@@ -34,7 +34,7 @@ def ingested(t: Tables):
     """(tables, entries, pages) of the round trip, built once per table set."""
     key = id(t)
     with _lock:
-        return _memo[key] if key in _memo else _build(t, key)
+        return (_memo[key] if key in _memo else _build(t, key))[:3]
 
 
 def _build(t: Tables, key: int):
@@ -45,7 +45,8 @@ def _build(t: Tables, key: int):
         spark = entries.sparkSession
         entries = stage(entries, "entries")
         tables, _ = ingest_to(entries, shared_path(spark, "ingest", unique=True))
-        _memo[key] = (tables, entries, pages)
+        # The table set is kept with its entry, so its id is never used again.
+        _memo[key] = (tables, entries, pages, t)
     return _memo[key]
 
 

@@ -32,10 +32,10 @@ def _label(t: Tables, id_col: str) -> Column:
 
 
 def _with_label(t: Tables, df: DataFrame, id_col: str) -> DataFrame:
-    cl = F.broadcast(t["code_label"].select(F.col("id").alias(id_col),
-                                            F.col("code").alias(f"{id_col}__code"),
-                                            F.col("de").alias(f"{id_col}__de"),
-                                            F.col("en").alias(f"{id_col}__en")))
+    cl = t["code_label"].select(F.col("id").alias(id_col),
+                                F.col("code").alias(f"{id_col}__code"),
+                                F.col("de").alias(f"{id_col}__de"),
+                                F.col("en").alias(f"{id_col}__en"))
     return df.join(cl, id_col, "left")
 
 
@@ -112,10 +112,10 @@ def nest_documents(t: Tables, source: str = "register-fixture") -> DataFrame:
                                    .alias("membersCount"))
     addr = t["address"].select(F.col("id").alias("address_id"), "zip_code", "city",
                                F.col("country_id"))
-    country = F.broadcast(t["country_label"].select(F.col("id").alias("country_id"),
-                                                    F.col("code").alias("c_code"),
-                                                    F.col("de").alias("c_de"),
-                                                    F.col("en").alias("c_en")))
+    country = t["country_label"].select(F.col("id").alias("country_id"),
+                                        F.col("code").alias("c_code"),
+                                        F.col("de").alias("c_de"),
+                                        F.col("en").alias("c_en"))
     addr = addr.join(country, "country_id", "left").select(
         "address_id", F.struct(F.col("zip_code").alias("zipCode"), F.col("city"),
                                F.when(F.col("c_code").isNotNull(), F.struct(
