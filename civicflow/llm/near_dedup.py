@@ -41,10 +41,15 @@ from civicflow.llm.common import (ByteHash, NULL_ID, U64, accumulate, full_text,
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 20, 5
+#: How much more the rarest shingle weighs than one that every document has.  Small, so
+#: that near copies in a large group, whose common shingles are frequent, stay similar.
+DAMP = 0.1
 BUCKETS = 1 << 20
 #: Pivots of a band in each round after the first.
-PIVOTS = 8
+PIVOTS = 32
+#: Features that are sampled at a time, so that their arrays stay in the cache.
+PORTION = 1 << 14
 #: Bits of a feature's hash.
 _FEATURE = 44
 
@@ -78,8 +83,10 @@ def count_features(batch: pa.RecordBatch, total: np.ndarray) -> None:
 
 
 def idf_table(frequency: np.ndarray) -> np.ndarray:
-    """ln(1 + N / df) of each counter."""
-    return np.log1p(frequency[-1] / np.maximum(frequency[:-1], 1)).astype(np.float32)
+    """Damped inverse document frequency of each counter: 1 + DAMP * ln(N / df) / ln(N)."""
+    n = max(int(frequency[-1]), 2)
+    share = np.clip(frequency[:-1], 1, n) / n
+    return (1 - DAMP * np.log(share) / np.log(n)).astype(np.float32)
 
 
 def weights(feature: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -109,26 +116,41 @@ class Sampler:
     def samples(self, feature: np.ndarray, weight: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """One hash of (feature, level) per sample and non-empty row: shape (samples, rows)."""
         size = np.diff(offsets)
-        start = offsets[:-1][size > 0]
-        own = np.repeat(np.arange(len(start)), size[size > 0])
+        edges = np.append(offsets[:-1][size > 0], len(feature))
+        out, row = [np.zeros((len(self.factor), 0), U64)], 0
+        while row < len(edges) - 1:
+            last = max(int(np.searchsorted(edges, edges[row] + PORTION, side="right")) - 1, row + 1)
+            a, b = edges[row], edges[last]
+            out.append(self._portion(feature[a:b], weight[a:b], edges[row:last] - a))
+            row = last
+        return np.concatenate(out, 1)
+
+    def _portion(self, feature: np.ndarray, weight: np.ndarray, start: np.ndarray) -> np.ndarray:
+        size = np.diff(np.append(start, len(feature)))
+        own = np.repeat(np.arange(len(start), dtype=np.int32), size)
         out = np.zeros((len(self.factor), len(start)), U64)
-        if not len(start):
-            return out
-        log_w = np.log(weight)
+        log_w, base = np.log(weight), feature + U64(1)
         for i, factor in enumerate(self.factor):
-            z = (feature + U64(1)) * factor
+            z = base * factor
             z ^= z >> U64(29)
             z *= U64(0xBF58476D1CE4E5B9)
             z ^= z >> U64(32)
-            r = self.gamma[(z & U64(0xFFFF)).astype(np.int32)]
-            log_c = self.log_gamma[(z >> U64(16) & U64(0xFFFF)).astype(np.int32)]
-            b = (z >> U64(40)).astype(np.float32) * np.float32(2.0 ** -24)
-            level = np.floor(log_w / r + b)
-            log_a = log_c - r * (level - b) - r
+            bits = z.view(np.uint16).reshape(-1, 4)
+            r = self.gamma[bits[:, 0]]
+            b = bits[:, 2].astype(np.float32)
+            b *= np.float32(2.0 ** -16)
+            level = log_w / r
+            level += b
+            np.floor(level, out=level)
+            log_a = b
+            log_a -= level
+            log_a -= 1
+            log_a *= r
+            log_a += self.log_gamma[bits[:, 1]]
             least = np.minimum.reduceat(log_a, start)
             at = np.flatnonzero(log_a == least[own])
-            rows, first = np.unique(own[at], return_index=True)
-            at = at[first]
+            if len(at) > len(start):
+                at = at[np.append(True, own[at[1:]] != own[at[:-1]])]
             out[i] = mix(feature[at] ^ mix(level[at].astype(np.int64).astype(U64) + U64(i)))
         return out
 
@@ -166,23 +188,19 @@ def similarity(fa, wa, fb, wb) -> float:
 
 
 def _compared(idf, batches: Iterator[pa.RecordBatch]):
-    """Similarity of each row's two texts; the pivot's features are kept while it stays the same."""
-    def listed(text):
-        f, c, _ = features(text)
-        return f, weights(f, c, idf.value)
-
-    last, known = None, None
+    """Similarity of each row's two texts."""
     for batch in batches:
-        pivots = batch.column(1).to_pylist()
-        sims = []
-        texts, others = full_text(batch, "text"), full_text(batch, "pivot_text")
-        for i, pivot in enumerate(pivots):
-            if pivot != last:
-                last, known = pivot, listed(others.slice(i, 1))
-            sims.append(similarity(*listed(texts.slice(i, 1)), *known))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sims, pa.float64())],
-            ["node", "pivot", "sim"])
+        for part in slices(batch):
+            sides = []
+            for column in ("text", "pivot_text"):
+                f, c, offsets = features(full_text(part, column))
+                sides.append((f, weights(f, c, idf.value), offsets))
+            (fa, wa, a), (fb, wb, b) = sides
+            sims = [similarity(fa[a[i]:a[i + 1]], wa[a[i]:a[i + 1]], fb[b[i]:b[i + 1]], wb[b[i]:b[i + 1]])
+                    for i in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(sims, pa.float64())],
+                ["node", "pivot", "sim"])
 
 
 def _least(members: DataFrame, n: int) -> DataFrame:
@@ -208,8 +226,7 @@ def _links(members: DataFrame, texts: DataFrame, idf) -> DataFrame | None:
         both = (distinct.join(texts, "node")
                 .join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text")),
                       "pivot")
-                .select("node", "pivot", "text", "pivot_text")
-                .sortWithinPartitions("pivot"))
+                .select("node", "pivot", "text", "pivot_text"))
         sims = staged(both.mapInArrow(lambda it: _compared(idf, it),
                                       "node binary, pivot binary, sim double"), "sims")
         found = sims.where(F.col("sim") >= SIMILARITY).select("node", "pivot")

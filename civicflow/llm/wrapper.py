@@ -41,6 +41,8 @@ from civicflow.llm.common import prepare, slices, staged
 
 CONSTANT = 0.9
 LEAST_PAGES = 3
+#: Nesting of blocks that the skeleton follows.
+DEPTH = 60
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # HTML element kinds.
@@ -148,19 +150,21 @@ def parse(html: str) -> Node:
     return root
 
 
-def _find(node: Node, tag: str, out: list[Node]) -> list[Node]:
-    for c in node.children:
-        if isinstance(c, Node) and not c.skipped:
-            if c.tag == tag:
-                out.append(c)
-            else:
-                _find(c, tag, out)
+def _find(node: Node, tag: str) -> list[Node]:
+    """The outermost elements of a kind, in page order."""
+    out, stack = [], [node]
+    while stack:
+        x = stack.pop()
+        if x.tag == tag and x is not node:
+            out.append(x)
+        else:
+            stack += [c for c in reversed(x.children) if isinstance(c, Node) and not c.skipped]
     return out
 
 
 def roots(page: Node) -> list[Node]:
     """The main part, else the articles, else the page."""
-    return _find(page, "main", []) or _find(page, "article", []) or [page]
+    return _find(page, "main") or _find(page, "article") or [page]
 
 
 def blocks(node: Node, template: set[int]) -> list[str]:
@@ -197,26 +201,43 @@ def blocks(node: Node, template: set[int]) -> list[str]:
     return out
 
 
+def _inner(node: Node) -> Iterator[Node | str]:
+    """Texts and outermost blocks below ``node``, in page order."""
+    stack = [iter(node.children)]
+    while stack:
+        for c in stack[-1]:
+            if not isinstance(c, Node):
+                yield c
+            elif not c.skipped:
+                if c.tag in BLOCK:
+                    yield c
+                else:
+                    stack.append(iter(c.children))
+                    break
+        else:
+            stack.pop()
+
+
 def skeleton(page: Node) -> tuple[list, list[Node]]:
-    """[label, text hash, children] of containers and outer blocks, and the nodes in pre-order."""
+    """[label, text hash, children] of containers and outer blocks, and the nodes in pre-order.
+
+    Articles, and what lies deeper than ``DEPTH`` blocks, are one node each."""
     nodes: list[Node] = []
 
-    def build(node: Node) -> list:
+    def build(node: Node, depth: int) -> list:
         nodes.append(node)
-        own = [node.label, zlib.crc32("\n".join(blocks(node, set())).encode("utf-8", "replace")), []]
-        if node.tag not in ("article", "main"):
-            for c in inner(node):
-                own[2].append(build(c))
+        own: list = [node.label, 0, []]
+        if node.tag in ("article", "main") or depth == DEPTH:
+            own[1] = zlib.crc32("\n".join(blocks(node, set())).encode("utf-8", "replace"))
+            return own
+        for c in _inner(node):
+            if isinstance(c, Node):
+                own[2].append(build(c, depth + 1))
+                own[1] = zlib.crc32(own[2][-1][1].to_bytes(4, "little"), own[1])
+            elif text := " ".join(c.split()):
+                own[1] = zlib.crc32(text.encode("utf-8", "replace"), own[1])
         return own
-
-    def inner(node: Node) -> Iterator[Node]:
-        for c in node.children:
-            if isinstance(c, Node) and not c.skipped:
-                if c.tag in BLOCK:
-                    yield c
-                else:
-                    yield from inner(c)
-    return build(page), nodes
+    return build(page, 0), nodes
 
 
 def match(left: list, right: list) -> list[tuple[int, int]]:
@@ -292,8 +313,9 @@ def _aligned(batches: Iterator[pa.RecordBatch]):
         found: dict[tuple[str, int], list[int]] = {}
         parsed: dict[str, list] = {}
         for host, tree, reference in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            ref = parsed.setdefault(reference, json.loads(reference)) if reference not in parsed \
-                else parsed[reference]
+            if reference not in parsed:
+                parsed[reference] = json.loads(reference)
+            ref = parsed[reference]
             own = json.loads(tree)
             a, b = _flat(own), _flat(ref)
             for i, j in match(own, ref):
