@@ -74,6 +74,17 @@ def extract_entries(pages: DataFrame) -> DataFrame:
             .filter(F.col("e").isNotNull()))
 
 
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """SRC-1/7: (_page, reason) of pages that the JSON reader could not parse.
+
+    A bare list that also holds non-objects is read by ``extract_entries`` and
+    is no reject; a page cut off in the middle, or no JSON at all, is one."""
+    raw = F.col("_corrupt_record")
+    bare = F.trim(raw).startswith("[") & F.from_json(raw, T.ArrayType(T.StringType())).isNotNull()
+    return pages.where(raw.isNotNull() & ~F.coalesce(bare, F.lit(False))).select(
+        "_page", F.lit("unreadable page").alias("reason"))
+
+
 def merge_page_metadata(entries: DataFrame) -> DataFrame:
     """SRC-3: page-level source fields override the entry's when not NULL."""
     e = F.col("e")

@@ -16,6 +16,7 @@ from civicflow.session import shared_path
 from civicflow.sources import pages as P
 
 LABEL_TABLES = ("code_label", "country_label")
+ENUM_TABLES = tuple(ENUMS)
 
 
 def seed_enums(spark: SparkSession) -> dict[str, DataFrame]:
@@ -116,6 +117,9 @@ def ingest_entries(entries: DataFrame, staged: bool = False
     code_label, country_label = label_dimensions(uses)
     tables["code_label"] = code_label.withColumn(ENTRY, F.lit(None).cast("string"))
     tables["country_label"] = country_label.withColumn(ENTRY, F.lit(None).cast("string"))
+    # The enum tables belong to every store (SRC-12); they have no entry.
+    for name, codes in seed_enums(entries.sparkSession).items():
+        tables[name] = codes.withColumn(ENTRY, F.lit(None).cast("string"))
     return tables, rej
 
 
@@ -128,13 +132,6 @@ def ingest_to(entries: DataFrame, path: str) -> tuple[dict[str, DataFrame], Data
     return read_tables(spark, path, list(tables)), rej
 
 
-def ingest_pages(pages: DataFrame) -> tuple[dict[str, DataFrame], DataFrame | None]:
-    """SRC-2 … SRC-7 in one lazy plan: extract, merge, dedupe, flatten,
-    quarantine."""
-    entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(pages)))
-    return ingest_entries(entries)
-
-
 def upsert_entries(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """SRC-5: register_entry keyed by register number, the incoming run wins.
 
@@ -155,7 +152,7 @@ def replace_children(current: dict[str, DataFrame], incoming: dict[str, DataFram
     keys = incoming["register_entry"].select(ENTRY).distinct()
     out: dict[str, DataFrame] = {}
     for name in set(current) | set(incoming):
-        if name in LABEL_TABLES:
+        if name in LABEL_TABLES or name in ENUM_TABLES:
             continue
         old = current.get(name)
         new = incoming.get(name)
@@ -170,6 +167,9 @@ def replace_children(current: dict[str, DataFrame], incoming: dict[str, DataFram
                                                incoming["register_entry"])
     for name in LABEL_TABLES:
         out[name] = merge_labels(current.get(name), incoming.get(name))
+    for name in ENUM_TABLES:
+        if name in incoming or name in current:
+            out[name] = incoming.get(name, current.get(name))
     return out
 
 
@@ -224,6 +224,6 @@ def refresh_all(tables, path: str | None = None) -> dict[str, DataFrame]:
                                                      f"{base}/mv_revolving_door_network")}
 
 
-__all__ = ["seed_enums", "schema_rejects", "quarantine", "ingest_entries", "ingest_pages",
+__all__ = ["seed_enums", "schema_rejects", "quarantine", "ingest_entries",
            "upsert_entries", "replace_children", "write_tables", "read_tables", "materialize",
            "refresh_all"]

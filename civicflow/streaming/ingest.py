@@ -6,14 +6,20 @@ files; every micro-batch goes through the batch ingest (extract → merge →
 de-duplicate → flatten → quarantine) and is applied to the current store
 with ``replace_children``: re-ingested entries lose all of their old rows.
 
-The store is versioned: batch ``n`` writes a complete new version
-``v<n>`` next to the old ones and commits it with a directory rename, so a
-reader never sees a half-written version, and a micro-batch replayed after a
-failure (same epoch id) rewrites the same version — the sink is idempotent.
+The store is versioned: a batch writes a complete new version into a folder of
+its own and commits it by creating ``_commits/<number>`` as the last step, a
+file that names the folder, the stream and its epoch.  Numbers only grow, also
+when a stream starts anew at epoch 0 from an empty checkpoint; creating a
+number twice fails, so of two writers one loses.  A batch that its stream
+has committed already (replayed after a failure) is skipped.  Versions older
+than the last ``KEEP`` are removed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +28,9 @@ from civicflow.session import shared_path
 from civicflow.sources import pages as P
 from civicflow.sources.store import ingest_entries, read_tables, replace_children, write_tables
 
+#: Committed versions that stay on disk: readers of the last one may still run.
+KEEP = 3
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -29,40 +38,73 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def versions(spark: SparkSession, out: str) -> list[str]:
-    """Committed versions below ``out`` (directory names ``v<epoch>``)."""
-    p, fs = _fs(spark, out)
+def _commits(spark: SparkSession, out: str) -> list[str]:
+    """Paths of the commit files below ``out``, oldest first."""
+    p, fs = _fs(spark, f"{out.rstrip('/')}/_commits")
     if not fs.exists(p):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    return sorted(n for n in names if n.startswith("v") and not n.endswith(".tmp"))
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)
+                  if s.getPath().getName().isdigit())
+
+
+def _read(spark: SparkSession, path: str) -> dict:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def versions(spark: SparkSession, out: str) -> list[dict]:
+    """Committed versions: number, folder, stream, epoch."""
+    return [_read(spark, c) for c in _commits(spark, out)]
 
 
 def current_tables(spark: SparkSession, out: str) -> dict[str, DataFrame] | None:
     vs = versions(spark, out)
     if not vs:
         return None
-    base = f"{out.rstrip('/')}/{vs[-1]}"
+    base = f"{out.rstrip('/')}/{vs[-1]['folder']}"
     p, fs = _fs(spark, base)
     names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
     return read_tables(spark, base, names)
 
 
-def apply_batch(pages: DataFrame, epoch_id: int, out: str) -> None:
-    """One micro-batch: ingest the new pages and commit a new store version."""
+def _commit(spark: SparkSession, out: str, entry: dict) -> None:
+    p, fs = _fs(spark, f"{out.rstrip('/')}/_commits/{entry['number']:010d}")
+    stream = fs.create(p, False)               # fails if the number is taken
+    try:
+        stream.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        stream.close()
+
+
+def _expire(spark: SparkSession, out: str) -> None:
+    """Remove all but the last KEEP versions, commit file first."""
+    for path in _commits(spark, out)[:-KEEP]:
+        folder = _read(spark, path)["folder"]
+        for old in (path, f"{out.rstrip('/')}/{folder}"):
+            p, fs = _fs(spark, old)
+            fs.delete(p, True)
+
+
+def apply_batch(pages: DataFrame, epoch_id: int, out: str, stream: str = "") -> None:
+    """One micro-batch of ``stream``: ingest the new pages and commit a new store version."""
     spark = pages.sparkSession
+    done = versions(spark, out)
+    if any(v["stream"] == stream and v["epoch"] >= epoch_id for v in done):
+        return
     entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(pages)))
     incoming, _ = ingest_entries(entries)
     current = current_tables(spark, out)
     merged = incoming if current is None else replace_children(current, incoming)
-    final = f"{out.rstrip('/')}/v{epoch_id:010d}"
-    tmp = final + ".tmp"
-    write_tables(merged, tmp)
-    p_tmp, fs = _fs(spark, tmp)
-    p_final, _ = _fs(spark, final)
-    if fs.exists(p_final):          # replayed epoch: replace the old attempt
-        fs.delete(p_final, True)
-    fs.rename(p_tmp, p_final)
+    number = done[-1]["number"] + 1 if done else 0
+    folder = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
+    write_tables(merged, f"{out.rstrip('/')}/{folder}")
+    _commit(spark, out, {"number": number, "folder": folder, "stream": stream, "epoch": epoch_id})
+    _expire(spark, out)
 
 
 def stream_ingest(spark: SparkSession, landing: str, out: str,
@@ -76,7 +118,7 @@ def stream_ingest(spark: SparkSession, landing: str, out: str,
               .withColumn("_page", F.col("_metadata.file_path")))
     ckpt = checkpoint or shared_path(spark, "stream-checkpoints", unique=True)
     writer = (reader.writeStream
-              .foreachBatch(lambda df, epoch: apply_batch(df, epoch, out))
+              .foreachBatch(lambda df, epoch: apply_batch(df, epoch, out, ckpt))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")
