@@ -7,13 +7,16 @@
 2. Improved consistent weighted sampling (Ioffe) draws ``BANDS * ROWS`` samples
    per document: two documents share a sample with the probability of their
    weighted Jaccard similarity.  ``ROWS`` samples form a band.
-3. Equal texts are one node.  Nodes that share a band are candidates: each band's
-   least node is a pivot that all others are compared with by the exact
-   weighted Jaccard similarity.  Pairs from ``SIMILARITY`` up are links.
-4. Pivots leave their bands and the rest goes round again.  Since 1 - similarity
-   is a metric, a node linked to a pivot leaves too unless it could still
-   link to a node that is not: no link between band mates is lost, and no
-   round emits pairs within a band.
+3. Equal texts are one node.  Nodes that share a band are candidates and are
+   compared by the exact weighted Jaccard similarity; pairs from
+   ``SIMILARITY`` up are links, and links join components.
+4. Band mates are compared in rounds.  In each band, up to ``PIVOTS`` nodes that
+   are not in the band's largest component so far (one node in the first
+   round) are compared with all mates of other components; then they leave the
+   band.  A band is done when its nodes are of one component.  So every pair
+   of mates is compared unless it is known to be of one component: classes
+   lose no link, and a group of near copies, which one pivot joins, is never
+   paired off.
 5. Links and copies give connected components by alternating large and small stars.
 
 Every table between the steps is written below the shared checkpoint folder.
@@ -46,7 +49,7 @@ BANDS, ROWS = 20, 5
 #: that near copies in a large group, whose common shingles are frequent, stay similar.
 DAMP = 0.1
 BUCKETS = 1 << 20
-#: Pivots of a band in each round after the first.
+#: Pivots of a band in a round after the first.
 PIVOTS = 32
 #: Features that are sampled at a time, so that their arrays stay in the cache.
 PORTION = 1 << 14
@@ -205,47 +208,44 @@ def _compared(idf, batches: Iterator[pa.RecordBatch]):
 
 def _least(members: DataFrame, n: int) -> DataFrame:
     """The n least nodes of each band; sub-ranks in salted parts come first, so no hot band is sorted whole."""
-    part = F.pmod(F.xxhash64("node"), F.lit(64))
     rank = F.row_number()
-    rows = members.withColumn("part", part)
+    rows = members.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(64)))
     rows = rows.withColumn("k", rank.over(Window.partitionBy("band", "part").orderBy("node")))
     rows = rows.where(F.col("k") <= n).drop("k", "part")
     rows = rows.withColumn("k", rank.over(Window.partitionBy("band").orderBy("node")))
-    return rows.where(F.col("k") <= n).select("band", F.col("node").alias("pivot"))
+    return rows.where(F.col("k") <= n).select(
+        "band", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
 
 
-def _links(members: DataFrame, texts: DataFrame, idf) -> DataFrame | None:
-    """Links (node, pivot) between the nodes of all bands, by rounds of pivots."""
-    links, first = None, True
+def _roots(members: DataFrame, texts: DataFrame, idf) -> DataFrame | None:
+    """node, root of the nodes that are linked, by rounds of pivots; None without a link."""
+    state, edges, pivots_of = members.withColumn("root", F.col("node")), None, 1
     while True:
-        pivots = members.groupBy("band").agg(F.min("node").alias("pivot")) if first else \
-            _least(members, PIVOTS)
-        pairs = members.join(pivots, "band").where(F.col("node") > F.col("pivot"))
-        pairs = staged(pairs.select("band", "node", "pivot"), "pairs")
-        distinct = pairs.select("node", "pivot").distinct()
-        both = (distinct.join(texts, "node")
-                .join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text")),
-                      "pivot")
-                .select("node", "pivot", "text", "pivot_text"))
-        sims = staged(both.mapInArrow(lambda it: _compared(idf, it),
-                                      "node binary, pivot binary, sim double"), "sims")
-        found = sims.where(F.col("sim") >= SIMILARITY).select("node", "pivot")
-        links = found if links is None else links.unionByName(found)
-        rest = pairs.join(sims, ["node", "pivot"])
-        far = 1 - F.col("sim")
-        # Distance of the nearest node that is not linked to the pivot.
-        gap = rest.where(F.col("sim") < SIMILARITY).groupBy("band", "pivot").agg(
-            F.min(far).alias("gap"))
-        stay = rest.join(gap, ["band", "pivot"]).select("band", "node", (
-            (F.col("sim") < SIMILARITY) | (far >= F.col("gap") - (1 - SIMILARITY) - 1e-9)).alias("open"))
-        stay = stay.groupBy("band", "node").agg(F.min("open").alias("open")).where("open")
-        stay = stay.join(pivots.select("band", F.col("pivot").alias("node")), ["band", "node"],
-                         "left_anti").select("band", "node")
-        counts = stay.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-        members = staged(stay.join(counts, "band", "left_semi"), "members")
-        first = False
-        if members.isEmpty():
-            return links
+        counts = state.groupBy("band", "root").agg(F.count("*").alias("n"))
+        bands = counts.groupBy("band").agg(
+            F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots"))
+        state = state.join(bands.where("roots > 1").select("band", "major"), "band")
+        pivots = staged(_least(state.where("root <> major"), pivots_of), "pivots")
+        if pivots.isEmpty():
+            break
+        pairs = state.join(pivots, "band").where("root <> pivot_root").select(
+            F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot"),
+            F.when(F.col("node") < F.col("pivot"), F.col("root")).otherwise(F.col("pivot_root")).alias("root"),
+            F.when(F.col("node") < F.col("pivot"), F.col("pivot_root")).otherwise(F.col("root")).alias("pivot_root"))
+        other = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+        both = pairs.distinct().join(texts, "node").join(other, "pivot")
+        sims = (both.select("root", "pivot_root", "text", "pivot_text")
+                .mapInArrow(lambda it: _compared(idf, it), "node binary, pivot binary, sim double"))
+        found = staged(sims.where(F.col("sim") >= SIMILARITY).select("node", "pivot").distinct(), "links")
+        state = state.join(pivots.select("band", F.col("pivot").alias("node")), ["band", "node"],
+                           "left_anti").drop("major")
+        if not found.isEmpty():
+            edges = found if edges is None else edges.unionByName(found)
+            merged = components(found).withColumnRenamed("node", "old").withColumnRenamed("root", "new")
+            state = state.join(merged, F.col("root") == F.col("old"), "left").select(
+                "band", "node", F.coalesce("new", "root").alias("root"))
+        state, pivots_of = staged(state, "members"), PIVOTS
+    return None if edges is None else components(edges)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -312,8 +312,9 @@ def classes(docs: DataFrame) -> DataFrame:
             "doc_id", "node")
         texts = staged(rows.join(wanted, ["doc_id", "node"], "left_semi")
                        .dropDuplicates(["doc_id", "node"]).select("node", "text"), "texts")
-        roots = components(_links(members, texts, idf))
-    roots = roots.select("node", "root")
+        roots = _roots(members, texts, idf)
+        if roots is None:
+            roots = members.select("node", F.col("node").alias("root")).distinct()
     labelled = sampled.select("doc_id", "node").join(roots, "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root"))
     labelled = staged(labelled, "labelled")
