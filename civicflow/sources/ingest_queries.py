@@ -22,7 +22,7 @@ from civicflow.plans.registry import query
 from civicflow.sources import pages as P
 from civicflow.sources.nest import nest_documents, pages_text
 from civicflow.session import shared_path
-from civicflow.sources.store import ingest_to, stage
+from civicflow.sources.store import ingest_to, refresh_all, stage, upsert_entries
 
 S = "ingest"
 SOURCE = "register-fixture"
@@ -292,3 +292,114 @@ def src_reconcile(t: Tables) -> DataFrame:
     _, entries, pages = ingested(t)
     return P.reconcile_totals(entries, pages).select(
         "expected", "processed", F.col("missing").cast("int").alias("missing"))
+
+
+@query("flt_client_org", section=S, oracle="""
+SELECT re.register_number, CAST(row_number() OVER (PARTITION BY co.client_identity_id ORDER BY co.id) AS INTEGER) AS ordinal,
+       co.name, co.legal_form_text, ci.clients_present, ci.clients_count
+FROM client_org co JOIN client_identity ci ON ci.id = co.client_identity_id
+JOIN register_entry re ON re.id = ci.entry_id""")
+def flt_client_org(t: Tables) -> DataFrame:
+    """FLT-5: client organisations with their header."""
+    ci = ingested(t)[0]["client_identity"].select(F.col("id").alias("client_identity_id"),
+                                                  "clients_present", "clients_count")
+    return (_numbered(t, "client_org").join(ci, "client_identity_id")
+            .select("register_number", "ordinal", "name", "legal_form_text", "clients_present",
+                    "clients_count"))
+
+
+@query("flt_client_person", section=S, oracle="""
+SELECT re.register_number, CAST(cp.id AS VARCHAR) AS last_name
+FROM client_person cp JOIN client_identity ci ON ci.id = cp.client_identity_id
+JOIN register_entry re ON re.id = ci.entry_id""")
+def flt_client_person(t: Tables) -> DataFrame:
+    """FLT-5: client persons."""
+    return _numbered(t, "client_person").select("register_number", "last_name")
+
+
+@query("flt_employees", section=S, oracle="""
+SELECT re.register_number, ei.related_year_finished, ei.related_year_end, ei.employee_fte
+FROM employees_involved ei JOIN register_entry re ON re.id = ei.entry_id""")
+def flt_employees(t: Tables) -> DataFrame:
+    """FLT-6: employees involved in lobbying."""
+    return _numbered(t, "employees_involved").select(
+        "register_number", "related_year_finished", "related_year_end", "employee_fte")
+
+
+@query("flt_membership_fees", section=S, oracle="""
+SELECT re.register_number, mf.related_year_finished, mf.total_to_eur
+FROM membership_fees mf JOIN register_entry re ON re.id = mf.entry_id""")
+def flt_membership_fees(t: Tables) -> DataFrame:
+    """FLT-11: membership fees."""
+    return _numbered(t, "membership_fees").select("register_number", "related_year_finished",
+                                                  "total_to_eur")
+
+
+@query("flt_annual_reports", section=S, oracle="""
+SELECT re.register_number, ar.refuse_annual_fin_stmt, ar.missing_annual_report_reason
+FROM annual_reports ar JOIN register_entry re ON re.id = ar.entry_id""")
+def flt_annual_reports(t: Tables) -> DataFrame:
+    """FLT-12: annual reports."""
+    return _numbered(t, "annual_reports").select("register_number", "refuse_annual_fin_stmt",
+                                                 "missing_annual_report_reason")
+
+
+@query("flt_contract_parties", section=S, oracle="""
+SELECT re.register_number, 'client' AS side, i.description, o.name, CAST(NULL AS VARCHAR) AS reference_name
+FROM contract_client_org o JOIN contract_clients k ON k.id = o.clients_id
+JOIN contract_item i ON i.id = k.contract_item_id JOIN contracts c ON c.id = i.parent_id
+JOIN register_entry re ON re.id = c.entry_id
+UNION ALL
+SELECT re.register_number, 'contractor', i.description, o.name, o.reference_name
+FROM contractor_org o JOIN contract_contractors k ON k.id = o.contractors_id
+JOIN contract_item i ON i.id = k.contract_item_id JOIN contracts c ON c.id = i.parent_id
+JOIN register_entry re ON re.id = c.entry_id""")
+def flt_contract_parties(t: Tables) -> DataFrame:
+    """FLT-15: client and contractor organisations of the contracts."""
+    tb = ingested(t)[0]
+    items = tb["contract_item"].select(F.col("id").alias("contract_item_id"), "description")
+
+    def side(name: str, header: str, orgs: str, key: str, reference) -> DataFrame:
+        link = tb[header].select(F.col("id").alias(key), "contract_item_id")
+        return (_numbered(t, orgs).join(link, key).join(items, "contract_item_id")
+                .select("register_number", F.lit(name).alias("side"), "description", "name",
+                        reference.alias("reference_name")))
+    return side("client", "contract_clients", "contract_client_org", "clients_id",
+                F.lit(None).cast("string")).unionByName(
+        side("contractor", "contract_contractors", "contractor_org", "contractors_id",
+             F.col("reference_name")))
+
+
+@query("src_enums", section=S, oracle="""
+SELECT aot.code, COUNT(ai.id) AS entries
+FROM activity_operation_type aot LEFT JOIN activities_interests ai ON ai.activity_operation_type = aot.code
+GROUP BY aot.code""")
+def src_enums(t: Tables) -> DataFrame:
+    """SRC-12: the seeded codes of the ingested store and the entries that use each."""
+    tb = ingested(t)[0]
+    used = tb["activities_interests"].groupBy(F.col("activity_operation_type").alias("code")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return tb["activity_operation_type"].select("code").join(used, "code", "left").select(
+        "code", F.coalesce("n", F.lit(0)).alias("entries"))
+
+
+@query("mv_refresh", section=S, oracle="""
+SELECT 'mv_financial_tops' AS view, COUNT(*) AS n FROM mv_financial_tops
+UNION ALL SELECT 'mv_revolving_door_network', COUNT(*) FROM mv_revolving_door_network""")
+def mv_refresh(t: Tables) -> DataFrame:
+    """SRC-11: rows of both views after they were written and read back."""
+    views = refresh_all(t)
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("view"), "n")
+             for name, df in views.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query("src_upsert", section=S, oracle="""
+SELECT register_number, CASE WHEN id % 3 = 0 THEN 'second run' ELSE 'first run' END AS source
+FROM register_entry""")
+def src_upsert(t: Tables) -> DataFrame:
+    """SRC-5: a third of the entries comes again in a second run, which wins."""
+    first = t["register_entry"].select("id", "register_number", F.lit("first run").alias("source"))
+    again = (t["register_entry"].where(F.col("id") % 3 == 0)
+             .select("id", "register_number", F.lit("second run").alias("source")))
+    return upsert_entries(first, again).select("register_number", "source")
