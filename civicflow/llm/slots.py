@@ -21,7 +21,6 @@ other; an empty table gives no row; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -133,12 +132,11 @@ def place(rows: DataFrame, mapping: DataFrame) -> DataFrame:
                     (F.col("base") + F.col("k")).alias("slot"), "virtual_slot"))
 
 
-def shard(docs: DataFrame, shards: int, slots: int = SLOTS, path: str | None = None,
-          versions: Iterable[int] = (1,)) -> DataFrame:
-    """Place ``docs`` (doc_id, text) in shards of near equal bytes under a new map's first version."""
+def shard(docs: DataFrame, shards: int, slots: int = SLOTS, path: str | None = None) -> DataFrame:
+    """Place ``docs`` (doc_id, text) in shards of near equal bytes under version 1 of a new map."""
     spark = docs.sparkSession
     prepare(spark)
     path = path or shared_path(spark, "llm", "slot_map", unique=True)
     rows = staged(slotted(docs, shards, slots), "slotted")
-    mapping = save_map(spark, min(versions), assign(slot_loads(rows), slots, shards), path)
+    mapping = save_map(spark, 1, assign(slot_loads(rows), slots, shards), path)
     return place(rows, mapping)
