@@ -18,7 +18,7 @@ from civicflow.session import ensure_checkpoint_dir, shared_path
 
 #: Rows of an Arrow batch; a batch is cut further at SLICE_BYTES of text.
 BATCH_ROWS = 512
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 
 U64 = np.uint64
@@ -71,6 +71,13 @@ def full_text(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     return pc.fill_null(text, "")
 
 
+def text_slices(texts: list[str]):
+    """The texts as Arrow arrays of at most SLICE_BYTES (or one text)."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    for part in slices(batch):
+        yield full_text(part)
+
+
 def buffer_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and the n + 1 offsets into them."""
     if len(text) == 0:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import (ByteHash, TOKENS, U64, accumulate, full_text, mix, owners,
-                                  prepare, slices, tokens)
+                                  prepare, slices, text_slices, tokens)
 from civicflow.llm.decontaminate import filtered
 from civicflow.llm.toxicity import labelled_sample
 
@@ -167,8 +167,7 @@ def fit(rows: list[tuple[int, str, int]], vectors: np.ndarray) -> Network:
     blank = Network(vectors, np.zeros(1), np.ones(1), None)
     if not len(rows) or y.min() == y.max():
         return blank
-    x = np.concatenate([pooled(pa.array([t for _, t, _ in rows[i:i + 256]], pa.large_string()), vectors)
-                        for i in range(0, len(rows), 256)])
+    x = np.concatenate([pooled(part, vectors) for part in text_slices([t for _, t, _ in rows])])
     held = np.arange(len(y)) % 5 == 4
     if y[~held].min() == y[~held].max():
         held[:] = False

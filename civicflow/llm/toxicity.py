@@ -30,13 +30,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import ByteHash, U64, full_text, owners, prepare, slices, tokens
+from civicflow.llm.common import (ByteHash, U64, full_text, owners, prepare, slices, text_slices,
+                                  tokens)
 
 #: Most labelled rows that the model is fitted on (least hash of doc_id first).
 SAMPLE_ROWS = 4000
 FEATURE_BITS = 18
 BEGINNINGS, ENDINGS = (3, 4, 5, 6, 7), (3, 4)
 CHUNK = 64
+#: Documents whose arrays the driver holds at a time while it fits the chain.
+GROUP = 512
 ITERATIONS = 80
 RATE, PENALTY = 0.2, 1e-6
 #: A feature marks toxic tokens from this share of toxic documents and this much evidence (nats).
@@ -199,43 +202,71 @@ def label_tokens(features: np.ndarray, offsets: np.ndarray, toxic: np.ndarray) -
     return marks[features].any(1) & (toxic[own] == 1)
 
 
+def _groups(offsets: np.ndarray):
+    """First and last document and own offsets of each group of GROUP documents."""
+    for i in range(0, len(offsets) - 1, GROUP):
+        j = min(i + GROUP, len(offsets) - 1)
+        yield i, j, offsets[i:j + 1] - offsets[i]
+
+
+def _all_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and offsets of all texts, a slice at a time."""
+    parts, sizes = [], [np.zeros(1, np.int64)]
+    for part in text_slices(texts):
+        f, _, _, offsets, _ = token_features(part)
+        parts.append(f)
+        sizes.append(np.diff(offsets))
+    return np.concatenate(parts), np.cumsum(np.concatenate(sizes))
+
+
+def _gradient(chain: Chain, words: np.ndarray, code: np.ndarray, y: np.ndarray, offsets: np.ndarray):
+    """Observed minus expected counts: of each distinct word, of the four transitions, of the start."""
+    score = chain.emissions(words)
+    by_word, on_edges, on_start = np.zeros(len(words)), np.zeros(4), 0.0
+    t = np.exp(chain.transitions)
+    for i, j, own in _groups(offsets):
+        at = slice(offsets[i], offsets[j])
+        seen = y[at].astype(float)
+        msg = Messages(score[code[at]], own, chain)
+        rest = seen - msg.marginals()
+        by_word += np.bincount(code[at], rest, len(words))
+        starts = own[:-1][np.diff(own) > 0]
+        on_start += rest[starts].sum()
+        inner = np.ones(len(seen), bool)
+        inner[starts] = False
+        here = np.flatnonzero(inner)
+        a, x = msg.forward[here - 1], msg.power[here] * msg.backward[here]
+        joint = np.stack([np.full(len(here), t[0, 0]), t[0, 1] * x, a * t[1, 0], a * t[1, 1] * x])
+        on_edges += np.bincount((2 * seen[here - 1] + seen[here]).astype(int), minlength=4)
+        on_edges -= (joint / joint.sum(0)).sum(1)
+    return by_word, on_edges, on_start
+
+
 def fit(rows: list[tuple[int, str, int]]) -> Chain | None:
     """The chain fitted on labelled documents; None without both classes."""
     toxic = np.array([r[2] for r in rows], np.int64)
     if not len(rows) or toxic.min() == toxic.max():
         return None
-    f, _, _, offsets, _ = token_features(pa.array([r[1] for r in rows], pa.large_string()))
-    y = label_tokens(f, offsets, toxic).astype(float)
+    f, offsets = _all_features([r[1] for r in rows])
+    y = label_tokens(f, offsets, toxic)
     # Emissions depend on the word alone: work on distinct words.
     _, first, code = np.unique(f[:, 0].astype(np.int64) << 32 | f[:, 3].astype(np.int64) << 14
                                | f[:, 7] >> 4, return_index=True, return_inverse=True)
-    words = f[first]
-    inner = np.ones(len(y), bool)
-    inner[offsets[:-1][np.diff(offsets) > 0]] = False
-    here = np.flatnonzero(inner)
+    words, code = f[first], code.astype(np.int32)
+    del f
     chain = Chain(np.zeros(1 << FEATURE_BITS), np.zeros((2, 2)), 0.0)
     params = np.zeros(len(chain.weights) + 5)
     params[-4:-1] = [-4.0, 0.0, 0.0]     # clean -> toxic is rare at first
     params[-5] = -4.0
     mean, square = np.zeros_like(params), np.zeros_like(params)
-    seen = np.array([np.sum((y[here - 1] == i) & (y[here] == j)) for i in (0, 1) for j in (0, 1)], float)
-    starts = ~inner
     for step in range(1, ITERATIONS + 1):
         chain.weights, chain.start = params[:-5], params[-5]
         chain.transitions = np.array([[0.0, params[-4]], [params[-3], params[-2]]])
-        e = chain.emissions(words)[code]
-        msg = Messages(e, offsets, chain)
-        p = msg.marginals()
+        by_word, on_edges, on_start = _gradient(chain, words, code, y, offsets)
         gradient = np.zeros_like(params)
-        by_word = np.bincount(code, y - p, len(words))
         for k in range(words.shape[1]):
             gradient[:-5] += np.bincount(words[:, k], by_word, len(chain.weights))
-        gradient[-5] = np.sum((y - p)[starts])
-        t = np.exp(chain.transitions)
-        a, x = msg.forward[here - 1], msg.power[here] * msg.backward[here]
-        joint = np.stack([np.full(len(here), t[0, 0]), t[0, 1] * x, a * t[1, 0], a * t[1, 1] * x])
-        joint /= joint.sum(0)
-        gradient[-4:-1] = seen[1:] - joint.sum(1)[1:]
+        gradient[-5], gradient[-4:-1] = on_start, on_edges[1:]
         gradient = gradient / len(rows) - PENALTY * params
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient ** 2
@@ -243,8 +274,10 @@ def fit(rows: list[tuple[int, str, int]]) -> Chain | None:
             np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
     chain.weights, chain.start = params[:-5].copy(), float(params[-5])
     chain.transitions = np.array([[0.0, params[-4]], [params[-3], params[-2]]])
-    p = Messages(chain.emissions(words)[code], offsets, chain).marginals()
-    _calibrate(chain, _top(p, offsets), toxic)
+    score = chain.emissions(words)
+    top = np.concatenate([_top(Messages(score[code[offsets[i]:offsets[j]]], own, chain).marginals(), own)
+                          for i, j, own in _groups(offsets)])
+    _calibrate(chain, top, toxic)
     return chain
 
 
