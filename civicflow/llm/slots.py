@@ -49,7 +49,7 @@ def rebalance(current: dict[int, int], loads: dict[int, int], shards: int) -> di
     """The next version of a map: fewest moves that level the shards' bytes.
 
     Slots of shards that no longer exist move first; then the fullest shard
-    gives the emptiest its largest slot that still narrows their difference."""
+    gives the emptiest the slot that narrows their difference most."""
     out = dict(current)
     total = {s: 0 for s in range(shards)}
     own: dict[int, list[tuple[int, int]]] = {s: [] for s in range(shards)}
@@ -69,8 +69,9 @@ def rebalance(current: dict[int, int], loads: dict[int, int], shards: int) -> di
         high = max(total, key=lambda s: (total[s], -s))
         low = min(total, key=lambda s: (total[s], s))
         gap = total[high] - total[low]
-        move = max((x for x in own[high] if 0 < x[0] <= gap // 2), default=None)
-        if move is None or gap <= 2:
+        move = min((x for x in own[high] if 0 < x[0] < gap),
+                   key=lambda x: (abs(gap - 2 * x[0]), x), default=None)
+        if move is None:
             return out
         own[high].remove(move)
         own[low].append(move)
