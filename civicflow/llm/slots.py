@@ -71,7 +71,8 @@ def rebalance(current: dict[int, int], loads: dict[int, int], shards: int) -> di
         gap = total[high] - total[low]
         move = min((x for x in own[high] if 0 < x[0] < gap),
                    key=lambda x: (abs(gap - 2 * x[0]), x), default=None)
-        if move is None:
+        # Level to within one slot: more moves would only trade slots of like size.
+        if move is None or gap <= max(own[high])[0]:
             return out
         own[high].remove(move)
         own[low].append(move)
