@@ -1,16 +1,17 @@
-"""Operator 5: benchmark decontamination by rare n-gram seeds and local alignment.
+"""Operator 5: benchmark decontamination by n-gram seeds and local alignment.
 
 1. Words are runs of letters and digits, lower case.  Every ``N`` consecutive
-   words of a test item are a seed candidate.  One scan of all texts counts
-   the documents that hold each candidate; an item keeps as seeds those no
-   more frequent than its median candidate, so a passage that leaked into a
-   third of all documents still has seeds.
-2. A second scan joins seeds to texts.  Hits of one item on near diagonals form
-   a window of the text.
+   words of a test item are a seed.  None is left out: in an edited or partial
+   copy the seeds that survive are the frequent ones, those it broke the rare.
+2. One scan joins seeds to texts.  Hits of one item on near diagonals form a
+   window of the text.  An alignment scores at most 2 for each word that item
+   and window share, so windows with too few shared words are dropped unaligned.
 3. Smith-Waterman alignment of item and window (match +2, mismatch and gap
    -1) scores each window; the score is divided by that of a full match.
    A pair counts from ``MIN_SCORE``, or from ``MIN_RUN`` words' worth of a long item.
 
+A text's hits are taken at most ``HITS`` at a time (or those of one text and
+item), so seeds that many items share need no more memory.
 The items are a stated query set: they are taken in blocks of at most
 ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of text, and each block's index is
 broadcast.  Nothing else is shuffled or gathered.
@@ -30,8 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import (ByteHash, U64, accumulate, full_text, mix, prepare, ragged,
-                                  slices, tokens)
+from civicflow.llm.common import (ByteHash, U64, full_text, mix, owners, prepare, ragged, slices,
+                                  tokens)
 
 N = 3
 MIN_WORDS = 5
@@ -41,6 +42,8 @@ BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
 #: Cells of one row of a batch of alignments.
 CELLS = 1 << 20
+#: Hits that are grouped into windows at a time.
+HITS = 1 << 19
 SCHEMA = "doc_id long, item_id long, score double, first_word int, last_word int"
 
 _BITS = 20
@@ -75,27 +78,17 @@ class Index:
         per = np.maximum(lengths - N + 1, 0)
         at = ragged(self.offsets[:-1], per)
         grams = ngrams(self.words, at) if len(at) else np.zeros(0, U64)
-        self.seeds, self.seed_of = np.unique(grams, return_inverse=True)
-        self.item_of = np.repeat(np.arange(len(lengths)), per)
-        self.place = at - self.offsets[:-1][self.item_of]
-        self.keep(np.ones(len(self.seeds), bool)[self.seed_of])
-
-    def keep(self, which: np.ndarray) -> None:
-        """Postings (item, place) by seed, of the chosen candidates."""
-        order = np.flatnonzero(which)
-        order = order[np.argsort(self.seed_of[order], kind="stable")]
-        self.post_item, self.post_place = self.item_of[order], self.place[order]
-        self.post = np.searchsorted(self.seed_of[order], np.arange(len(self.seeds) + 1))
-
-    def choose(self, frequency: np.ndarray) -> None:
-        """Keep each item's candidates up to its median document frequency."""
-        of = frequency[self.seed_of]
-        median = np.zeros(len(self.ids))
-        edges = np.searchsorted(self.item_of, np.arange(len(self.ids) + 1))
-        for i in range(len(self.ids)):
-            own = of[edges[i]:edges[i + 1]]
-            median[i] = np.median(own) if len(own) else 0
-        self.keep(of <= median[self.item_of])
+        self.seeds, seed_of = np.unique(grams, return_inverse=True)
+        item = np.repeat(np.arange(len(lengths)), per)
+        # Postings (item, place) by seed and item.
+        order = np.argsort(seed_of, kind="stable")
+        self.post_item = item[order]
+        self.post_place = (at - self.offsets[:-1][item])[order]
+        self.post_key = seed_of[order] * (len(lengths) + 1) + self.post_item
+        # How often each item has each of its words.
+        self.vocabulary, word = np.unique(self.words, return_inverse=True)
+        self.bag, self.bag_count = np.unique(
+            owners(self.offsets) * len(self.vocabulary) + word, return_counts=True)
 
     def hits(self, text: pa.Array):
         """Word hashes, offsets, and (row, word position, seed) of each seed candidate."""
@@ -119,13 +112,54 @@ class Index:
 
     def matches(self, text: pa.Array):
         """row, item, score, first and last word (in the text) of all pairs that count."""
-        words, offsets, row, place, seed = self.hits(text)
-        count = self.post[seed + 1] - self.post[seed]
-        at = ragged(self.post[seed], count)
-        row, place = np.repeat(row, count), np.repeat(place, count)
-        item, diagonal = self.post_item[at], place - self.post_place[at]
-        if not len(row):
+        words, offsets, *hits = self.hits(text)
+        found = [self._windows(words, offsets, *part) for part in self._parts(*hits, 0, len(self.ids))]
+        if not found:
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) + (np.zeros(0, np.int64),) * 2
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _parts(self, row, place, seed, low, high):
+        """row, item, diagonal of the hits of items low..high - 1, all of a row and item together."""
+        first = np.searchsorted(self.post_key, seed * (len(self.ids) + 1) + low)
+        count = np.searchsorted(self.post_key, seed * (len(self.ids) + 1) + high) - first
+        if not count.any():
+            return
+        if count.sum() > HITS and row[0] < row[-1]:
+            cut = np.searchsorted(row, (row[0] + row[-1]) // 2, side="right")
+            yield from self._parts(row[:cut], place[:cut], seed[:cut], low, high)
+            yield from self._parts(row[cut:], place[cut:], seed[cut:], low, high)
+        elif count.sum() > HITS and high - low > 1:
+            middle = (low + high) // 2
+            yield from self._parts(row, place, seed, low, middle)
+            yield from self._parts(row, place, seed, middle, high)
+        else:
+            at = ragged(first, count)
+            yield (np.repeat(row, count), self.post_item[at],
+                   np.repeat(place, count) - self.post_place[at])
+
+    def _shared(self, words, start, length, item):
+        """Words that each window shares with its item, repeated ones as often as both have them."""
+        out = np.zeros(len(item), np.int64)
+        ends = np.cumsum(length)
+        at = 0
+        while at < len(item):
+            done = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, done + CELLS, side="right")), at + 1)
+            word = words[ragged(start[at:to], length[at:to])]
+            window = np.repeat(np.arange(to - at), length[at:to])
+            v = np.minimum(np.searchsorted(self.vocabulary, word), len(self.vocabulary) - 1)
+            known = self.vocabulary[v] == word
+            window, key = window[known], item[at:to][window[known]] * len(self.vocabulary) + v[known]
+            own = np.minimum(np.searchsorted(self.bag, key), len(self.bag) - 1)
+            known = self.bag[own] == key
+            pair, n = np.unique(window[known] * len(self.bag) + own[known], return_counts=True)
+            n = np.minimum(n, self.bag_count[pair % len(self.bag)])
+            out[at:to] = np.bincount(pair // len(self.bag), weights=n, minlength=to - at)
+            at = to
+        return out
+
+    def _windows(self, words, offsets, row, item, diagonal):
+        """The pairs that count, from hits (row, item, diagonal)."""
         order = np.lexsort((diagonal, item, row))
         row, item, diagonal = row[order], item[order], diagonal[order]
         size = np.diff(self.offsets)
@@ -138,8 +172,11 @@ class Index:
         slack = size[i] // 4 + 4
         lo = np.maximum(diagonal[first] - slack, 0)
         hi = np.minimum(diagonal[last] + size[i] + slack, np.diff(offsets)[r])
+        counts = lambda score, i: (score >= 2 * MIN_SCORE * size[i]) | (score >= 2 * MIN_RUN)
+        good = counts(2 * self._shared(words, offsets[:-1][r] + lo, hi - lo, i), i)
+        r, i, lo, hi = (x[good] for x in (r, i, lo, hi))
         best, where = self._align(words, offsets[:-1][r] + lo, hi - lo, i)
-        good = (best >= 2 * MIN_SCORE * size[i]) | (best >= 2 * MIN_RUN)
+        good = counts(best, i)
         r, i, lo, hi, best, where = (x[good] for x in (r, i, lo, hi, best, where))
         _, back = self._align(words, offsets[:-1][r] + lo, hi - lo, i, reverse=True)
         a, b = lo + (hi - lo - 1 - back), lo + where
@@ -208,22 +245,12 @@ def blocks(items: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
 
 
 def indexes(docs: DataFrame, items: DataFrame) -> Iterator:
-    """A broadcast index of each block, its seeds chosen by their frequency in all of ``docs``."""
+    """A broadcast index of each block."""
     spark = prepare(docs.sparkSession)
-    rows = docs.select(F.col("text").cast("string").alias("text"))
     for ids, texts in blocks(items):
         index = Index(ids, texts)
-        if not len(index.seeds):
-            continue
-        shared = spark.sparkContext.broadcast(index)
-
-        def count(batch: pa.RecordBatch, total: np.ndarray, shared=shared) -> None:
-            _, _, row, _, seed = shared.value.hits(full_text(batch))
-            pairs = np.unique(row * len(total) + seed)
-            total += np.bincount(pairs % len(total), minlength=len(total))
-
-        index.choose(accumulate(rows, count, len(index.seeds)))
-        yield spark.sparkContext.broadcast(index)
+        if len(index.seeds):
+            yield spark.sparkContext.broadcast(index)
 
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

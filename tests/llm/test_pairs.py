@@ -190,3 +190,39 @@ def test_features_count_whole_texts():
     f, count, offsets = near_dedup.features(pa.array(["a b c d e a b c d e", "", "One, two"], pa.large_string()))
     assert offsets.tolist() == [0, 5, 5, 6]
     assert sorted(count[:5].tolist()) == [1, 1, 1, 1, 2]
+
+
+def test_heavily_edited_and_partial_copies_beside_exact_ones(spark):
+    rng = random.Random(21)
+    items = [(i, _words(40, rng)) for i in range(40)] + [(40, _words(100, rng))]
+    docs, planted, d = [], set(), 0
+    for i, words in items[:40]:
+        for edits in (10, 0)[:1 + i % 2]:               # a quarter of the words another; every second item also whole
+            copy = list(words)
+            for j in rng.sample(range(40), edits):
+                copy[j] = "edited"
+            docs.append((d, " ".join(_words(50, rng) + copy + _words(50, rng))))
+            planted.add((d, i))
+            d += 1
+    for at in (0, 30, 55):                              # 45 words in a row of a long item
+        docs.append((d, " ".join(_words(50, rng) + items[40][1][at:at + 45] + _words(50, rng))))
+        planted.add((d, 40))
+        d += 1
+    got = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == planted
+
+
+def test_few_hits_at_a_time_give_the_same(monkeypatch):
+    rng = random.Random(22)
+    items = [" ".join(["which", "of", "the", "following"] + _words(25, rng)) for _ in range(30)]
+    docs = [" ".join(_words(30, rng) + rng.choice(items).split()[:22] + ["which", "of", "the", "following"])
+            for _ in range(40)]
+    text = pa.array(docs + [""], pa.large_string())
+    index = decontaminate.Index(list(range(30)), items)
+    whole = [x.tolist() for x in index.matches(text)]
+    assert len(whole[0]) == 40
+    monkeypatch.setattr(decontaminate, "HITS", 7)
+    monkeypatch.setattr(decontaminate, "CELLS", 50)
+    assert [x.tolist() for x in index.matches(text)] == whole
