@@ -3,20 +3,24 @@
 1. A page is parsed into a tree.  Elements that are no article by their kind
    (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
    styles, comments) are cut off.
-2. The rest's skeleton (containers and the blocks outside the article, each
-   with its label and a hash of its text) is aligned with that of one
-   reference page of the host by simple tree matching, the largest
-   order-preserving matching of equally labelled nodes.
+2. The rest's skeleton (containers and blocks, each with its label and a hash
+   of its text) is aligned with that of one reference page of the host and
+   layout by simple tree matching, the largest order-preserving matching of
+   equally labelled nodes and, of these, one with most equal texts.  A layout is
+   the containers around the article; one with fewer than ``LEAST_PAGES``
+   distinct pages takes the reference and counts of the whole host.
 3. Per node of the reference, matches and matches with equal text are counted
-   over all distinct skeletons of the host.  A node that is equal in at least
-   ``CONSTANT`` of ``LEAST_PAGES`` or more is template; the others are slots.
-   An article is a slot as a whole: paragraphs that pages share stay.
-4. Each page is aligned with its host's wrapper and loses the template nodes;
-   the blocks of the article (or main part, or body) are its text.
-
-Counts are sums per (host, node), so a host may hold any share of the pages;
-the wrapper of a host is one small row, and only hosts that have template
-nodes have one.  That table is joined to the pages, without a hint.
+   over all distinct skeletons.  A node that is equal in at least ``CONSTANT``
+   of ``LEAST_PAGES`` or more is template; the others are slots.  Inside an
+   article only boxes are nodes: containers, and blocks with a class or id
+   that no sibling has.  Plain paragraphs that pages share stay, and so does
+   what two copies of one article share.
+4. Each page is aligned with its wrapper and loses the template nodes; the
+   blocks of the article (or main part, or body) are its text.
+
+Counts are sums per (host, layout, node), so a host may hold any share of the
+pages; a wrapper is one small row, and only those that have template nodes are
+kept.  That table is joined to the pages, without a hint.
 
 Edge cases: null or empty html gives the empty text; a page without article
 and main part is read from its body; if the template would leave a page
@@ -30,6 +34,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -71,6 +76,7 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_DIGITS = re.compile(r"\d+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 
 
@@ -91,7 +97,8 @@ def _node(tag: str, attributes: str, in_article: bool) -> Node:
         a = _attributes(attributes)
         names = f"{a.get('class', '')} {a.get('id', '')}".lower().strip()
         if names:
-            label = f"{tag}.{names}"
+            # Numbers in ids and classes differ from page to page.
+            label = tag if tag in ("body", "article", "main") else f"{tag}.{_DIGITS.sub('0', names)}"
             words = set(_SPLIT.split(names))
             skipped = (skipped or tag not in ("body", "html") and bool(words & SKIPPED_WORDS)
                        or not in_article and tag not in ("body", "html") and bool(words & HEADER_WORDS))
@@ -201,77 +208,114 @@ def blocks(node: Node, template: set[int]) -> list[str]:
     return out
 
 
-def _inner(node: Node) -> Iterator[Node | str]:
-    """Texts and outermost blocks below ``node``, in page order."""
-    stack = [iter(node.children)]
+def _inner(node: Node, boxes: bool = False) -> Iterator[Node | str]:
+    """Texts and outermost blocks (of an article: boxes) below ``node``, in page order."""
+    def once(x: Node) -> set[str]:
+        labels = [c.label for c in x.children if isinstance(c, Node)] if boxes else []
+        return {k for k, n in Counter(labels).items() if n == 1 and "." in k}
+
+    stack = [(iter(node.children), once(node))]
     while stack:
-        for c in stack[-1]:
+        rest, single = stack[-1]
+        for c in rest:
             if not isinstance(c, Node):
                 yield c
             elif not c.skipped:
-                if c.tag in BLOCK:
+                if c.tag in BLOCK and (not boxes or c.tag in CONTAINER or c.label in single):
                     yield c
                 else:
-                    stack.append(iter(c.children))
+                    stack.append((iter(c.children), once(c)))
                     break
         else:
             stack.pop()
 
 
 def skeleton(page: Node) -> tuple[list, list[Node]]:
-    """[label, text hash, children] of containers and outer blocks, and the nodes in pre-order.
+    """[label, text hash, children] of containers and blocks, and the nodes in pre-order.
 
-    Articles, and what lies deeper than ``DEPTH`` blocks, are one node each."""
+    Inside an article only boxes are nodes.  What lies deeper than ``DEPTH`` blocks is one node."""
     nodes: list[Node] = []
 
-    def build(node: Node, depth: int) -> list:
+    def build(node: Node, depth: int, boxes: bool) -> list:
         nodes.append(node)
         own: list = [node.label, 0, []]
-        if node.tag in ("article", "main") or depth == DEPTH:
+        if depth == DEPTH:
             own[1] = zlib.crc32("\n".join(blocks(node, set())).encode("utf-8", "replace"))
             return own
-        for c in _inner(node):
+        boxes = boxes or node.tag in ("article", "main")
+        for c in _inner(node, boxes):
             if isinstance(c, Node):
-                own[2].append(build(c, depth + 1))
+                own[2].append(build(c, depth + 1, boxes))
                 own[1] = zlib.crc32(own[2][-1][1].to_bytes(4, "little"), own[1])
             elif text := " ".join(c.split()):
                 own[1] = zlib.crc32(text.encode("utf-8", "replace"), own[1])
         return own
-    return build(page, 0), nodes
+    return build(page, 0, False), nodes
+
+
+def layout(page: Node) -> int:
+    """Hash of the labels around the main part or article, else of the page's labelled outer blocks."""
+    for tag in ("main", "article"):
+        stack = [(page, ())]
+        while stack:
+            x, path = stack.pop()
+            if x.tag == tag:
+                return zlib.crc32("/".join(path).encode("utf-8", "replace"))
+            if len(path) < DEPTH:
+                path += (x.label,)
+                stack += [(c, path) for c in reversed(x.children) if isinstance(c, Node) and not c.skipped]
+    outer = [c for c in _inner(page) if isinstance(c, Node)]
+    outer += [c for x in outer if x.tag == "body" for c in _inner(x) if isinstance(c, Node)]
+    return zlib.crc32("|".join(sorted({c.label for c in outer if "." in c.label})).encode("utf-8", "replace"))
+
+
+#: A matched node weighs more than any number of equal texts.
+_NODE = 1 << 24
 
 
 def match(left: list, right: list) -> list[tuple[int, int]]:
-    """Simple tree matching: pairs of pre-order numbers of the largest matching of equal labels."""
+    """Simple tree matching: pairs of pre-order numbers of the largest matching of equal labels.
+
+    Of the largest matchings it is one with most equal texts."""
     def numbered(tree: list, at: int) -> tuple[tuple, int]:
         number, children = at, []
         at += 1
         for c in tree[2]:
             child, at = numbered(c, at)
             children.append(child)
-        return (tree[0], number, children), at
+        return (tree[0], number, children, tree[1]), at
 
     def best(a: tuple, b: tuple) -> tuple[int, list]:
-        if a[0] != b[0]:
-            return 0, []
         m, n = len(a[2]), len(b[2])
         score = [[0] * (n + 1) for _ in range(m + 1)]
         pairs: dict[tuple[int, int], tuple[int, list]] = {}
-        for i in range(1, m + 1):
-            for j in range(1, n + 1):
-                w = best(a[2][i - 1], b[2][j - 1])
-                pairs[i, j] = w
-                score[i][j] = max(score[i - 1][j], score[i][j - 1], score[i - 1][j - 1] + w[0])
+        for i, x in enumerate(a[2], 1):
+            above, row, left = score[i - 1], score[i], 0
+            for j, y in enumerate(b[2], 1):
+                if left < above[j]:
+                    left = above[j]
+                if x[0] == y[0]:
+                    if x[2] and y[2]:
+                        w = pairs[i, j] = best(x, y)
+                        w = w[0]
+                    else:
+                        w = _NODE + (x[3] == y[3])
+                    if left < above[j - 1] + w:
+                        left = above[j - 1] + w
+                row[j] = left
         found, i, j = [(a[1], b[1])], m, n
         while i and j:
-            w = pairs[i, j]
-            if w[0] and score[i][j] == score[i - 1][j - 1] + w[0]:
-                found += w[1]
-                i, j = i - 1, j - 1
-            elif score[i][j] == score[i - 1][j]:
+            if score[i][j] == score[i - 1][j]:
                 i -= 1
-            else:
+            elif score[i][j] == score[i][j - 1]:
                 j -= 1
-        return score[m][n] + 1, found
+            else:
+                x, y = a[2][i - 1], b[2][j - 1]
+                found += pairs[i, j][1] if x[2] and y[2] else [(x[1], y[1])]
+                i, j = i - 1, j - 1
+        return score[m][n] + _NODE + (a[3] == b[3]), found
+    if left[0] != right[0]:
+        return []
     return best(numbered(left, 0)[0], numbered(right, 0)[0])[1]
 
 
@@ -283,7 +327,7 @@ def _flat(tree: list) -> list[list]:
 
 
 def extract(html: str | None, wrapper: str | None = None, constant: list[int] | None = None) -> str:
-    """Main text of a page, given its host's reference skeleton and template nodes, if any."""
+    """Main text of a page, given its layout's reference skeleton and template nodes, if any."""
     page = parse(html or "")
     template: set[int] = set()
     if wrapper:
@@ -301,50 +345,80 @@ def _skeletons(batches: Iterator[pa.RecordBatch]):
         for part in slices(batch, "html"):
             out = []
             for html in part.column(2).to_pylist():
-                tree = skeleton(parse(html or ""))[0]
-                out.append(json.dumps(tree, separators=(",", ":")))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())],
-                                             ["h", "host", "tree"])
+                page = parse(html or "")
+                out.append((layout(page), json.dumps(skeleton(page)[0], separators=(",", ":"))))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array([x[0] for x in out], pa.int64()),
+                 pa.array([x[1] for x in out], pa.string())], ["h", "host", "layout", "tree"])
+
+
+def _inside_copies(tree: list, pairs: list[tuple[int, int]], a: list[list], b: list[list]) -> set[int]:
+    """Pre-order numbers of the nodes of ``tree`` inside articles whose whole text equals the reference's."""
+    equal = {i for i, j in pairs if a[i][0] in ("article", "main") and a[i][1] == b[j][1]}
+    out: set[int] = set()
+    for i in equal:
+        out.update(range(i + 1, i + len(_flat(a[i]))))
+    return out
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]):
-    """(host, node, pages, equal) of each batch's alignments with the reference."""
+    """(host, layout, node, pages, equal) of each batch's alignments with the reference."""
     for batch in batches:
-        found: dict[tuple[str, int], list[int]] = {}
+        found: dict[tuple[str, int, int], list[int]] = {}
         parsed: dict[str, list] = {}
-        for host, tree, reference in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for host, kind, tree, reference in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if reference not in parsed:
                 parsed[reference] = json.loads(reference)
             ref = parsed[reference]
             own = json.loads(tree)
             a, b = _flat(own), _flat(ref)
-            for i, j in match(own, ref):
-                n = found.setdefault((host, j), [0, 0])
+            pairs = match(own, ref)
+            copies = _inside_copies(own, pairs, a, b) if tree != reference else set()
+            for i, j in pairs:
+                if i in copies:
+                    continue
+                n = found.setdefault((host, kind, j), [0, 0])
                 n[0] += 1
                 n[1] += a[i][1] == b[j][1]
-        rows = [(h, j, n, e) for (h, j), (n, e) in found.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()),
-             pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
-            ["host", "node", "pages", "equal"])
+        rows = [(*key, n, e) for key, (n, e) in found.items()]
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                         ["host", "kind", "node", "pages", "equal"])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, tree (reference skeleton), constant (its template nodes) of hosts with template nodes."""
+    """host, layout, reference (skeleton), constant (its template nodes) of layouts with template nodes."""
     rows = pages.where("host IS NOT NULL").select(
         F.xxhash64("page_id", "url").alias("h"), "host", F.col("html").cast("string").alias("html"))
-    trees = staged(rows.mapInArrow(_skeletons, "h long, host string, tree string")
-                   .groupBy("host", "tree").agg(F.min("h").alias("h")), "skeletons")
-    reference = trees.groupBy("host").agg(F.min_by("tree", F.struct("h", "tree")).alias("reference"))
-    counts = (trees.join(reference, "host").select("host", "tree", "reference")
-              .mapInArrow(_aligned, "host string, node int, pages long, equal long")
-              .groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.sum("equal").alias("equal")))
-    # Node 0 is the page itself; a reference has few nodes, so a host's list is small.
+    trees = staged(rows.mapInArrow(_skeletons, "h long, host string, layout long, tree string")
+                   .groupBy("host", "layout", "tree").agg(F.min("h").alias("h")), "skeletons")
+    # Rare layouts are of the kind -1, which covers all pages of the host.
+    kinds = (trees.groupBy("host", "layout").agg(F.count("*").alias("n"))
+             .select("host", "layout", F.when(F.col("n") >= LEAST_PAGES, F.col("layout"))
+                     .otherwise(-1).alias("kind")))
+    common = kinds.where("kind >= 0")
+    whole = kinds.where("kind < 0").select("host").distinct()
+    trees = (trees.join(common, ["host", "layout"]).select("host", "kind", "tree", "h")
+             .unionByName(trees.join(whole, "host", "left_semi")
+                          .select("host", F.lit(-1).cast("long").alias("kind"), "tree", "h")))
+    reference = trees.groupBy("host", "kind").agg(F.min_by("tree", F.struct("h", "tree")).alias("reference"))
+    counts = (trees.join(reference, ["host", "kind"]).select("host", "kind", "tree", "reference")
+              .mapInArrow(_aligned, "host string, kind long, node int, pages long, equal long")
+              .groupBy("host", "kind", "node").agg(F.sum("pages").alias("pages"), F.sum("equal").alias("equal")))
+    # Node 0 is the page itself; a reference has few nodes, so a list is small.
     constant = (counts.where((F.col("node") > 0) & (F.col("pages") >= LEAST_PAGES)
                              & (F.col("equal") >= F.col("pages") * CONSTANT))
-                .groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("constant")))
-    return staged(constant.join(reference, "host").select("host", "reference", "constant"),
-                  "wrappers")
+                .groupBy("host", "kind").agg(F.sort_array(F.collect_list("node")).alias("constant")))
+    return staged(constant.join(reference, ["host", "kind"]).join(kinds, ["host", "kind"])
+                  .select("host", "layout", "reference", "constant"), "wrappers")
+
+
+def _layouts(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for part in slices(batch, "html"):
+            found = [layout(parse(html or "")) for html in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.int64())],
+                                             [*part.schema.names, "layout"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -364,5 +438,6 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").alias("html"),
         F.expr("nullif(lower(regexp_extract(url, '" + _HOST.replace("\\", "\\\\") + "', 1)), '')").alias("host"))
-    return (rows.join(wrappers(rows), "host", "left")
+    known = rows.mapInArrow(_layouts, "page_id long, url string, html string, host string, layout long")
+    return (known.join(wrappers(rows), ["host", "layout"], "left")
             .select("page_id", "url", "html", "reference", "constant").mapInArrow(_texts, SCHEMA))

@@ -177,3 +177,24 @@ def test_wrapper_drops_what_all_pages_of_a_host_share(spark):
     assert text[201].startswith("Everything") and text[202] == ""
     assert all(r.n_chars == len(r.text) for r in got)
     assert wrapper.main_text(df.limit(0)).count() == 0
+
+
+def test_wrapper_drops_boxes_inside_articles_and_knows_layouts(spark):
+    story = ("<html><body><div class='w1'><article id='post-{0}'><h1>Title {0}</h1><p>Told by us.</p>"
+             "<div class='k7'><p>Join our <b>list</b>!</p></div><div><p>story {0} one</p></div>{1}"
+             "<p class='z9'>Pass it on.</p></article></div></body></html>")
+    video = ("<html><body><div class='v2'><main><div>Clip {0}</div><div class='q4'>Watch more</div>"
+             "<p>about {0}</p></main></div></body></html>")
+    more = lambda i: "".join(f"<div><p>part {i} {k}</p></div>" for k in range(i % 3))
+    rows = [(i, f"https://a.example/{i}", story.format(i, more(i))) for i in range(7)]
+    rows += [(100 + i, f"https://a.example/v{i}", video.format(i)) for i in range(4)]
+    # Copies of one article under other surroundings are no evidence.
+    copy = "<html><body><p>{0}</p><article><h1>One</h1><div><p>same text</p></div></article></body></html>"
+    rows += [(200 + i, f"https://c.example/{i}", copy.format(i)) for i in range(5)]
+    df = spark.createDataFrame([(i, u, h) for i, u, h in rows], "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in wrapper.main_text(df).collect()}
+    for i in range(7):
+        assert text[i].split("\n\n") == [f"Title {i}", "Told by us.", f"story {i} one"] + [
+            f"part {i} {k}" for k in range(i % 3)]
+    assert [text[100 + i] for i in range(4)] == [f"Clip {i}\n\nabout {i}" for i in range(4)]
+    assert {text[200 + i] for i in range(5)} == {"One\n\nsame text"}
