@@ -23,8 +23,10 @@ pages; a wrapper is one small row, and only those that have template nodes are
 kept.  That table is joined to the pages, without a hint.
 
 Edge cases: null or empty html gives the empty text; a page without article
-and main part is read from its body; if the template would leave a page
-without text, the page is read without it; null urls have no host and no
+and main part is read from its body; a word of a class or id does not cut what
+is or holds the article (see ``_spare``); if the template would leave a page
+without text, the page is read without it, and if the class words would,
+without them; null urls have no host and no
 wrapper; unclosed and cut-off pages are read as far as they go; repeated rows
 are kept; an empty table gives no row.
 """
@@ -46,6 +48,8 @@ from civicflow.llm.common import prepare, slices, staged
 
 CONSTANT = 0.9
 LEAST_PAGES = 3
+#: Share of a page's text that no word of a class cuts off.
+MOST = 0.75
 #: Nesting of blocks that the skeleton follows.
 DEPTH = 60
 SCHEMA = "page_id long, url string, text string, n_chars long"
@@ -81,10 +85,13 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 
 
 class Node:
-    __slots__ = ("tag", "label", "skipped", "children")
+    """An element; ``worded`` if only a word of its class or id cuts it."""
 
-    def __init__(self, tag: str, label: str, skipped: bool):
-        self.tag, self.label, self.skipped, self.children = tag, label, skipped, []
+    __slots__ = ("tag", "label", "skipped", "worded", "children")
+
+    def __init__(self, tag: str, label: str, skipped: bool, worded: bool = False):
+        self.tag, self.label, self.children = tag, label, []
+        self.skipped, self.worded = skipped or worded, worded and not skipped
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -92,7 +99,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _node(tag: str, attributes: str, in_article: bool) -> Node:
-    label, skipped = tag, tag in SKIPPED or tag == "header" and not in_article
+    label, skipped, worded = tag, tag in SKIPPED or tag == "header" and not in_article, False
     if attributes.strip(" /\n\t\r"):
         a = _attributes(attributes)
         names = f"{a.get('class', '')} {a.get('id', '')}".lower().strip()
@@ -100,13 +107,13 @@ def _node(tag: str, attributes: str, in_article: bool) -> Node:
             # Numbers in ids and classes differ from page to page.
             label = tag if tag in ("body", "article", "main") else f"{tag}.{_DIGITS.sub('0', names)}"
             words = set(_SPLIT.split(names))
-            skipped = (skipped or tag not in ("body", "html") and bool(words & SKIPPED_WORDS)
-                       or not in_article and tag not in ("body", "html") and bool(words & HEADER_WORDS))
+            worded = tag not in ("body", "html") and (
+                bool(words & SKIPPED_WORDS) or not in_article and bool(words & HEADER_WORDS))
         style = a.get("style", "").replace(" ", "").lower()
         skipped = (skipped or a.get("role", "").lower() in SKIPPED_ROLES or "hidden" in a
                    or a.get("aria-hidden", "").lower() == "true" or "display:none" in style
                    or "visibility:hidden" in style)
-    return Node(tag, label, skipped)
+    return Node(tag, label, skipped, worded)
 
 
 def parse(html: str) -> Node:
@@ -154,9 +161,52 @@ def parse(html: str) -> Node:
         elif tag not in VOID and not m[3].endswith("/"):
             stack.append(node)
             articles += tag in ("article", "main")
+    _spare(root)
     return root
 
 
+def _spare(page: Node) -> None:
+    """Takes back cuts by a class word of elements that are or hold the page's article or most of its text.
+
+    These are all that are or hold a main part; without one, those that are or
+    hold the first article, if it outweighs all text that is not cut (a comment
+    or teaser after the article does not); else, on a page that keeps no
+    article, those with more than ``MOST`` of its text."""
+    order: list[tuple[Node, int]] = []       # nodes that are not cut by kind, with their parent's number
+    stack = [(page, -1)]
+    while stack:
+        x, parent = stack.pop()
+        order.append((x, parent))
+        stack += [(c, len(order) - 1) for c in reversed(x.children)
+                  if isinstance(c, Node) and (c.worded or not c.skipped)]
+    if not any(x.worded for x, _ in order):
+        return
+    size = [sum(len(c.strip()) for c in x.children if isinstance(c, str)) for x, _ in order]
+    cut = [False] * len(order)               # below or at an element cut by a word
+    for i, (x, parent) in enumerate(order):
+        cut[i] = x.worded or parent >= 0 and cut[parent]
+    for i in range(len(order) - 1, 0, -1):
+        size[order[i][1]] += size[i]
+
+    def around(i: int) -> Iterator[int]:
+        while i >= 0:
+            if order[i][0].worded:
+                yield i
+            i = order[i][1]
+
+    kept = sum(len(c.strip()) for (x, _), off in zip(order, cut) if not off
+               for c in x.children if isinstance(c, str))
+    mains = [i for i, (x, _) in enumerate(order) if x.tag == "main"]
+    articles = [i for i, (x, _) in enumerate(order) if x.tag == "article"]
+    spared = {j for i in mains for j in around(i)}
+    if articles and not mains and size[articles[0]] > kept:
+        spared.update(around(articles[0]))
+    if not spared and all(cut[i] for i in mains + articles):
+        spared.update(i for i, (x, _) in enumerate(order) if x.worded and size[i] > MOST * size[0])
+    for i in spared:
+        order[i][0].skipped = order[i][0].worded = False
+
+
 def _find(node: Node, tag: str) -> list[Node]:
     """The outermost elements of a kind, in page order."""
     out, stack = [], [node]
@@ -337,7 +387,17 @@ def extract(html: str | None, wrapper: str | None = None, constant: list[int] |
                     if j in chosen and nodes[i].tag not in ("article", "main")}
     read = lambda cut: "\n\n".join(b for r in roots(page) for b in blocks(r, cut))
     text = read(template)
-    return text if text or not template else read(set())
+    if not text and template:
+        text = read(set())
+    if not text and html:
+        stack: list = [page]
+        while stack:
+            x = stack.pop()
+            if x.worded:
+                x.skipped = x.worded = False
+            stack += [c for c in x.children if isinstance(c, Node)]
+        text = read(set())
+    return text
 
 
 def _skeletons(batches: Iterator[pa.RecordBatch]):

@@ -198,3 +198,17 @@ def test_wrapper_drops_boxes_inside_articles_and_knows_layouts(spark):
             f"part {i} {k}" for k in range(i % 3)]
     assert [text[100 + i] for i in range(4)] == [f"Clip {i}\n\nabout {i}" for i in range(4)]
     assert {text[200 + i] for i in range(5)} == {"One\n\nsame text"}
+
+
+def test_class_words_do_not_cut_the_article():
+    article = "<h1>Head</h1><p>Long enough a story to outweigh the rest.</p>"
+    for page in ("<div class='layout has-sidebar'><article>{0}</article><div class='sidebar'>links</div></div><div>tail</div>",
+                 "<article class='post comment-open'>{0}<div class='share'>send</div></article>",
+                 "<div id='social-page'><div class='header-wide'><main class='with-related'>{0}</main></div></div>",
+                 "<article>{0}</article><div class='comments'><article>" + "reader says " * 30 + "</article></div>",
+                 "<div class='page with-sidebar'>{0}<div class='ad'>buy</div></div>",
+                 "<div class='widget'><div class='promo'>{0}</div></div>"):
+        assert wrapper.extract(page.format(article)) == "Head\n\nLong enough a story to outweigh the rest."
+    comments = "<div>{0}</div><div class='comments'><article>reader</article><article>says</article></div>"
+    assert wrapper.extract(comments.format(article)) == "Head\n\nLong enough a story to outweigh the rest."
+    assert wrapper.extract("<div class='notice'>closed</div><nav>home</nav>") == "closed"
