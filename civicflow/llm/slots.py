@@ -7,8 +7,12 @@ moves change shard, records are never hashed anew.
 
 Records hash by their text, so equal texts share a slot and a shard.  A group
 of equal texts that weighs more than ``1 / HOT_SHARE`` of a shard would spoil
-the balance; its records hash by ``doc_id`` instead.  There are at most
-``shards * HOT_SHARE`` such groups, so their list is broadcast.
+the balance; its records hash by ``doc_id`` instead, and where one ``doc_id``
+(or null) alone weighs that much, by their place in the staged rows.  There are
+at most ``shards * HOT_SHARE`` of each, so their lists are broadcast.
+
+A slot with more than ``MANY`` times the rows of an average one (very many short
+or empty texts) is numbered in ``SUBSLOTS`` parts, not by one task.
 
 The map is a Parquet table (version, slot, shard) with one row per slot and
 version, below the shared folder; a new version is a new file set.
@@ -30,6 +34,8 @@ from civicflow.session import shared_path
 
 SLOTS = 8192
 HOT_SHARE = 8
+SUBSLOTS = 64
+MANY = 16
 ROW_BYTES = 8
 MAP_SCHEMA = "version int, slot int, shard int"
 
@@ -104,10 +110,16 @@ def slotted(docs: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
     hot = (rows.groupBy("h").agg(F.sum("size").alias("b")).join(F.broadcast(total))
            .where(F.col("b") * (shards * HOT_SHARE) > F.col("t"))
            .select("h", F.lit(True).alias("hot")))
-    key = F.when(F.col("hot"), F.xxhash64("doc_id", "h")).otherwise(F.col("h"))
-    return rows.join(F.broadcast(hot), "h", "left").select(
-        "doc_id", "size", "text_crc32",
-        F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot"))
+    rows = rows.withColumn("place", F.monotonically_increasing_id()).join(F.broadcast(hot), "h", "left")
+    repeated = (rows.where("hot").groupBy(F.col("h").alias("g"), F.col("doc_id").alias("d"))
+                .agg(F.sum("size").alias("b")).join(F.broadcast(total))
+                .where(F.col("b") * (shards * HOT_SHARE) > F.col("t"))
+                .select("g", "d", F.lit(True).alias("repeated")))
+    key = (F.when(F.col("repeated"), F.xxhash64("doc_id", "h", "place"))
+           .when(F.col("hot"), F.xxhash64("doc_id", "h")).otherwise(F.col("h")))
+    return (rows.join(F.broadcast(repeated), (F.col("h") == F.col("g")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+            .select("doc_id", "size", "text_crc32",
+                    F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot")))
 
 
 def slot_loads(rows: DataFrame) -> dict[int, int]:
@@ -116,24 +128,38 @@ def slot_loads(rows: DataFrame) -> dict[int, int]:
 
 
 def place(rows: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Rows with their shard and gapless position there (by virtual slot, then doc_id).
-
-    The position is the slot's offset in its shard, a prefix sum over the
-    slots, plus the row's number within its slot: no window spans a shard."""
-    counts = rows.groupBy("virtual_slot").agg(F.count("*").alias("n"))
-    per_shard = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(
+    """Rows with their shard and gapless position there (by virtual slot, part of it, then doc_id).
+
+    ``rows`` are staged.  The position is the offset of the slot's part in its
+    shard, a prefix sum over slots and parts, plus the row's number within the
+    part: no window over rows spans a shard or a whole slot."""
+    sizes = rows.groupBy("virtual_slot").agg(F.count("*").alias("n"))
+    many = (sizes.join(F.broadcast(sizes.agg(F.avg("n").alias("mean")))).where(F.col("n") > MANY * F.col("mean"))
+            .select("virtual_slot", F.lit(True).alias("many")))
+    part = F.pmod(F.xxhash64("id"), F.lit(SUBSLOTS))
+    rows = (rows.withColumn("id", F.monotonically_increasing_id()).join(F.broadcast(many), "virtual_slot", "left")
+            .withColumn("part", F.when(F.col("many"), part).otherwise(0).cast("int")).drop("id", "many"))
+    counts = rows.groupBy("virtual_slot", "part").agg(F.count("*").alias("n"))
+    per_shard = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(
         Window.unboundedPreceding, -1)
     base = (mapping.select(F.col("slot").alias("virtual_slot"), "shard")
             .join(counts, "virtual_slot")
-            .select("virtual_slot", "shard",
+            .select("virtual_slot", "part", "shard",
                     F.coalesce(F.sum("n").over(per_shard), F.lit(0)).alias("base")))
-    in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    return (rows.withColumn("k", F.row_number().over(in_slot) - 1)
-            .join(F.broadcast(base), "virtual_slot")
+    in_part = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size")
+    return (rows.withColumn("k", F.row_number().over(in_part) - 1)
+            .join(F.broadcast(base), ["virtual_slot", "part"])
             .select("doc_id", "size", "text_crc32", "shard",
                     (F.col("base") + F.col("k")).alias("slot"), "virtual_slot"))
 
 
+def reshard(rows: DataFrame, shards: int, path: str, version: int) -> DataFrame:
+    """Place staged ``rows`` of ``slotted`` under the next version of a stored map, which it saves."""
+    spark = prepare(rows.sparkSession)
+    current = {r["slot"]: r["shard"] for r in load_map(spark, version, path).collect()}
+    return place(rows, save_map(spark, version + 1, rebalance(current, slot_loads(rows), shards), path))
+
+
 def shard(docs: DataFrame, shards: int, slots: int = SLOTS, path: str | None = None) -> DataFrame:
     """Place ``docs`` (doc_id, text) in shards of near equal bytes under version 1 of a new map."""
     spark = docs.sparkSession

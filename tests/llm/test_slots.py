@@ -57,3 +57,20 @@ def test_map_versions_are_kept(spark, tmp_path):
     slots.save_map(spark, 2, slots.rebalance(one, loads, 3), path)
     assert {r.slot: r.shard for r in slots.load_map(spark, 1, path).collect()} == one
     assert {r.shard for r in slots.load_map(spark, 2, path).collect()} == {0, 1, 2}
+
+
+def test_heavy_group_without_ids_is_level_and_numbered(spark, tmp_path):
+    rows = [(None, "all the same " * 10, "x")] * 1500 + [(5, "one id " * 20, "x")] * 1500
+    rows += [(i, f"text {i}", "y") for i in range(1500)] + [(i, "", "z") for i in range(1500)]
+    docs = _frame(spark, rows)
+    got = slots.shard(docs, 4, slots=1024, path=str(tmp_path / "map")).collect()
+    load, place = Counter(), defaultdict(list)
+    for r in got:
+        load[r.shard] += r.size
+        place[r.shard].append(r.slot)
+    assert len(got) == len(rows) and max(load.values()) <= 1.05 * min(load.values())
+    assert all(sorted(v) == list(range(len(v))) for v in place.values())
+    staged = slots.staged(slots.slotted(docs, 4, 1024), "test_slotted")
+    grown = slots.reshard(staged, 5, str(tmp_path / "map"), 1).collect()
+    assert len(grown) == len(rows) and {r.shard for r in grown} == set(range(5))
+    assert {r.shard for r in slots.load_map(spark, 2, str(tmp_path / "map")).collect()} == set(range(5))
