@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import (decontaminate, near_dedup, order_minhash, packing, pii, quality, runs,
+from civicflow.llm import (decontaminate, near_dedup, ngram_lm, order_minhash, packing, pii, quality, runs,
                            simple8b, slots, toxicity, whitening, wrapper)
 
 SHARDS = 24
@@ -71,6 +71,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = toxicity.held_out(F.col("doc_id"), ngram_lm.FOLDS, ngram_lm.HELD_OUT)
+    return ngram_lm.language_model_scores(_table(spark, sf_dir, "documents"), ~held)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"))
 
@@ -83,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_files, op2_order_minhash, op3_pii_spans, op4_vector_packing, op5_benchmark_leaks,
         op6_slot_shards, op7_page_text, op8_near_duplicates, op9_toxicity, op10_quality,
-        op12_whitening, op13_periodic_runs)}
+        op11_language_model, op12_whitening, op13_periodic_runs)}
 
 #: Tokenizers, learned models, hash families and code-point offsets have no SQL form here;
 #: these queries are tested against brute force, round trips and held-out accuracy.

@@ -52,8 +52,8 @@ OUT_SCHEMA = ("doc_id long, n_runs long, start long, length long, period long, "
 
 #: White space of the word rule (fixed values): space, tab, line feed, VT, form feed, return.
 _SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-_WORDS = np.ones(256, np.uint8)
-_WORDS[list(_SPACES)] = 0
+WORD_BYTES = np.ones(256, np.uint8)
+WORD_BYTES[list(_SPACES)] = 0
 
 
 class Grammar:
@@ -330,12 +330,12 @@ def _changed(doc_ids: list, n: int, offsets: np.ndarray) -> np.ndarray:
 
 def word_ids(text: pa.Array):
     """Bytes, starts and ends of the words, n + 1 offsets, and an id of each word."""
-    raw, start, end, offsets = tokens(text, _WORDS)
+    raw, start, end, offsets = tokens(text, WORD_BYTES)
     size = end - start
     flat = np.concatenate([[0], np.cumsum(size)])
     column = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(start),
-        [None, pa.py_buffer(flat.astype(np.int64)), pa.py_buffer(raw[_WORDS[raw] > 0])])
+        [None, pa.py_buffer(flat.astype(np.int64)), pa.py_buffer(raw[WORD_BYTES[raw] > 0])])
     ids = column.dictionary_encode().indices.to_numpy().astype(np.int64)
     return raw, start, end, offsets, ids
 
