@@ -234,15 +234,20 @@ class Trie:
         return out
 
     def lookup(self, ids, a, b, parent, c):
-        """For pairs (ids[a], ids[b]): probability (0: unseen) and weight left (1: unseen); for
-        triples (pair number, ids[c]): probability (0: unseen)."""
+        """Codes of the pairs (ids[a], ids[b]), of the weights they leave, and of the triples (pair number,
+        ids[c]), each plus 1; 0 is unseen.  ``codes`` has the tables of their values."""
         place = self.lexicon.find(ids)
         root = np.where(place >= 0, self.first.find(np.maximum(place, 0)), -1)
         pair = self._child(self.pairs_at, self.pairs, root[a], place[b])
         triple = self._child(self.triples_at, self.triples, pair[parent], place[c])
         found = []
-        for (code, table), node, missing in zip(self.codes, (pair, pair, triple), (0, 1, 0)):
-            value = np.full(len(node), missing, np.float32)
-            value[node >= 0] = table[code[node[node >= 0]]]
+        for (code, _), node in zip(self.codes, (pair, pair, triple)):
+            value = np.zeros(len(node), np.int64)
+            value[node >= 0] = code[node[node >= 0]].astype(np.int64) + 1
             found.append(value)
         return found
+
+    def values(self, ids, a, b, parent, c):
+        """The values of ``lookup``: 0 for an unseen pair or triple, which leaves the whole weight of 1."""
+        return [np.append(np.float32(missing), table)[code] for code, (_, table), missing in zip(
+            self.lookup(ids, a, b, parent, c), self.codes, (0, 1, 0))]

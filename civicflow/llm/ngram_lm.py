@@ -2,32 +2,33 @@
 
 1. *Chunks.*  Texts (A-Z in lower case, words between white space, one end token each) become
    arrays of word numbers with the chunk's distinct 62-bit word hashes, staged compressed.
-2. *Vocabulary.*  Training counts of all words, summed per chunk and then by hash; each word
-   gets an id, its rank by count within one of several hash buckets.  An equi-join brings
-   ids and exact counts back to the chunks, one row per chunk and distinct word.
+2. *Vocabulary.*  One shuffle of (hash, chunk, count) rows gives every word of every chunk its exact
+   training count and an id, its rank by count among the words of a hash bucket; a second brings them to
+   the chunks.  The number of buckets grows with the rows, so none outgrows a task.
 3. *Model.*  A chunk's distinct pairs and triples, with their training counts, go to the shard
    of their leading pair: no first word, however frequent, lies in one shard.  A
-   shard's task merges them as they stream in and writes its trie (``elias_fano.Trie``).
-4. *Scores.*  The distinct pairs and triples of the chunks to score stream through their shards'
-   tries; answers go back to the chunk and are summed per document.
+   shard's task merges them as they stream in and writes its trie (``elias_fano.Trie``) as a file
+   below the shared folder.
+4. *Scores.*  The distinct pairs and triples of the chunks to score stream to the tasks of their shards,
+   which memory-map the trie (or read it, where the folder is no mounted one);
+   answers go back to the chunk and are summed per document.
 
 With counts c and numbers of distinct followers t, the probability of w after (u, v) is
-interpolated with absolute discounting: ``p3 = (c(uvw)-D)/c(uv) + D*t(uv)/c(uv) * p2``,
-``p2 = (c(vw)-D)/c(v) + D*t(v)/c(v) * p1`` and ``p1 = (c(w)+1)/(N+V+1)``.  The first terms and the
-weight that (u, v) leaves to shorter contexts are stored in one byte each; rounding
-is downwards, so the probabilities after a context sum to one at most.  The followers t(v) of
-single words are summed over the shards' tries and joined to the chunks like the counts.
+``p3 = (c(uvw)-D)/c(uv) + D*t(uv)/c(uv) * p2`` (absolute discounting), ``p2 = (1-r)*c(vw)/c(v) + r*p1``
+and ``p1 = (c(w)+1)/(N+V+1)``.  The weight r is that of v's class, words of like count: D times the distinct
+pairs over all pairs of its words (one word's followers lie in many shards).  Pair
+shares, triples' first terms and the weight that (u, v) leaves to p2 are stored in one byte each,
+rounded down, so the probabilities after a context sum to one at most.
 
 Memory of a task: a chunk (``CHUNK_BYTES`` of text, or one longer text) or a shard (``SHARD_TOKENS``
 of training tokens on average).  A shard that got far more events than others is
-scored in parts, with a copy of its trie each; their list holds one entry for every
-``PART_BYTES`` of events at most.  What a leading pair gathers is bounded by the vocabulary.
+scored in parts by several tasks; their list holds one entry for every ``PART_BYTES`` of events at
+most.  What a leading pair gathers is bounded by the vocabulary.
 
 Two words share an id only if their 62-bit hashes are equal (for a million words: with a
 probability of 1e-7).  Edge cases: null is the empty text (its end token alone); a null ``doc_id``
 is a training document; repeated rows are kept and each counts; without training tokens N and V are 0
-and every token has probability 1; an empty table gives no row; extra
-columns are ignored.
+and every token has probability 1; an empty table gives no row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,22 +37,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import (ByteHash, NULL_ID, U64, full_text, mix, owners, prepare, ragged,
                                   slices, staged, tokens)
 from civicflow.llm.elias_fano import Trie
 from civicflow.llm.runs import WORD_BYTES
+from civicflow.session import shared_path
 
 FOLDS, HELD_OUT = 7, 2
 #: What absolute discounting takes from each count.
 DISCOUNT = 0.75
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 SHARD_TOKENS = 4_000_000
-#: Words of a hash bucket in which ids are ranked, about.
-BUCKET_WORDS = 1 << 17
+#: Rows (chunk, word) of a hash bucket in which ids are ranked, about.
+BUCKET_ROWS = 1 << 19
+#: Classes of like count: two for each doubling.
+CLASSES = 128
 #: Events of a shard that are scored by one task, in bytes.
 PART_BYTES = 64 << 20
 #: Pairs and triples that are gathered before they are merged.
@@ -62,11 +67,11 @@ END, START = 1 << 62, (1 << 62) + 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-CHUNK_SCHEMA = "chunk long, payload binary"
+CHUNK_SCHEMA = "chunk long, n_train long, n_words long, words binary, body binary"
+WORD_SCHEMA = "h long, chunk long, pos int, n long"
+COUNTED_SCHEMA = "chunk long, n_new long, payload binary"
 EVENT_SCHEMA = "shard long, part int, chunk long, payload binary"
-TRIE_SCHEMA = "shard long, bytes_in long, trie binary"
-#: In place of a shard: the row with the followers of a chunk's words.
-_FOLLOWERS = -1
+TRIE_SCHEMA = "shard long, bytes_in long, pairs array<long>, tokens array<long>"
 SCORE_SCHEMA = ("doc_id long, train boolean, n_tokens long, n_known long, base_score double, "
                 "score double")
 
@@ -74,17 +79,14 @@ SCORE_SCHEMA = ("doc_id long, train boolean, n_tokens long, n_known long, base_s
 # -- compact arrays -----------------------------------------------------------
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """Integer arrays, each in the narrowest unsigned type that holds it, compressed."""
+    """Integer arrays, each in the narrowest type that holds it, byte planes apart, compressed."""
     import zstandard
     parts = [bytes([len(arrays)])]
     for values in arrays:
-        if values.dtype.kind == "f":
-            width, body = b"f", values.astype("<f4").tobytes()
-        else:
-            top = int(values.max(initial=0))
-            size = 8 if values.min(initial=0) < 0 else next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
-            width, body = bytes([size]), values.astype(f"<i{size}" if size == 8 else f"<u{size}").tobytes()
-        parts += [width, len(values).to_bytes(8, "little"), body]
+        top = int(values.max(initial=0))
+        size = 8 if values.min(initial=0) < 0 else next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+        planes = values.astype(f"<i{size}" if size == 8 else f"<u{size}").view(np.uint8).reshape(-1, size).T
+        parts += [bytes([size]), len(values).to_bytes(8, "little"), planes.tobytes()]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -93,14 +95,11 @@ def unpack_arrays(payload: bytes) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(payload)
     out, at = [], 1
     for _ in range(data[0]):
-        kind, n = data[at:at + 1], int.from_bytes(data[at + 1:at + 9], "little")
-        at += 9
-        real = kind == b"f"
-        size = 4 if real else kind[0]
-        kind = "<f4" if real else "<i8" if size == 8 else f"<u{size}"
-        values = np.frombuffer(data, kind, n, at)
-        out.append(values if real else values.astype(np.int64))
-        at += n * size
+        size, n = data[at], int.from_bytes(data[at + 1:at + 9], "little")
+        planes = np.frombuffer(data, np.uint8, n * size, at + 9).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view("<i8" if size == 8 else f"<u{size}")
+                   .ravel().astype(np.int64))
+        at += 9 + n * size
     return out
 
 
@@ -122,11 +121,19 @@ def _chunked(batches: Iterator[pa.RecordBatch]):
 
     def row():
         docs, train, counts, words = (np.concatenate(x) for x in zip(*held))
-        known, number = np.unique(words, return_inverse=True)
+        known, number, often = np.unique(words, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers, whose bytes compress.
+        order = np.argsort(-often, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        known, number = known[order], place[number]
+        learned = np.bincount(number, np.repeat(train, counts), len(known)).astype(np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array([(task << 32) + seq], pa.int64()),
-             pa.array([pack_arrays(docs, train, counts, known, number)], pa.binary())],
-            ["chunk", "payload"])
+            [pa.array([(task << 32) + seq], pa.int64()), pa.array([int(learned.sum())], pa.int64()),
+             pa.array([len(known)], pa.int64()),
+             pa.array([pack_arrays(known, learned, train.sum(keepdims=True))], pa.binary()),
+             pa.array([pack_arrays(docs, train, counts, number)], pa.binary())],
+            ["chunk", "n_train", "n_words", "words", "body"])
 
     for batch in batches:
         for part in slices(batch):
@@ -155,44 +162,81 @@ def chunks_of(docs: DataFrame, train: Column) -> DataFrame:
 # -- vocabulary ---------------------------------------------------------------
 
 def _word_counts(batches: Iterator[pa.RecordBatch]):
-    """Training count of each chunk's words, START counting texts; words of other rows have 0."""
+    """The words of each chunk, with their training counts; START, the last one, counts texts."""
     for batch in batches:
         for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            docs, train, counts, known, number = unpack_arrays(payload)
-            learned = np.bincount(number, np.repeat(train, counts), minlength=len(known))
-            h = np.append(known, START)
-            n = np.append(learned.astype(np.int64), int(train.sum()))
+            known, learned, texts = unpack_arrays(payload)
+            h, n = np.append(known, START), np.append(learned, texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(h), chunk)), pa.array(h), pa.array(n)], ["chunk", "h", "n"])
+                [pa.array(h), pa.array(np.full(len(h), chunk)), pa.array(np.arange(len(h), dtype=np.int32)),
+                 pa.array(n)], ["h", "chunk", "pos", "n"])
 
 
 class Model:
-    """A trained model: totals and the staged tables of words (h, id, n) and tries (shard, trie)."""
+    """A trained model: totals, the folder of the tries and the weights of the count classes."""
 
-    def __init__(self, tokens: int, words: int, shards: int, vocabulary: DataFrame):
-        self.tokens, self.words, self.shards, self.vocabulary = tokens, words, shards, vocabulary
-        self.tries: DataFrame | None = None
+    def __init__(self, tokens: int, words: int, shards: int, folder: str):
+        self.tokens, self.words, self.shards, self.folder = tokens, words, shards, folder
+        self.weights = np.ones(CLASSES)
         self.parts: dict[int, int] = {}
 
 
-def _vocabulary(counts: DataFrame) -> Model:
-    sums = staged(counts.where("n > 0").groupBy("h").agg(F.sum("n").alias("n")), "lm_words")
-    total = sums.where(F.col("h") != START).agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    n, v = int(total["n"] or 0), int(total["v"])
-    buckets = max(1, -(-v // BUCKET_WORDS))
-    # Hashes are even over the buckets, so a window holds about BUCKET_WORDS rows at any size.
-    ranked = sums.selectExpr(
-        "h", "n", f"(row_number() OVER (PARTITION BY pmod(xxhash64(h), {buckets}) ORDER BY n DESC, h) - 1)"
-                  f" * {buckets}L + pmod(xxhash64(h), {buckets}) AS id")
-    return Model(n, v, max(1, -(-n // SHARD_TOKENS)), staged(ranked, "lm_vocabulary"))
+def _class_of(n: np.ndarray) -> np.ndarray:
+    """Class of a count: two for each doubling."""
+    return (2 * np.log2(np.maximum(n, 1))).astype(np.int64)
+
 
+def _counted_chunks(batches: Iterator[pa.RecordBatch]):
+    """Chunks with the ids and counts of their words; a chunk's body comes before its words."""
+    chunk, body, held = None, None, []
+
+    def row():
+        docs, train, counts, number = unpack_arrays(body)
+        pos, ids, n, new = (np.concatenate([x[i] for x in held]) if held else np.zeros(0, np.int64)
+                            for i in range(4))
+        size = int(number.max(initial=-1)) + 1
+        word_id, word_n = np.full(size + 1, -1, np.int64), np.zeros(size + 1, np.int64)
+        word_id[pos], word_n[pos] = ids, n
+        # Ids start at 1 in the payload; 0: not in the vocabulary.
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk], pa.int64()), pa.array([int(new[pos < size].sum())], pa.int64()),
+             pa.array([pack_arrays(docs, train, counts, number, word_id + 1, word_n)], pa.binary())],
+            ["chunk", "n_new", "payload"])
 
-def _with_ids(chunks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """The chunks with the ids and counts of their known words (sorted by hash)."""
-    known = (counts.select("chunk", "h").join(model.vocabulary, "h").groupBy("chunk")
-             .agg(F.sort_array(F.collect_list(F.struct("h", "id", "n"))).alias("w"))
-             .select("chunk", F.col("w.h").alias("h"), F.col("w.id").alias("id"), F.col("w.n").alias("n")))
-    return staged(chunks.join(known, "chunk", "left"), "lm_counted")
+    for batch in batches:
+        key, pos, ids, n, new = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        cuts = np.flatnonzero(pos < 0).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if a < b and pos[a] < 0:
+                if body is not None:
+                    yield row()
+                chunk, body, held = int(key[a]), batch.column(5)[a].as_py(), []
+                a += 1
+            if a < b:
+                held.append((pos[a:b].astype(np.int64), ids[a:b].astype(np.int64), n[a:b].astype(np.int64),
+                             new[a:b].astype(np.int64)))
+    if body is not None:
+        yield row()
+
+
+def _with_ids(chunks: DataFrame) -> DataFrame:
+    """The chunks with their words' ids and training counts."""
+    rows = int(chunks.agg(F.sum("n_words")).first()[0] or 0)
+    buckets = max(1, -(-rows // BUCKET_ROWS))
+    words = chunks.select("chunk", "words").mapInArrow(_word_counts, WORD_SCHEMA)
+    words = words.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
+    same = Window.partitionBy("bucket", "h").orderBy("chunk", "pos")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy(F.desc("c"), "h")) - 1
+    known = (words.repartition("bucket").select("*", F.sum("n").over(whole).alias("c"),
+                                                F.row_number().over(same).alias("k"))
+             .where("c > 0").withColumn("id", rank.cast("long") * buckets + F.col("bucket"))
+             .select("chunk", "pos", "id", "c", (F.col("k") == 1).cast("int").alias("new"),
+                     F.lit(None).cast("binary").alias("body")))
+    bodies = chunks.select("chunk", F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("id"),
+                           F.lit(0).cast("long").alias("c"), F.lit(0).alias("new"), "body")
+    return staged(_streamed(known.unionByName(bodies), "chunk", "pos")
+                  .mapInArrow(_counted_chunks, COUNTED_SCHEMA), "lm_counted")
 
 
 # -- pairs and triples of a chunk ------------------------------------------------
@@ -200,15 +244,10 @@ def _with_ids(chunks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
 class Grams:
     """Distinct pairs (a, b) and triples (pair number, c) of a chunk, and where its tokens use them."""
 
-    def __init__(self, payload: bytes, h, ids, n):
-        self.docs, self.train, self.counts, known, number = unpack_arrays(payload)
-        h, ids, n = (np.asarray(x if x is not None else [], np.int64) for x in (h, ids, n))
-        at = np.minimum(np.searchsorted(h, known), max(len(h) - 1, 0))
-        hit = h[at] == known if len(h) else np.zeros(len(known), bool)
-        self.word_id = np.where(hit, ids[at] if len(h) else 0, -1)
-        self.word_n = np.where(hit, n[at] if len(h) else 0, 0)
-        begin = len(h) and h[-1] == START
-        start_id, start_n = (int(ids[-1]), int(n[-1])) if begin else (-1, 0)
+    def __init__(self, payload: bytes):
+        self.docs, self.train, self.counts, number, ids, n = unpack_arrays(payload)
+        self.word_id, self.word_n = ids[:-1] - 1, n[:-1]
+        start_id, start_n = int(ids[-1]) - 1, int(n[-1])
         offsets = np.concatenate([[0], np.cumsum(self.counts)])
         first = offsets[:-1]
         self.number = number
@@ -216,7 +255,6 @@ class Grams:
         before = np.empty_like(token)
         before[1:] = token[:-1]
         before[first] = start_id
-        self.before = before
         # Counts of the word before, as context.
         self.before_n = np.empty_like(token)
         self.before_n[1:] = self.word_n[number[:-1]]
@@ -274,11 +312,8 @@ def shard_of(a: np.ndarray, b: np.ndarray, shards: int) -> np.ndarray:
 
 def _grams(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
-        for i in range(batch.num_rows):
-            r = batch.slice(i, 1)
-            h, ids, n = (r.column(j)[0].values for j in (2, 3, 4))
-            arrays = [None if x is None else x.to_numpy(zero_copy_only=False) for x in (h, ids, n)]
-            yield r.column(0)[0].as_py(), Grams(r.column(1)[0].as_py(), *arrays)
+        for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+            yield chunk, Grams(payload.as_py())
 
 
 def _gaps(values: np.ndarray) -> np.ndarray:
@@ -345,24 +380,59 @@ class Merger:
         # Merging costs what is there, so it waits until as much again has come.
         self.waiting = -sum(len(x[0]) + len(x[5]) for x in self.held)
 
+    def classes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs and all pairs whose first word is of each class."""
+        _, _, first_n, pair_n, *_ = self.held[0]
+        kind = _class_of(first_n)
+        return (np.bincount(kind, minlength=CLASSES),
+                np.bincount(kind, pair_n, minlength=CLASSES).astype(np.int64))
+
     def trie(self) -> bytes:
-        self.merge()
         a, b, first_n, pair_n, parent, c, triple_n = self.held[0]
         # As a context a pair counts as often as something follows it: a text's end has no follower.
         context = np.bincount(parent, triple_n, len(a))
         followers = np.bincount(parent, minlength=len(a))
         rest = np.where(followers > 0, DISCOUNT * followers / np.maximum(context, 1), 1.0)
-        return Trie.build(a, b, (pair_n - DISCOUNT) / first_n, rest, parent, c,
+        return Trie.build(a, b, pair_n / first_n, rest, parent, c,
                           (triple_n - DISCOUNT) / context[parent])
 
 
-def _built(batches: Iterator[pa.RecordBatch]):
+def _files(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    """Arrow's file system of a folder and its path there."""
+    return pa.fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+
+
+def _write(folder: str, shard: int, data: bytes) -> None:
+    """The shard's file, whole or not at all; a second attempt writes the same bytes."""
+    files, path = _files(folder)
+    with files.open_output_stream(f"{path}/{shard}.{TaskContext.get().taskAttemptId()}.part") as out:
+        out.write(data)
+    files.move(f"{path}/{shard}.{TaskContext.get().taskAttemptId()}.part", f"{path}/{shard}.trie")
+
+
+def _open(folder: str, shard: int) -> Trie | None:
+    """The shard's trie, memory-mapped from a mounted folder, else read; None if nothing was learned for it."""
+    files, path = _files(folder)
+    path = f"{path}/{shard}.trie"
+    if files.get_file_info(path).type == pa.fs.FileType.NotFound:
+        return None
+    if isinstance(files, pa.fs.LocalFileSystem):
+        return Trie.open(path)
+    with files.open_input_file(path) as f:
+        return Trie(f.read())
+
+
+def _built(folder: str, batches: Iterator[pa.RecordBatch]):
     shard, merger = None, None
 
     def row():
+        merger.merge()
+        _write(folder, shard, merger.trie())
+        pairs, tokens_ = merger.classes()
         return pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int64()), pa.array([merger.bytes_in], pa.int64()),
-             pa.array([merger.trie()], pa.binary())], ["shard", "bytes_in", "trie"])
+             pa.array([pairs.tolist()], pa.list_(pa.int64())), pa.array([tokens_.tolist()], pa.list_(pa.int64()))],
+            ["shard", "bytes_in", "pairs", "tokens"])
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -383,75 +453,60 @@ def _streamed(rows: DataFrame, *keys: str) -> DataFrame:
 
 def train(chunks: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the chunks' training rows, and the chunks with their words' ids and counts."""
-    counts = chunks.mapInArrow(_word_counts, "chunk long, h long, n long")
-    model = _vocabulary(counts)
-    counted = _with_ids(chunks, counts, model)
-    shards = model.shards
-    events = counted.mapInArrow(lambda it: _events(shards, True, None, it), EVENT_SCHEMA)
-    model.tries = staged(_streamed(events.select("shard", "payload", "chunk"), "shard", "chunk")
-                         .select("shard", "payload").mapInArrow(_built, TRIE_SCHEMA), "lm_tries")
+    spark = chunks.sparkSession
+    counted = _with_ids(chunks)
+    tokens_ = int(chunks.agg(F.sum("n_train")).first()[0] or 0)
+    words = int(counted.agg(F.sum("n_new")).first()[0] or 0)
+    shards, folder = max(1, -(-tokens_ // SHARD_TOKENS)), shared_path(spark, "llm", "lm_tries", unique=True)
+    files, path = _files(folder)
+    files.create_dir(path)
+    model = Model(tokens_, words, shards, folder)
+    events = counted.select("chunk", "payload").mapInArrow(
+        lambda it: _events(shards, True, None, it), EVENT_SCHEMA)
+    built = staged(_streamed(events.select("shard", "payload", "chunk"), "shard", "chunk")
+                   .select("shard", "payload").mapInArrow(lambda it: _built(folder, it), TRIE_SCHEMA), "lm_built")
     # One entry for every PART_BYTES of events at most.
-    model.parts = {r["shard"]: -(-r["bytes_in"] // PART_BYTES) for r in model.tries.where(
+    model.parts = {r["shard"]: -(-r["bytes_in"] // PART_BYTES) for r in built.where(
         F.col("bytes_in") > PART_BYTES).select("shard", "bytes_in").collect()}
+    for r in (built.select(F.posexplode(F.arrays_zip("pairs", "tokens")).alias("class", "x"))
+              .groupBy("class").agg(F.sum("x.pairs").alias("p"), F.sum("x.tokens").alias("t")).collect()):
+        if r["t"]:
+            model.weights[r["class"]] = DISCOUNT * r["p"] / r["t"]
     return model, counted
 
 
 # -- scores -----------------------------------------------------------------------
 
-def _copies(parts, batches: Iterator[pa.RecordBatch]):
-    """A shard's trie for each part of its events; the null chunk sorts it before them."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            shard, trie = batch.column(0).slice(i, 1), batch.column(1).slice(i, 1)
-            for part in range(parts.value.get(shard[0].as_py(), 1)):
-                yield pa.RecordBatch.from_arrays(
-                    [shard, pa.array([part], pa.int32()), pa.array([None], pa.int64()), trie],
-                    ["shard", "part", "chunk", "payload"])
-
-
-def _answered(batches: Iterator[pa.RecordBatch]):
-    """Values of each event's pairs and triples; a shard's trie comes before its events."""
+def _answered(folder: str, batches: Iterator[pa.RecordBatch]):
+    """Codes and tables of the values of each event's pairs and triples."""
     shard, trie = None, None
     for batch in batches:
         for i in range(batch.num_rows):
-            key = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py())
-            chunk = batch.column(2)[i].as_py()
-            buffer = batch.column(3)[i].as_buffer()
-            if chunk is None:
-                # Read in place; the words of a trie are whole, so only the start may need a copy.
-                raw = np.frombuffer(buffer, np.uint8)
-                shard, trie = key, Trie((raw if raw.ctypes.data % 8 == 0 else raw.copy()).view("<u8"))
-                continue
-            gaps, a, b, children, c = unpack_arrays(buffer.to_pybytes())
-            if key != shard:
-                # Nothing was learned for this shard.
-                shard, trie = key, None
+            s = batch.column(0)[i].as_py()
+            if s != shard:
+                shard, trie = s, _open(folder, s)
+            gaps, a, b, children, c = unpack_arrays(batch.column(2)[i].as_py())
             parent = np.repeat(np.arange(len(a)), children)
             if trie is None:
-                values = (np.zeros(len(a)), np.ones(len(a)), np.zeros(len(c)))
-            else:
-                values = trie.lookup(np.cumsum(gaps), np.cumsum(a), b, parent, c)
+                continue
+            found = trie.lookup(np.cumsum(gaps), np.cumsum(a), b, parent, c)
+            tables = [x for _, table in trie.codes for x in (table.view("<u4"),)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.array([key[0]], pa.int64()),
-                 pa.array([pack_arrays(*(np.asarray(v, np.float32) for v in values))], pa.binary())],
-                ["chunk", "shard", "payload"])
+                [batch.column(1).slice(i, 1), pa.array([s], pa.int64()),
+                 pa.array([pack_arrays(*found, *tables)], pa.binary())], ["chunk", "shard", "payload"])
 
 
-def _token_scores(g: Grams, followers, pair_p, rest, triple_p, n_tokens: int, n_words: int):
+def _token_scores(g: Grams, weights, pair_p, rest, triple_p, n_tokens: int, n_words: int):
     """Per document: known tokens, log10 of the base and of the model's probability."""
     c = g.word_n[g.number]
     total = float(n_tokens + n_words + 1)
     p = (c + 1) / total
     base = np.log10(p)
     # After an unknown word the shorter context decides alone.
-    left = np.ones(len(p))
-    ids, count = followers
-    own = np.flatnonzero(g.before_n > 0)
-    at = np.searchsorted(ids, g.before[own])
-    left[own] = DISCOUNT * count[at] / g.before_n[own]
+    left = np.where(g.before_n > 0, weights[_class_of(g.before_n)], 1.0)
     p2 = left * p
     seen = g.pair_of >= 0
-    p2[seen] += pair_p[g.pair_of[seen]]
+    p2[seen] += (1 - left[seen]) * pair_p[g.pair_of[seen]]
     p3 = p2.copy()
     led = g.lead >= 0
     p3[led] *= rest[g.lead[led]]
@@ -462,36 +517,17 @@ def _token_scores(g: Grams, followers, pair_p, rest, triple_p, n_tokens: int, n_
     return add(c > 0).astype(np.int64), add(base), add(np.log10(p3))
 
 
-def _follower_counts(batches: Iterator[pa.RecordBatch]):
-    """First words of a shard's pairs and how many words follow each there."""
-    for batch in batches:
-        for payload in batch.column(0):
-            trie = Trie(np.frombuffer(payload.as_py(), "<u8"))
-            node = np.arange(trie.first.n)
-            ids = trie.lexicon.access(trie.first.access(node))
-            count = trie.pairs_at.access(node + 1) - trie.pairs_at.access(node)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count)], ["id", "t"])
-
-
-def _followers(model: Model, counted: DataFrame) -> DataFrame:
-    """A row of each chunk: ids of its known words that have followers (sorted), and how many."""
-    sums = model.tries.select("trie").mapInArrow(_follower_counts, "id long, t long") \
-        .groupBy("id").agg(F.sum("t").alias("t"))
-    words = counted.select("chunk", F.explode("id").alias("id"))
-    return (words.join(sums, "id").groupBy("chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("id", "t"))).alias("w"))
-            .select("chunk", F.lit(_FOLLOWERS).cast("long").alias("shard"),
-                    F.lit(None).cast("binary").alias("payload"),
-                    F.lit(None).cast("array<long>").alias("h"), F.col("w.id").alias("id"),
-                    F.col("w.t").alias("n")))
-
-
-def _scored(shards: int, n_tokens: int, n_words: int, batches: Iterator[pa.RecordBatch]):
+def _values(code: np.ndarray, table: np.ndarray, missing: float) -> np.ndarray:
+    """Values of codes + 1; 0 stands for an unseen pair or triple."""
+    return np.append(missing, table.astype("<u4").view("<f4").astype(np.float64))[code]
+
+
+def _scored(shards: int, weights: np.ndarray, n_tokens: int, n_words: int, batches: Iterator[pa.RecordBatch]):
     """Scores of the documents; a chunk comes before the answers of its shards."""
-    g, places, values, followers = None, {}, None, None
+    g, places, values = None, {}, None
 
     def done():
-        known, base, score = _token_scores(g, followers, *values, n_tokens, n_words)
+        known, base, score = _token_scores(g, weights, *values, n_tokens, n_words)
         return pa.RecordBatch.from_arrays(
             [pa.array(g.docs), pa.array(g.train.astype(bool)), pa.array(g.counts), pa.array(known),
              pa.array(base), pa.array(score)],
@@ -500,43 +536,35 @@ def _scored(shards: int, n_tokens: int, n_words: int, batches: Iterator[pa.Recor
     for batch in batches:
         for i in range(batch.num_rows):
             shard, payload = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-            h, ids, n = (None if x is None else x.to_numpy(zero_copy_only=False)
-                         for x in (batch.column(j)[i].values for j in (3, 4, 5)))
-            if shard == _FOLLOWERS:
-                followers = ids, n
-                continue
             if shard is None:
                 if g is not None:
                     yield done()
-                g = Grams(payload, h, ids, n)
-                followers = (np.zeros(0, np.int64),) * 2
+                g = Grams(payload)
                 values = (np.zeros(len(g.a)), np.ones(len(g.a)), np.zeros(len(g.c)))
                 places = {s: (p, t) for s, p, t in g.by_shard(
                     shards, np.ones(len(g.a), bool), np.ones(len(g.c), bool))}
                 continue
             pairs, triples = places[shard]
-            pair_p, rest, triple_p = unpack_arrays(payload)
-            values[0][pairs], values[1][pairs], values[2][triples] = pair_p, rest, triple_p
+            found = unpack_arrays(payload)
+            for out, at, code, table, missing in zip(values, (pairs, pairs, triples), found[:3], found[3:], (0, 1, 0)):
+                out[at] = _values(code, table, missing)
     if g is not None:
         yield done()
 
 
 def score(model: Model, counted: DataFrame) -> DataFrame:
     """doc_id, train, n_tokens, n_known, base_score, score of every document of the chunks."""
-    spark = counted.sparkSession
-    shards, n, v = model.shards, model.tokens, model.words
-    parts = spark.sparkContext.broadcast(model.parts)
-    events = counted.mapInArrow(lambda it: _events(shards, False, parts, it), EVENT_SCHEMA)
-    tries = model.tries.select("shard", "trie").mapInArrow(lambda it: _copies(parts, it), EVENT_SCHEMA)
-    answers = _streamed(tries.unionByName(events), "shard", "part", "chunk").mapInArrow(
-        _answered, "chunk long, shard long, payload binary")
-    none = F.lit(None).cast("array<long>")
-    rows = counted.select("chunk", F.lit(None).cast("long").alias("shard"), "payload", "h", "id",
-                          "n").unionByName(answers.select(
-                              "*", none.alias("h"), none.alias("id"), none.alias("n"))) \
-        .unionByName(_followers(model, counted))
-    return _streamed(rows, "chunk", "shard").select("chunk", "shard", "payload", "h", "id", "n") \
-        .mapInArrow(lambda it: _scored(shards, n, v, it), SCORE_SCHEMA)
+    shards, n, v, folder, weights = model.shards, model.tokens, model.words, model.folder, model.weights
+    parts = counted.sparkSession.sparkContext.broadcast(model.parts)
+    chunks = counted.select("chunk", "payload")
+    events = chunks.mapInArrow(lambda it: _events(shards, False, parts, it), EVENT_SCHEMA)
+    answers = (_streamed(events.select("shard", "part", "chunk", "payload"), "shard", "part", "chunk")
+               .select("shard", "chunk", "payload")
+               .mapInArrow(lambda it: _answered(folder, it), "chunk long, shard long, payload binary"))
+    # Null shards sort first: the chunk, then the answers of its shards.
+    rows = chunks.select("chunk", F.lit(None).cast("long").alias("shard"), "payload").unionByName(answers)
+    return _streamed(rows, "chunk", "shard").mapInArrow(
+        lambda it: _scored(shards, weights, n, v, it), SCORE_SCHEMA)
 
 
 def language_model_scores(docs: DataFrame, train_rows: Column) -> DataFrame:

@@ -40,6 +40,11 @@ def brute(rows):
                     context[key] += 1
                     followers.setdefault(key, set()).add(x)
     n, v, d = sum(uni.values()), len(uni), L.DISCOUNT
+    kinds, seen = Counter(), Counter()
+    kind = lambda key: int(2 * math.log2(context[key]))         # noqa: E731
+    for (a, _), c in bi.items():
+        kinds[kind((a,))] += 1
+        seen[kind((a,))] += c
     out = []
     for doc, text in rows:
         w = words_of(text)
@@ -48,7 +53,10 @@ def brute(rows):
             p = (uni[x] + 1) / (n + v + 1)
             base += math.log10(p)
             keys = [(w[i - 1] if i else "<s>",)] + ([(w[i - 2] if i > 1 else "<s>", w[i - 1])] if i else [])
-            for key, counts in zip(keys, (bi, tri)):
+            if context[keys[0]]:
+                r = d * kinds[kind(keys[0])] / seen[kind(keys[0])]
+                p = (1 - r) * bi[keys[0] + (x,)] / context[keys[0]] + r * p
+            for key, counts in zip(keys[1:], (tri,)):
                 if context[key]:
                     p = max(counts[key + (x,)] - d, 0) / context[key] + d * len(followers[key]) / context[key] * p
             score += math.log10(p)
@@ -87,7 +95,7 @@ def test_many_shards_in_parts_give_the_same(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     monkeypatch.setattr(L, "SHARD_TOKENS", 1500)
     monkeypatch.setattr(L, "PART_BYTES", 700)
-    monkeypatch.setattr(L, "BUCKET_WORDS", 100)
+    monkeypatch.setattr(L, "BUCKET_ROWS", 300)
     compare(scores(df), rows)
 
 
@@ -137,7 +145,7 @@ def test_trie_in_a_buffer_and_memory_mapped(tmp_path):
     at = {p: i for i, p in enumerate(pairs)}
     known = {t: i for i, t in enumerate(triples)}
     for trie in (Trie(data), Trie.open(str(tmp_path / "trie"))):
-        p, rest, t = trie.lookup(np.arange(10000), qa, qb, qp, qc)
+        p, rest, t = trie.values(np.arange(10000), qa, qb, qp, qc)
         for i, k in enumerate(zip(qa.tolist(), qb.tolist())):
             if k in at:
                 assert 0 <= values[0][at[k]] - p[i] + 1e-6 < 0.02 and 0 <= values[1][at[k]] - rest[i] + 1e-6 < 0.02
