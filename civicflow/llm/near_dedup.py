@@ -10,14 +10,20 @@
 3. Equal texts are one node.  Nodes that share a band are candidates and are
    compared by the exact weighted Jaccard similarity; pairs from
    ``SIMILARITY`` up are links, and links join components.
-4. Band mates are compared in rounds.  In each band, up to ``PIVOTS`` nodes that
+4. Band mates are compared in rounds.  In each band, some nodes that
    are not in the band's largest component so far (one node in the first
-   round) are compared with all mates of other components; then they leave the
-   band.  A band is done when its nodes are of one component.  So every pair
-   of mates is compared unless it is known to be of one component: classes
-   lose no link, and a group of near copies, which one pivot joins, is never
-   paired off.
-5. Links and copies give connected components by alternating large and small stars.
+   round, ``PIVOTS`` in the next, then twice as many each) are compared with all mates of
+   other components; then they leave the band.  A band is done when its nodes
+   are of one component.  So every pair of mates is compared unless it is
+   known to be of one component or known to be less similar: classes
+   lose no link, and a group of near copies, which one pivot joins, is never paired off.
+5. A band of more than ``CROWD`` nodes that the first pivot did not join (many texts just below the
+   similarity) goes over to an exact prefix filter.  With features in one order for all, rarest
+   first, two nodes of weights W can only reach similarity t if their least common
+   feature has at least ``t / (1 + t) * (W + W')`` of either node's weight at and after it.  So
+   rows (feature, node) of the rarest ``1 - t`` of each node's weight take the place of the
+   bands, pairs that fail the bound are not formed, and the same rounds find all links among these nodes.
+6. Links and copies give connected components by alternating large and small stars.
 
 Every table between the steps is written below the shared checkpoint folder.
 The pivot rows of a hot band and the edges of a hot node are plain equi-joins,
@@ -49,14 +55,19 @@ BANDS, ROWS = 20, 5
 #: that near copies in a large group, whose common shingles are frequent, stay similar.
 DAMP = 0.1
 BUCKETS = 1 << 20
-#: Pivots of a band in a round after the first.
+#: Pivots of a band in the second round.
 PIVOTS = 32
+#: Nodes of a band from which on the prefix filter takes over.
+CROWD = 64
+#: What sums of 32-bit weights may be off by.
+SLACK = 1e-5
 #: Features that are sampled at a time, so that their arrays stay in the cache.
 PORTION = 1 << 14
 #: Bits of a feature's hash.
 _FEATURE = 44
 
-SAMPLE_SCHEMA = "doc_id long, node binary, bands array<long>"
+SAMPLE_SCHEMA = "doc_id long, node binary, w double, bands array<long>"
+STATE = ["band", "node", "root", "w", "before"]
 
 
 def features(text: pa.Array):
@@ -173,13 +184,44 @@ def _sampled(idf, sampler: Sampler, batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for part in slices(batch):
             feature, count, offsets = features(full_text(part))
-            keys = sampler.bands(feature, weights(feature, count, idf.value), offsets)
+            weight = weights(feature, count, idf.value)
+            keys = sampler.bands(feature, weight, offsets)
             size = np.where(np.diff(offsets) > 0, BANDS, 0)
             bands = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
                 pa.array(keys.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), bands], ["doc_id", "node", "bands"])
+                [part.column(0), part.column(1), pa.array(_totals(weight, offsets)), bands],
+                ["doc_id", "node", "w", "bands"])
+
+
+def _totals(weight: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Weight of each row's features."""
+    return np.diff(np.concatenate([[0.0], np.cumsum(weight, dtype=np.float64)])[offsets])
+
+
+def prefixes(feature: np.ndarray, count: np.ndarray, offsets: np.ndarray, idf: np.ndarray):
+    """row, feature, weight before it, of the rarest features that hold 1 - SIMILARITY of a row's weight.
+
+    The order, by idf and then by hash, is the same for all rows."""
+    weight, rare = weights(feature, count, idf), idf[_bucket(feature)]
+    row = owners(offsets)
+    order = np.lexsort((feature, -rare, row))
+    ends = np.cumsum(weight[order], dtype=np.float64)
+    total = _totals(weight, offsets)
+    start = np.concatenate([[0.0], ends])[offsets[:-1]]
+    before = ends - weight[order] - start[row]
+    keep = before <= (1 - SIMILARITY + SLACK) * total[row]
+    return row[keep], feature[order][keep], before[keep], total
+
+
+def _prefixed(idf, batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for part in slices(batch):
+            row, feature, before, total = prefixes(*features(full_text(part)), idf.value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature.astype(np.int64)), part.column(0).take(pa.array(row)),
+                 part.column(1).take(pa.array(row)), pa.array(total[row]), pa.array(before)], STATE)
 
 
 def similarity(fa, wa, fb, wb) -> float:
@@ -190,17 +232,21 @@ def similarity(fa, wa, fb, wb) -> float:
     return float(low / total) if total > 0 else 0.0
 
 
+def _distinct_features(text: pa.Array, idf: np.ndarray):
+    """Features, weights and offsets of the distinct texts, and each row's text."""
+    coded = text.dictionary_encode()
+    f, c, offsets = features(coded.dictionary)
+    return f, weights(f, c, idf), offsets, coded.indices.to_numpy().tolist()
+
+
 def _compared(idf, batches: Iterator[pa.RecordBatch]):
-    """Similarity of each row's two texts."""
+    """Similarity of each row's two texts; a text that many rows hold is cut into features once."""
     for batch in batches:
         for part in slices(batch):
-            sides = []
-            for column in ("text", "pivot_text"):
-                f, c, offsets = features(full_text(part, column))
-                sides.append((f, weights(f, c, idf.value), offsets))
-            (fa, wa, a), (fb, wb, b) = sides
-            sims = [similarity(fa[a[i]:a[i + 1]], wa[a[i]:a[i + 1]], fb[b[i]:b[i + 1]], wb[b[i]:b[i + 1]])
-                    for i in range(part.num_rows)]
+            (fa, wa, a, i), (fb, wb, b, j) = (
+                _distinct_features(full_text(part, c), idf.value) for c in ("text", "pivot_text"))
+            sims = [similarity(fa[a[x]:a[x + 1]], wa[a[x]:a[x + 1]], fb[b[y]:b[y + 1]], wb[b[y]:b[y + 1]])
+                    for x, y in zip(i, j)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(sims, pa.float64())],
                 ["node", "pivot", "sim"])
@@ -214,38 +260,97 @@ def _least(members: DataFrame, n: int) -> DataFrame:
     rows = rows.where(F.col("k") <= n).drop("k", "part")
     rows = rows.withColumn("k", rank.over(Window.partitionBy("band").orderBy("node")))
     return rows.where(F.col("k") <= n).select(
-        "band", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-
-
-def _roots(members: DataFrame, texts: DataFrame, idf) -> DataFrame | None:
-    """node, root of the nodes that are linked, by rounds of pivots; None without a link."""
-    state, edges, pivots_of = members.withColumn("root", F.col("node")), None, 1
+        "band", *(F.col(c).alias(f"pivot_{c}") for c in STATE[1:]))
+
+
+def _open(state: DataFrame) -> DataFrame:
+    """Rows of bands with nodes of several components, with the band's largest component and size;
+    rows that no mate's weight allows a link to are left out."""
+    t = SIMILARITY - SLACK
+    state = state.withColumn("reach", F.col("w") - F.col("before"))
+    bands = state.groupBy("band", "root").agg(
+        F.count("*").alias("n"), F.min("w").alias("light"), F.max(F.col("reach") * (1 + t) / t - F.col("w")).alias("far"))
+    bands = bands.groupBy("band").agg(
+        F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots"),
+        F.sum("n").alias("size"), F.min("light").alias("light"), F.max("far").alias("far"))
+    return (state.join(bands.where("roots > 1").drop("roots"), "band")
+            .where((F.col("light") <= F.col("reach") * (1 + t) / t - F.col("w")) & (F.col("far") >= F.col("w")))
+            .drop("reach", "light", "far"))
+
+
+def _links(state: DataFrame, pivots: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """Links (node, pivot) between the pivots and their mates of other components."""
+    t = SIMILARITY - SLACK
+    bound = F.least(F.col("w") - F.col("before"), F.col("pivot_w") - F.col("pivot_before"))
+    # Weights decide before texts meet: overlap is at most the smaller reach, and W >= t * W' holds.
+    pairs = state.join(pivots, "band").where(
+        (F.col("root") != F.col("pivot_root")) & (bound >= (F.col("w") + F.col("pivot_w")) * (t / (1 + t)))
+        & (F.least("w", "pivot_w") >= F.greatest("w", "pivot_w") * t))
+    pairs = pairs.select(F.least("node", "pivot_node").alias("node"),
+                         F.greatest("node", "pivot_node").alias("pivot")).distinct()
+    other = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+    sims = (pairs.join(texts, "node").join(other, "pivot").select("node", "pivot", "text", "pivot_text")
+            .mapInArrow(lambda it: _compared(idf, it), "node binary, pivot binary, sim double"))
+    return staged(sims.where(F.col("sim") >= SIMILARITY).select("node", "pivot"), "links")
+
+
+def _relabelled(rows: DataFrame, found: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the roots that the links ``found`` give; ``roots`` has each node's present one."""
+    old = roots.select(F.col("node").alias("n"), F.col("root").alias("r"))
+    ends = (found.join(old, F.col("node") == F.col("n")).select("pivot", F.col("r").alias("a"))
+            .join(old, F.col("pivot") == F.col("n")).select(F.col("a").alias("node"), F.col("r").alias("pivot")))
+    merged = components(ends.where("node <> pivot").distinct()).select(
+        F.col("node").alias("old"), F.col("root").alias("new"))
+    return rows.join(merged, F.col("root") == F.col("old"), "left").withColumn(
+        "root", F.coalesce("new", "root")).drop("old", "new")
+
+
+def _rounds(state: DataFrame, texts: DataFrame, idf, edges: list, crowds: bool) -> DataFrame | None:
+    """Rounds of pivots until every band is done; appends the links to ``edges``.
+
+    With ``crowds``, nodes of large bands that are left after the first round
+    are returned (node, root) in place of going on."""
+    number, pivots_of, crowd = 0, 1 if crowds else PIVOTS, None
     while True:
-        counts = state.groupBy("band", "root").agg(F.count("*").alias("n"))
-        bands = counts.groupBy("band").agg(
-            F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots"))
-        state = state.join(bands.where("roots > 1").select("band", "major"), "band")
-        pivots = staged(_least(state.where("root <> major"), pivots_of), "pivots")
+        rows = _open(state)
+        if crowds and number == 1:
+            rows = staged(rows, "open")
+            crowd = staged(rows.where(F.col("size") > CROWD).select("node", "root").distinct(), "crowd")
+            rows = rows.where(F.col("size") <= CROWD)
+        pivots = staged(_least(rows.where("root <> major"), pivots_of), "pivots")
         if pivots.isEmpty():
-            break
-        pairs = state.join(pivots, "band").where("root <> pivot_root").select(
-            F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot"),
-            F.when(F.col("node") < F.col("pivot"), F.col("root")).otherwise(F.col("pivot_root")).alias("root"),
-            F.when(F.col("node") < F.col("pivot"), F.col("pivot_root")).otherwise(F.col("root")).alias("pivot_root"))
-        other = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
-        both = pairs.distinct().join(texts, "node").join(other, "pivot")
-        sims = (both.select("root", "pivot_root", "text", "pivot_text")
-                .mapInArrow(lambda it: _compared(idf, it), "node binary, pivot binary, sim double"))
-        found = staged(sims.where(F.col("sim") >= SIMILARITY).select("node", "pivot").distinct(), "links")
-        state = state.join(pivots.select("band", F.col("pivot").alias("node")), ["band", "node"],
-                           "left_anti").drop("major")
+            return crowd
+        rows = rows.select(*STATE)
+        found = _links(rows, pivots, texts, idf)
+        state = rows.join(pivots.select("band", F.col("pivot_node").alias("node")), ["band", "node"], "left_anti")
         if not found.isEmpty():
-            edges = found if edges is None else edges.unionByName(found)
-            merged = components(found).withColumnRenamed("node", "old").withColumnRenamed("root", "new")
-            state = state.join(merged, F.col("root") == F.col("old"), "left").select(
-                "band", "node", F.coalesce("new", "root").alias("root"))
-        state, pivots_of = staged(state, "members"), PIVOTS
-    return None if edges is None else components(edges)
+            edges.append(found)
+            roots = rows.select("node", "root").distinct()
+            state = _relabelled(state, found, roots)
+            if crowd is not None:
+                crowd = staged(_relabelled(crowd, found, roots), "crowd")
+        state = staged(state.select(*STATE), "members")
+        number, pivots_of = number + 1, max(2 * pivots_of, PIVOTS)
+
+
+def _roots(members: DataFrame, texts: DataFrame, idf) -> DataFrame | None:
+    """node, root of the nodes that are linked; None without a link."""
+    edges: list[DataFrame] = []
+    state = members.select("band", "node", F.col("node").alias("root"), "w", F.lit(0.0).alias("before"))
+    crowd = _rounds(state, texts, idf, edges, crowds=True)
+    if crowd is not None and not crowd.isEmpty():
+        rows = (crowd.join(texts, "node").select("node", "root", "text")
+                .mapInArrow(lambda it: _prefixed(idf, it),
+                            "band long, node binary, root binary, w double, before double"))
+        count = F.count("*").over(Window.partitionBy("band"))
+        rows = staged(rows.withColumn("n", count).where("n > 1").drop("n"), "members")
+        _rounds(rows, texts, idf, edges, crowds=False)
+    if not edges:
+        return None
+    found = edges[0]
+    for more in edges[1:]:
+        found = found.unionByName(more)
+    return components(found)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -299,11 +404,12 @@ def classes(docs: DataFrame) -> DataFrame:
     sampled = staged(rows.mapInArrow(lambda it: _sampled(idf, sampler, it), SAMPLE_SCHEMA),
                      "samples")
     # One row per distinct text; its bands are a function of the text.
-    one = sampled.groupBy("node").agg(F.first("bands").alias("bands"),
-                                      F.min("doc_id").alias("doc_id"))
-    bands = one.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = staged(bands.join(shared, "band", "left_semi").select("band", "node"), "members")
+    one = staged(sampled.groupBy("node").agg(F.first("bands").alias("bands"), F.first("w").alias("w"),
+                                             F.min("doc_id").alias("doc_id")), "nodes")
+    bands = one.select("node", "w", F.explode("bands").alias("band"))
+    # The count travels with the rows: one shuffle of the bands.
+    mates = F.count("*").over(Window.partitionBy("band"))
+    members = staged(bands.withColumn("n", mates).where("n > 1").select("band", "node", "w"), "members")
     if members.isEmpty():
         roots = sampled.select("node", F.col("node").alias("root")).distinct()
     else:

@@ -226,3 +226,68 @@ def test_few_hits_at_a_time_give_the_same(monkeypatch):
     monkeypatch.setattr(decontaminate, "HITS", 7)
     monkeypatch.setattr(decontaminate, "CELLS", 50)
     assert [x.tolist() for x in index.matches(text)] == whole
+
+
+def test_crowds_below_the_similarity_match_brute_force(spark, monkeypatch):
+    rng = random.Random(31)
+    base = _words(90, rng)
+    texts = []
+    for k in range(60):                                 # around 0.7 to each other, some pairs above 0.8
+        copy = list(base)
+        for j in rng.sample(range(90), rng.choice([0, 1, 1, 2, 2, 3])):
+            copy[j] = f"w{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(copy))
+    texts = sorted(set(texts))
+    monkeypatch.setattr(near_dedup, "CROWD", 8)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()}
+    shingles, sim = _weighted(texts)
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    below = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            s = sim(shingles[i], shingles[j])
+            below += s < near_dedup.SIMILARITY
+            if s >= near_dedup.SIMILARITY + 0.005:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    want = {i: find(i) for i in range(len(texts))}
+    # Pairs within 0.005 of the similarity may fall either way; no other link is lost or made.
+    assert below > len(texts)
+    for i, j in ((i, j) for i in range(len(texts)) for j in range(i)):
+        if want[i] == want[j]:
+            assert got[i] == got[j]
+
+
+def test_prefix_bound_keeps_every_similar_pair():
+    rng = random.Random(32)
+    texts = []
+    for _ in range(12):
+        base = _words(rng.randrange(8, 80), rng)
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 6)):
+                copy[rng.randrange(len(copy))] = rng.choice(VOCABULARY)
+            texts.append(" ".join(copy[rng.randrange(0, 4):]))
+    f, c, offsets = near_dedup.features(pa.array(texts, pa.large_string()))
+    total = np.zeros(near_dedup.BUCKETS + 1, np.int64)
+    near_dedup.count_features(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), total)
+    idf = near_dedup.idf_table(total)
+    w = near_dedup.weights(f, c, idf)
+    row, feature, before, weight = near_dedup.prefixes(f, c, offsets, idf)
+    kept = [dict(zip(feature[row == i].tolist(), before[row == i].tolist())) for i in range(len(texts))]
+    t, near = near_dedup.SIMILARITY - near_dedup.SLACK, 0
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = slice(offsets[i], offsets[i + 1]), slice(offsets[j], offsets[j + 1])
+            if near_dedup.similarity(f[a], w[a], f[b], w[b]) >= near_dedup.SIMILARITY:
+                near += 1
+                assert any(min(weight[i] - x, weight[j] - kept[j][k]) >= t / (1 + t) * (weight[i] + weight[j])
+                           for k, x in kept[i].items() if k in kept[j])
+    assert near > 10
