@@ -2,9 +2,10 @@
 
 1. *Chunks.*  Texts (A-Z in lower case, words between white space, one end token each) become
    arrays of word numbers with the chunk's distinct 62-bit word hashes, staged compressed.
-2. *Vocabulary.*  One shuffle of (hash, chunk, count) rows gives every word of every chunk its exact
-   training count and an id, its rank by count among the words of a hash bucket; a second brings them to
-   the chunks.  The number of buckets grows with the rows, so none outgrows a task.
+2. *Vocabulary.*  The words of each chunk go to hash buckets, one row per chunk and bucket.  A bucket's
+   task sums the training counts of its words, ranks them by count, and answers each chunk with
+   the counts and the ranks, from which word ids are made.  The number of buckets grows with the words
+   of all chunks, so that a bucket stays small; a frequent word is one entry per chunk.
 3. *Model.*  A chunk's distinct pairs and triples, with their training counts, go to the shard
    of their leading pair: no first word, however frequent, lies in one shard.  A
    shard's task merges them as they stream in and writes its trie (``elias_fano.Trie``) as a file
@@ -39,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import (ByteHash, NULL_ID, U64, full_text, mix, owners, prepare, ragged,
@@ -53,8 +54,10 @@ FOLDS, HELD_OUT = 7, 2
 DISCOUNT = 0.75
 CHUNK_BYTES = 8 << 20
 SHARD_TOKENS = 4_000_000
-#: Rows (chunk, word) of a hash bucket in which ids are ranked, about.
-BUCKET_ROWS = 1 << 19
+#: Words, summed over the chunks, of a hash bucket, about; CHUNK_SHARE for each chunk at least, so
+#: that words which all chunks have do not outweigh the rest.
+BUCKET_WORDS = 1 << 20
+CHUNK_SHARE = 4
 #: Classes of like count: two for each doubling.
 CLASSES = 128
 #: Events of a shard that are scored by one task, in bytes.
@@ -68,7 +71,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 CHUNK_SCHEMA = "chunk long, n_train long, n_words long, words binary, body binary"
-WORD_SCHEMA = "h long, chunk long, pos int, n long"
+WORD_SCHEMA = "bucket long, chunk long, payload binary"
 COUNTED_SCHEMA = "chunk long, n_new long, payload binary"
 EVENT_SCHEMA = "shard long, part int, chunk long, payload binary"
 TRIE_SCHEMA = "shard long, bytes_in long, pairs array<long>, tokens array<long>"
@@ -161,15 +164,64 @@ def chunks_of(docs: DataFrame, train: Column) -> DataFrame:
 
 # -- vocabulary ---------------------------------------------------------------
 
-def _word_counts(batches: Iterator[pa.RecordBatch]):
-    """The words of each chunk, with their training counts; START, the last one, counts texts."""
+def _word_counts(buckets: int, batches: Iterator[pa.RecordBatch]):
+    """For each chunk and bucket the words' hashes (sorted) and training counts; START counts texts."""
     for batch in batches:
         for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             known, learned, texts = unpack_arrays(payload)
             h, n = np.append(known, START), np.append(learned, texts)
+            for bucket, at in _in_buckets(h, buckets):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket], pa.int64()), pa.array([chunk], pa.int64()),
+                     pa.array([pack_arrays(_gaps(h[at]), n[at])], pa.binary())], ["bucket", "chunk", "payload"])
+
+
+def _in_buckets(h: np.ndarray, buckets: int):
+    """Bucket and places of its hashes, rising."""
+    bucket = h % buckets
+    order = np.lexsort((h, bucket))
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for at in np.split(order, cuts) if len(h) else ():
+        yield int(bucket[at[0]]), at
+
+
+def _gaps(values: np.ndarray) -> np.ndarray:
+    """Differences of a rising array."""
+    return np.diff(values, prepend=0)
+
+
+def _ranked(buckets: int, batches: Iterator[pa.RecordBatch]):
+    """Answers of each bucket: the words' ids (from 1; 0: not learned) and counts, in the order of the question."""
+    bucket, held = None, []
+
+    def rows():
+        words = [unpack_arrays(p) for _, p in held]
+        every, of = np.unique(np.concatenate([np.cumsum(g) for g, _ in words]), return_inverse=True)
+        count = np.bincount(of, np.concatenate([n for _, n in words]), len(every)).astype(np.int64)
+        order = np.lexsort((every, -count))
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        ids = np.where(count > 0, rank * buckets + bucket + 1, 0)
+        # How many words the vocabulary gets from here goes with the first answer.
+        new, at = int(((count > 0) & (every != START)).sum()), 0
+        for (chunk, _), (gaps, _) in zip(held, words):
+            own = of[at:at + len(gaps)]
+            at += len(gaps)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(np.full(len(h), chunk)), pa.array(np.arange(len(h), dtype=np.int32)),
-                 pa.array(n)], ["h", "chunk", "pos", "n"])
+                [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int64()), pa.array([new], pa.int64()),
+                 pa.array([pack_arrays(ids[own], count[own])], pa.binary())],
+                ["chunk", "bucket", "n_new", "payload"])
+            new = 0
+
+    for batch in batches:
+        for b, chunk, payload in zip(*(c.to_pylist() for c in batch.columns)):
+            if b != bucket and held:
+                yield from rows()
+                held = []
+            bucket = b
+            held.append((chunk, payload))
+    if held:
+        yield from rows()
 
 
 class Model:
@@ -186,57 +238,44 @@ def _class_of(n: np.ndarray) -> np.ndarray:
     return (2 * np.log2(np.maximum(n, 1))).astype(np.int64)
 
 
-def _counted_chunks(batches: Iterator[pa.RecordBatch]):
-    """Chunks with the ids and counts of their words; a chunk's body comes before its words."""
-    chunk, body, held = None, None, []
+def _counted_chunks(buckets: int, batches: Iterator[pa.RecordBatch]):
+    """Chunks with the ids and counts of their words; a chunk comes before the answers of its buckets."""
+    chunk, texts, places, ids, n, new = None, None, {}, None, None, 0
 
     def row():
-        docs, train, counts, number = unpack_arrays(body)
-        pos, ids, n, new = (np.concatenate([x[i] for x in held]) if held else np.zeros(0, np.int64)
-                            for i in range(4))
-        size = int(number.max(initial=-1)) + 1
-        word_id, word_n = np.full(size + 1, -1, np.int64), np.zeros(size + 1, np.int64)
-        word_id[pos], word_n[pos] = ids, n
-        # Ids start at 1 in the payload; 0: not in the vocabulary.
         return pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([int(new[pos < size].sum())], pa.int64()),
-             pa.array([pack_arrays(docs, train, counts, number, word_id + 1, word_n)], pa.binary())],
-            ["chunk", "n_new", "payload"])
+            [pa.array([chunk], pa.int64()), pa.array([new], pa.int64()),
+             pa.array([pack_arrays(*texts, ids, n)], pa.binary())], ["chunk", "n_new", "payload"])
 
     for batch in batches:
-        key, pos, ids, n, new = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        cuts = np.flatnonzero(pos < 0).tolist()
-        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if a < b and pos[a] < 0:
-                if body is not None:
+        for key, bucket, more, payload, words in zip(*(c.to_pylist() for c in batch.columns)):
+            if bucket is None:
+                if chunk is not None:
                     yield row()
-                chunk, body, held = int(key[a]), batch.column(5)[a].as_py(), []
-                a += 1
-            if a < b:
-                held.append((pos[a:b].astype(np.int64), ids[a:b].astype(np.int64), n[a:b].astype(np.int64),
-                             new[a:b].astype(np.int64)))
-    if body is not None:
+                h = np.append(unpack_arrays(words)[0], START)
+                chunk, texts, new = key, unpack_arrays(payload), 0
+                ids, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+                places = dict(_in_buckets(h, buckets))
+            else:
+                ids[places[bucket]], n[places[bucket]] = unpack_arrays(payload)
+                new += more
+    if chunk is not None:
         yield row()
 
 
 def _with_ids(chunks: DataFrame) -> DataFrame:
     """The chunks with their words' ids and training counts."""
-    rows = int(chunks.agg(F.sum("n_words")).first()[0] or 0)
-    buckets = max(1, -(-rows // BUCKET_ROWS))
-    words = chunks.select("chunk", "words").mapInArrow(_word_counts, WORD_SCHEMA)
-    words = words.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
-    same = Window.partitionBy("bucket", "h").orderBy("chunk", "pos")
-    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy(F.desc("c"), "h")) - 1
-    known = (words.repartition("bucket").select("*", F.sum("n").over(whole).alias("c"),
-                                                F.row_number().over(same).alias("k"))
-             .where("c > 0").withColumn("id", rank.cast("long") * buckets + F.col("bucket"))
-             .select("chunk", "pos", "id", "c", (F.col("k") == 1).cast("int").alias("new"),
-                     F.lit(None).cast("binary").alias("body")))
-    bodies = chunks.select("chunk", F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("id"),
-                           F.lit(0).cast("long").alias("c"), F.lit(0).alias("new"), "body")
-    return staged(_streamed(known.unionByName(bodies), "chunk", "pos")
-                  .mapInArrow(_counted_chunks, COUNTED_SCHEMA), "lm_counted")
+    size = chunks.agg(F.sum("n_words").alias("words"), F.count("*").alias("chunks")).first()
+    buckets = max(1, -(-(size["words"] or 0) // max(BUCKET_WORDS, CHUNK_SHARE * size["chunks"])))
+    words = chunks.select("chunk", "words").mapInArrow(lambda it: _word_counts(buckets, it), WORD_SCHEMA)
+    answers = _streamed(words, "bucket", "chunk").mapInArrow(
+        lambda it: _ranked(buckets, it), "chunk long, bucket long, n_new long, payload binary")
+    # Null buckets sort first: the chunk, then the answers.
+    none = F.lit(None).cast("long")
+    rows = chunks.select("chunk", none.alias("bucket"), none.alias("n_new"), F.col("body").alias("payload"),
+                         "words").unionByName(answers.withColumn("words", F.lit(None).cast("binary")))
+    return staged(_streamed(rows, "chunk", "bucket").mapInArrow(
+        lambda it: _counted_chunks(buckets, it), COUNTED_SCHEMA), "lm_counted")
 
 
 # -- pairs and triples of a chunk ------------------------------------------------
@@ -316,11 +355,6 @@ def _grams(batches: Iterator[pa.RecordBatch]):
             yield chunk, Grams(payload.as_py())
 
 
-def _gaps(values: np.ndarray) -> np.ndarray:
-    """Differences of a rising array: small numbers."""
-    return np.diff(values, prepend=0)
-
-
 def _events(shards: int, learn: bool, parts, batches: Iterator[pa.RecordBatch]):
     """One row per chunk and shard: the ids, the pairs and triples in terms of them, and, to learn, counts."""
     parts = parts.value if parts is not None else {}

@@ -95,7 +95,7 @@ def test_many_shards_in_parts_give_the_same(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     monkeypatch.setattr(L, "SHARD_TOKENS", 1500)
     monkeypatch.setattr(L, "PART_BYTES", 700)
-    monkeypatch.setattr(L, "BUCKET_ROWS", 300)
+    monkeypatch.setattr(L, "BUCKET_WORDS", 300)
     compare(scores(df), rows)
 
 
