@@ -65,9 +65,16 @@ class Flattener:
     def emit(self, table: str, df: DataFrame) -> None:
         self.tables.setdefault(table, []).append(df)
 
-    def reject(self, df: DataFrame, cond: Column, rule: str) -> None:
+    def reject(self, df: DataFrame, cond: Column, rule: str, raw: Column | None = None) -> None:
+        """A check of rows; ``raw`` is the value that fails it."""
         # Checks are grouped per source DataFrame and evaluated in one pass.
-        self.rejects.setdefault(id(df), (df, []))[1].append((cond, rule))
+        self.rejects.setdefault(id(df), (df, []))[1].append((cond, rule, raw))
+
+    def reject_times(self, df: DataFrame, alias: str, names: list[str], rule: str, invalid=N.ts_invalid) -> None:
+        """Nullable times (or days) of a struct that are given but cannot be read."""
+        for name in names:
+            value = F.col(f"{alias}.{name}")
+            self.reject(df, invalid(value), f"{rule}.{name}", value)
 
     def label(self, df: DataFrame, domain: str, obj: Column, site: int, *ords) -> Column:
         """Record a label use; return its id column expression."""
@@ -146,7 +153,7 @@ def _sid(name: str) -> Column:
 def flt_register_entry(f: Flattener) -> None:
     e = F.col("e")
     df = f.docs.select(ENTRY, SEQ, "e")
-    f.reject(df, N.ts_invalid(e["sourceDate"]), "source_date")
+    f.reject(df, N.ts_invalid(e["sourceDate"]), "source_date", e["sourceDate"])
     f.emit("register_entry", df.select(
         ENTRY, hid(F.col(ENTRY)).alias("id"), e.getField("$schema").alias("schema_uri"),
         e["source"].alias("source"), e["sourceUrl"].alias("source_url"),
@@ -160,7 +167,7 @@ def flt_account(f: Flattener) -> None:
     s = _section(f, "accountDetails")
     aid = _sid("account")
     for c in ("inactiveLobbyistStartDate", "firstPublicationDate", "lastUpdateDate"):
-        f.reject(s, N.ts_invalid(F.col(f"s.{c}")), f"account.{c}")
+        f.reject(s, N.ts_invalid(F.col(f"s.{c}")), f"account.{c}", F.col(f"s.{c}"))
     f.emit("account_details", s.select(
         ENTRY, aid.alias("id"), hid(F.col(ENTRY)).alias("entry_id"),
         F.col("s.activeLobbyist").alias("active_lobbyist"),
@@ -171,11 +178,13 @@ def flt_account(f: Flattener) -> None:
     for key, table in (("activeDateRanges", "account_active_range"),
                        ("inactiveDateRanges", "account_inactive_range")):
         r = _explode(s, F.col(f"s.{key}"), "r", "o")
+        f.reject_times(r, "r", ["fromDate", "untilDate"], f"account.{key}")
         f.emit(table, r.select(
             ENTRY, hid(F.col(ENTRY), table, F.col("o")).alias("id"), aid.alias("account_id"),
             F.col("o").alias("ordinal"), N.ts("r.fromDate").alias("from_date"),
             N.ts("r.untilDate").alias("until_date")))
     v = _explode(s, F.col("s.registerEntryVersions"), "v", "o")
+    f.reject_times(v, "v", ["validFromDate", "validUntilDate", "activeUntilDate"], "account.version")
     f.emit("account_register_entry_version", v.select(
         ENTRY, hid(F.col(ENTRY), "version", F.col("o")).alias("id"), aid.alias("account_id"),
         F.col("o").alias("ordinal"), F.col("v.registerEntryId").alias("register_entry_id_num"),
@@ -196,6 +205,7 @@ def flt_account(f: Flattener) -> None:
 def flt_details(f: Flattener) -> None:
     s = _section(f, "registerEntryDetails")
     did = _sid("details")
+    f.reject_times(s, "s", ["validFromDate", "validUntilDate"], "details")
     f.emit("register_entry_details", s.select(
         ENTRY, did.alias("id"), hid(F.col(ENTRY)).alias("entry_id"),
         F.col("s.registerEntryId").alias("register_entry_id_num"),
@@ -208,6 +218,7 @@ def flt_details(f: Flattener) -> None:
                             ("fiscalYearUpdate", "register_entry_fiscal_year_update",
                              "lastFiscalYearUpdate")):
         u = s.filter(N.any_field(F.col(f"s.{key}"), ["updateMissing", col]))
+        f.reject_times(u, f"s.{key}", [col], f"details.{key}")
         out_col = "last_annual_update" if key == "annualUpdate" else "last_fiscal_year_update"
         f.emit(table, u.select(
             ENTRY, hid(F.col(ENTRY), table).alias("id"), did.alias("details_id"),
@@ -295,7 +306,7 @@ def flt_identity(f: Flattener) -> None:
 
     mc = s.filter(N.any_field(F.col("s.membersCount"),
                               ["naturalPersons", "organizations", "total", "date"]))
-    f.reject(mc, N.day_invalid(F.col("s.membersCount.date")), "members_count.date")
+    f.reject(mc, N.day_invalid(F.col("s.membersCount.date")), "members_count.date", F.col("s.membersCount.date"))
     f.emit("members_count", mc.select(
         ENTRY, hid(F.col(ENTRY), "members_count").alias("id"), iid.alias("identity_id"),
         F.col("s.membersCount.naturalPersons").alias("natural_persons"),
@@ -409,11 +420,11 @@ def _fiscal_ym() -> list[Column]:
 
 def _reject_fiscal(f: Flattener, s: DataFrame, name: str, ym: bool) -> None:
     for c in ("relatedFiscalYearStart", "relatedFiscalYearEnd"):
-        f.reject(s, N.day_invalid(F.col(f"s.{c}")), f"{name}.{c}")
+        f.reject(s, N.day_invalid(F.col(f"s.{c}")), f"{name}.{c}", F.col(f"s.{c}"))
     if ym:
         for c in ("fiscalYearStart", "fiscalYearEnd"):
             v = F.col(f"s.{c}")
-            f.reject(s, v.isNotNull() & ~v.rlike(N.YEAR_MONTH), f"{name}.{c}")
+            f.reject(s, v.isNotNull() & ~v.rlike(N.YEAR_MONTH), f"{name}.{c}", v)
 
 
 # ------------------------------------------------------------------ FLT-6..11
@@ -516,7 +527,7 @@ def flt_annual_reports(f: Flattener) -> None:
     s = _section(f, "annualReports")
     for c in ("lastFiscalYearStart", "lastFiscalYearEnd", "previousLastFiscalYearStart",
               "previousLastFiscalYearEnd"):
-        f.reject(s, N.day_invalid(F.col(f"s.{c}")), f"annual_reports.{c}")
+        f.reject(s, N.day_invalid(F.col(f"s.{c}")), f"annual_reports.{c}", F.col(f"s.{c}"))
     f.emit("annual_reports", s.select(
         ENTRY, _sid("annual_reports").alias("id"), hid(F.col(ENTRY)).alias("entry_id"),
         F.col("s.disclosureRequirementsExist").alias("disclosure_requirements_exist"),
@@ -582,7 +593,7 @@ def flt_projects(f: Flattener) -> None:
     mig = pm.filter(N.any_field(F.col("pm.migratedDraftBill"),
                                 ["title", "publicationDate", "leadingMinistries"]))
     mig_id = hid(F.col(ENTRY), "migrated", F.col("o"), F.col("o2"))
-    f.reject(mig, N.day_invalid(F.col("pm.migratedDraftBill.publicationDate")), "migrated.date")
+    f.reject(mig, N.day_invalid(F.col("pm.migratedDraftBill.publicationDate")), "migrated.date", F.col("pm.migratedDraftBill.publicationDate"))
     f.emit("migrated_draft_bill", mig.select(
         ENTRY, mig_id.alias("id"), matter.alias("printed_matter_id"),
         F.col("pm.migratedDraftBill.title").alias("title"),
@@ -598,7 +609,7 @@ def flt_projects(f: Flattener) -> None:
                                                                "draftBill"])))
     db_id = hid(F.col(ENTRY), "draft", F.col("o"))
     for c in ("publicationDate", "customDate"):
-        f.reject(db, N.day_invalid(F.col(f"x.draftBill.{c}")), f"draft_bill.{c}")
+        f.reject(db, N.day_invalid(F.col(f"x.draftBill.{c}")), f"draft_bill.{c}", F.col(f"x.draftBill.{c}"))
     f.emit("draft_bill", db.select(
         ENTRY, db_id.alias("id"), item.alias("project_item_id"),
         F.col("x.draftBill.title").alias("title"),
@@ -634,7 +645,7 @@ def flt_statements(f: Flattener) -> None:
     st = _explode(s, F.col("s.statements"), "x", "o")
     item = hid(F.col(ENTRY), "statement", F.col("o"))
     first = F.element_at(F.col("x.recipientGroups"), 1)["sendingDate"]
-    f.reject(st, N.day_invalid(first), "statement.sending_date")
+    f.reject(st, N.day_invalid(first), "statement.sending_date", first)
     f.emit("statement_item", st.select(
         ENTRY, item.alias("id"), pid.alias("parent_id"), F.col("o").alias("ordinal"),
         F.col("x.statementNumber").alias("statement_number"),
@@ -676,6 +687,8 @@ def _financial_resources(f: Flattener, df: DataFrame, table: str, parent: str,
                   | N.truthy_str(r["lastFiscalYearStart"]) | N.truthy_str(r["lastFiscalYearEnd"])
                   | (F.coalesce(r["from"], F.lit(0)) != 0) | (F.coalesce(r["to"], F.lit(0)) != 0))
     x = df.filter(r.isNotNull() & any_truthy)
+    f.reject_times(x, "x.financialResourcesReceived", ["lastFiscalYearStart", "lastFiscalYearEnd"], "resources",
+                   N.day_invalid)
     f.emit(table, x.select(
         ENTRY, hid(parent_id, "resources").alias("id"), parent_id.alias(parent),
         r["lastFiscalYearFinished"].alias("last_fiscal_year_finished"),

@@ -12,7 +12,7 @@ import re
 from civicflow.sources import fixtures
 
 _WORD = re.compile(r"[a-z_]+")
-_LEAD_WITH = re.compile(r"^\s*WITH\s+", re.IGNORECASE)
+_LEAD_WITH = re.compile(r"^\s*WITH\s+(RECURSIVE\s+)?", re.IGNORECASE)
 
 
 def render(sql: str) -> str:
@@ -29,5 +29,7 @@ def render(sql: str) -> str:
     head = "WITH " + ",\n".join(ctes)
     m = _LEAD_WITH.match(body)
     if m:
+        if m.group(1):
+            head = head.replace("WITH ", "WITH RECURSIVE ", 1)
         return head + ",\n" + body[m.end():]
     return head + "\n" + body

@@ -11,6 +11,7 @@ register tables, so equality proves the round trip.
 
 from __future__ import annotations
 
+import re
 import threading
 
 from pyspark.sql import DataFrame
@@ -20,9 +21,12 @@ from civicflow.operators.flatten import ENTRY
 from civicflow.plans.common import Tables
 from civicflow.plans.registry import query
 from civicflow.sources import pages as P
+from civicflow.sources.chain import page_chain
 from civicflow.sources.nest import nest_documents, pages_text
 from civicflow.session import shared_path
-from civicflow.sources.store import ingest_to, refresh_all, stage, upsert_entries
+from civicflow.operators.flatten import flatten_entries
+from civicflow.sources.store import (entry_rejects, ingest_to, placed_rejects, refresh_all, stage,
+                                     upsert_entries)
 
 S = "ingest"
 SOURCE = "register-fixture"
@@ -403,3 +407,96 @@ def src_upsert(t: Tables) -> DataFrame:
     again = (t["register_entry"].where(F.col("id") % 3 == 0)
              .select("id", "register_number", F.lit("second run").alias("source")))
     return upsert_entries(first, again).select("register_number", "source")
+
+
+def _from_entries(t: Tables, sql: str) -> DataFrame:
+    """Rows that ``sql`` makes from the register's entries."""
+    entries = t["register_entry"].select("id", "register_number")
+    # Braces of JSON text are no parameters.
+    sql = sql.replace("{", "{{").replace("}", "}}").replace("AS VARCHAR", "AS STRING")
+    return entries.sparkSession.sql(re.sub(r"\bregister_entry\b", "{entries}", sql), entries=entries)
+
+
+#: Landed pages made from the entries, as SQL for Spark and DuckDB: five runs whose cursors chain every
+#: fifth entry.  Run 1 turns back now and then, run 2 has lost pages, run 3 landed each page twice.
+_LANDED = """
+SELECT id % 5 AS run, 'page ' || md5(register_number) AS page,
+       CASE WHEN id > 5 THEN 'c' || CAST(id AS VARCHAR) END AS cursor,
+       CASE WHEN id % 5 = 4 AND id + 5 > (SELECT MAX(id) FROM register_entry) THEN NULL
+            WHEN id % 5 = 1 AND id > 60 AND (id - id % 5) % 35 = 0 THEN 'c' || CAST(id - 20 AS VARCHAR)
+            ELSE 'c' || CAST(id + 5 AS VARCHAR) END AS next_cursor
+FROM register_entry WHERE NOT (id % 5 = 2 AND id > 100 AND (id - id % 5) % 55 = 0)
+UNION ALL
+SELECT id % 5, 'page ' || md5(register_number) || ' again', CASE WHEN id > 5 THEN 'c' || CAST(id AS VARCHAR) END, NULL
+FROM register_entry WHERE id % 5 = 3"""
+
+
+@query("src_page_chain", section=S, oracle=f"""
+WITH RECURSIVE landed AS ({_LANDED}),
+nodes AS (SELECT run, coalesce(cursor, '') AS cur, MIN(page) AS page, arg_min(next_cursor, page) AS dest
+          FROM (SELECT run, cursor, page, coalesce(next_cursor, '') AS next_cursor FROM landed) x GROUP BY 1, 2),
+walk AS (SELECT run, cur, page, dest, 0 AS rank, [cur] AS seen FROM nodes WHERE cur = ''
+  UNION ALL
+  SELECT n.run, n.cur, n.page, n.dest, w.rank + 1, list_append(w.seen, n.cur)
+  FROM walk w JOIN nodes n ON n.run = w.run AND n.cur = w.dest
+  WHERE w.dest <> '' AND NOT list_contains(w.seen, n.cur))
+SELECT l.run, l.page, CAST(w.rank AS BIGINT) AS rank,
+       CASE WHEN w.rank IS NULL AND n.page IS NULL THEN 'duplicate' WHEN w.rank IS NULL THEN 'unreachable'
+            WHEN w.dest = '' THEN 'last' WHEN t.rank IS NULL THEN 'gap'
+            WHEN t.rank <= w.rank THEN 'repeated' ELSE 'chained' END AS state
+FROM landed l LEFT JOIN nodes n ON n.run = l.run AND n.page = l.page
+LEFT JOIN walk w ON w.run = l.run AND w.page = l.page
+LEFT JOIN walk t ON t.run = w.run AND t.cur = w.dest""")
+def src_page_chain(t: Tables) -> DataFrame:
+    """SRC-1/8: order of landed pages along their cursors, with gaps, cycles and pages out of reach."""
+    return page_chain(_from_entries(t, _LANDED))
+
+
+#: Entry documents with planted faults, by id modulo 8, as SQL for Spark and DuckDB: a wrong type, a quoted number, an
+#: integral float, a bad nullable date, an object for a text, a wrong boolean, a bad fiscal year.
+_FAULTY = """
+SELECT id, register_number, 'page-' || CAST(CAST(floor(id / 10) AS INT) AS VARCHAR) AS page,
+       CAST(row_number() OVER (PARTITION BY floor(id / 10) ORDER BY id) - 1 AS INT) AS position,
+       '{"registerNumber":"' || register_number || '"' || CASE id % 8
+         WHEN 1 THEN ',"financialExpenses":{"financialExpensesEuro":{"to":"abc"}}'
+         WHEN 2 THEN ',"financialExpenses":{"financialExpensesEuro":{"to":"1200"}}'
+         WHEN 3 THEN ',"financialExpenses":{"financialExpensesEuro":{"to":1200.0}}'
+         WHEN 4 THEN ',"registerEntryDetails":{"version":1,"legislation":"L","validFromDate":"not a day"}'
+         WHEN 5 THEN ',"codeOfConduct":{"ownCodeOfConduct":true,"codeOfConductPdfUrl":{"a":1}}'
+         WHEN 6 THEN ',"codeOfConduct":{"ownCodeOfConduct":"maybe"}'
+         WHEN 7 THEN ',"financialExpenses":{"fiscalYearStart":"2021"}'
+         ELSE '' END || '}' AS json
+FROM register_entry"""
+
+
+@query("src_rejects", section=S, oracle=f"""
+WITH docs AS ({_FAULTY}), cut AS (SELECT page, string_agg(json, ',' ORDER BY id) AS body FROM docs GROUP BY page),
+broken AS (SELECT page FROM cut WHERE CAST(replace(page, 'page-', '') AS INT) % 6 = 5),
+found AS (SELECT page, position, register_number AS entry, CASE id % 8
+            WHEN 1 THEN 'type: financialExpenses.financialExpensesEuro.to' WHEN 4 THEN 'details.validFromDate'
+            WHEN 6 THEN 'type: codeOfConduct.ownCodeOfConduct' WHEN 7 THEN 'expenses.fiscalYearStart' END AS rule,
+          CASE id % 8 WHEN 1 THEN '"abc"' WHEN 4 THEN 'not a day' WHEN 6 THEN '"maybe"' WHEN 7 THEN '2021' END AS raw
+          FROM docs WHERE page NOT IN (SELECT page FROM broken))
+SELECT page, position, entry, rule, raw FROM found WHERE rule IS NOT NULL
+UNION ALL SELECT page, NULL, NULL, 'unreadable page', NULL FROM broken
+UNION ALL SELECT NULL, NULL, NULL, 'accepted entries', CAST(COUNT(*) AS VARCHAR) FROM found WHERE rule IS NULL""")
+def src_rejects(t: Tables) -> DataFrame:
+    """SRC-1/7: the ledger's rows of pages with planted faults, and the number of entries that were accepted."""
+    docs = _from_entries(t, _FAULTY)
+    whole = docs.groupBy("page").agg(F.concat(
+        F.lit('{"results":['), F.concat_ws(",", F.transform(
+            F.sort_array(F.collect_list(F.struct("id", "json"))), lambda x: x["json"])), F.lit("]}")).alias("value"))
+    broken = F.regexp_replace("page", "page-", "").cast("int") % 6 == 5
+    text = whole.select(F.col("page").alias("_page"), F.when(broken, F.substring("value", 1, 20)).otherwise(
+        F.col("value")).alias("value"))
+    found, unreadable = P.split_pages(stage(P.pages_from_text(text), "pages"))
+    entries = stage(P.dedupe_entries(found), "entries")
+    tables, _, rejects = flatten_entries(entries)
+    rejects = stage(entry_rejects(entries, tables, rejects), "rejects")
+    rows = placed_rejects(entries, rejects, unreadable)
+    accepted = entries.join(rejects.select(ENTRY).distinct(), ENTRY, "left_anti").agg(
+        F.count("*").cast("string").alias("raw"))
+    none = F.lit(None).cast("string")
+    return rows.withColumn("raw", F.when(F.col("entry").isNotNull(), F.col("raw"))).unionByName(accepted.select(
+        none.alias("page"), F.lit(None).cast("int").alias("position"), none.alias("entry"),
+        F.lit("accepted entries").alias("rule"), "raw"))

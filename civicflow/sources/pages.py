@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from functools import lru_cache
 
-from civicflow.sources.document import entry_schema, page_schema
+from civicflow.sources import typed
+from civicflow.sources.document import ENTRY_DDL, META, entry_schema, page_schema
 
 META_FIELDS = ["source", "sourceUrl", "sourceDate", "jsonDocumentationUrl"]
 
@@ -74,15 +75,50 @@ def extract_entries(pages: DataFrame) -> DataFrame:
             .filter(F.col("e").isNotNull()))
 
 
-def unreadable_pages(pages: DataFrame) -> DataFrame:
-    """SRC-1/7: (_page, reason) of pages that the JSON reader could not parse.
-
-    A bare list that also holds non-objects is read by ``extract_entries`` and
-    is no reject; a page cut off in the middle, or no JSON at all, is one."""
+def _variants(pages: DataFrame) -> DataFrame:
+    """(_page, raw, v) of the pages the typed reader complained about; v is NULL where there is no JSON."""
     raw = F.col("_corrupt_record")
-    bare = F.trim(raw).startswith("[") & F.from_json(raw, T.ArrayType(T.StringType())).isNotNull()
-    return pages.where(raw.isNotNull() & ~F.coalesce(bare, F.lit(False))).select(
-        "_page", F.lit("unreadable page").alias("reason"))
+    return pages.where(raw.isNotNull()).select("_page", raw.alias("raw"), F.try_parse_json(raw).alias("v"))
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """SRC-1/7: (_page, rule, raw) of pages that are no JSON: cut off in the middle, or something else."""
+    return _variants(pages).where("v IS NULL").select(
+        "_page", F.lit("unreadable page").alias("rule"), "raw")
+
+
+def salvaged_entries(pages: DataFrame) -> DataFrame:
+    """SRC-1/2/7: entries of readable pages in which a value does not fit its type.
+
+    (_page, _pos, _meta, e, faults): the entry with every value that fits, and the (path, raw) of
+    those that do not.  Lists may hold other things than objects; these are dropped."""
+    def listed(name: str) -> Column:
+        return F.try_variant_get("v", f"$.{name}", "array<variant>")
+    is_list = F.schema_of_variant("v").startswith("ARRAY")
+    own = F.when(F.try_variant_get("v", "$.registerNumber", "string").isNotNull(), F.array("v"))
+    entries = F.when(is_list, F.try_variant_get("v", "$", "array<variant>")).otherwise(F.coalesce(
+        F.when(F.size(listed("results")) > 0, listed("results")), listed("registerEntries"),
+        F.when(listed("results").isNull(), own)))
+    rows = _variants(pages).where("v IS NOT NULL").select(
+        "_page", typed.typed(META).alias("_meta"), F.posexplode(entries).alias("_pos", "x"))
+    rows = rows.where(F.schema_of_variant("x").startswith("OBJECT"))
+    return rows.select("_page", "_pos", "_meta", typed.typed(ENTRY_DDL, "x").alias("e"),
+                       typed.faults(ENTRY_DDL, "x").alias("faults"))
+
+
+def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """SRC-1/2/3/7: the entries of ``pages`` (_page, _pos, e, faults) and the unreadable pages.
+
+    ``pages`` should be staged: the typed reader's clean pages go their way, and only when
+    some page is not clean is its text read again as VARIANT."""
+    clean = merge_page_metadata(extract_entries(pages.where(F.col("_corrupt_record").isNull())))
+    clean = clean.withColumn("faults", F.array().cast(typed.FAULT))
+    if not pages.where(F.col("_corrupt_record").isNotNull()).isEmpty():
+        found = merge_page_metadata(salvaged_entries(pages)).select(*clean.columns)
+        schema = entry_schema()
+        clean = clean.withColumn("e", F.col("e").cast(schema)).unionByName(
+            found.withColumn("e", F.col("e").cast(schema)))
+    return clean, unreadable_pages(pages)
 
 
 def merge_page_metadata(entries: DataFrame) -> DataFrame:
@@ -96,22 +132,23 @@ def merge_page_metadata(entries: DataFrame) -> DataFrame:
 def dedupe_entries(entries: DataFrame) -> DataFrame:
     """SRC-4: first occurrence of a register number in page order wins.
 
-    ``min_by`` over (page, position) is a partial aggregate: a number that
-    repeats across a third of all pages still leaves one candidate per
-    partition before the shuffle.  Entries without a number pass through
-    (they are rejected later).  Output: _entry, _seq, e.
+    Only keys are aggregated: the least (page, position) per number is a partial
+    aggregate without documents, so a number that repeats across a third of all
+    pages leaves one small row per partition.  A join on the place, which no
+    two entries share, then fetches the winners' documents.  Entries without a
+    number pass through (they are rejected later).  Output: _entry, _seq, e (and faults, if given).
     """
-    order = F.struct(F.col("_page"), F.col("_pos"))
-    numbered = entries.filter(F.col("e.registerNumber").isNotNull())
-    first = (numbered.groupBy(F.col("e.registerNumber").alias("_entry"))
-             .agg(F.min_by(F.struct("e", order.alias("o")), order).alias("w"))
-             .select("_entry", F.col("w.e").alias("e"), F.col("w.o").alias("o")))
-    anonymous = (entries.filter(F.col("e.registerNumber").isNull())
-                 .select(F.concat(F.lit("?"), F.col("_page"), F.lit("#"),
-                                  F.col("_pos").cast("string")).alias("_entry"), "e",
-                         order.alias("o")))
+    number = F.col("e.registerNumber")
+    rest = [c for c in entries.columns if c not in ("_page", "_pos")]
+    first = (entries.where(number.isNotNull()).groupBy(number.alias("_entry"))
+             .agg(F.min(F.struct("_page", "_pos")).alias("_seq"))
+             .select("_entry", "_seq", F.col("_seq._page").alias("_page"), F.col("_seq._pos").alias("_pos")))
+    won = entries.where(number.isNotNull()).join(first, ["_page", "_pos"]).select("_entry", "_seq", *rest)
     # ``_seq`` (page, position) orders entries for "first writer" rules.
-    return first.unionByName(anonymous).select("_entry", F.col("o").alias("_seq"), "e")
+    anonymous = entries.where(number.isNull()).select(
+        F.concat(F.lit("?"), F.col("_page"), F.lit("#"), F.col("_pos").cast("string")).alias("_entry"),
+        F.struct("_page", "_pos").alias("_seq"), *rest)
+    return won.unionByName(anonymous)
 
 
 def reconcile_totals(entries: DataFrame, stats: DataFrame | None = None) -> DataFrame:

@@ -25,15 +25,16 @@ def seed_enums(spark: SparkSession) -> dict[str, DataFrame]:
             for name, codes in ENUMS.items()}
 
 
-def violations(df: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
-    """(entry, rule) for every check a row fails — one pass over ``df``.
+def violations(df: DataFrame, checks: list[tuple[Column, str, Column | None]]) -> DataFrame:
+    """(entry, rule, raw) for every check a row fails — one pass over ``df``.
 
     All checks of a table are evaluated in one projection (an array of the
-    failed rule names, exploded), not one filtered scan per rule.
+    failed rules with the value that fails, exploded), not one filtered scan per rule.
     """
-    failed = F.filter(F.array(*[F.when(cond, F.lit(rule)) for cond, rule in checks]),
-                      lambda x: x.isNotNull())
-    return df.select(ENTRY, F.explode(failed).alias("rule"))
+    failed = F.filter(F.array(*[F.when(cond, F.struct(
+        F.lit(rule).alias("rule"), (F.lit(None) if raw is None else raw).cast("string").alias("raw")))
+        for cond, rule, raw in checks]), lambda x: x.isNotNull())
+    return df.select(ENTRY, F.inline(failed))
 
 
 def schema_rejects(tables: dict[str, DataFrame]) -> DataFrame | None:
@@ -47,10 +48,10 @@ def schema_rejects(tables: dict[str, DataFrame]) -> DataFrame | None:
             if col == "id":
                 continue
             if not nullable:
-                checks.append((F.col(col).isNull(), f"{name}.{col} is NULL"))
+                checks.append((F.col(col).isNull(), f"{name}.{col} is NULL", None))
             if ref in ENUMS:
                 checks.append((F.col(col).isNotNull() & ~F.col(col).isin(ENUMS[ref]),
-                               f"{name}.{col} not in {ref}"))
+                               f"{name}.{col} not in {ref}", F.col(col)))
         if checks:
             parts.append(violations(df, checks))
     if not parts:
@@ -61,23 +62,24 @@ def schema_rejects(tables: dict[str, DataFrame]) -> DataFrame | None:
     return out
 
 
-def quarantine(tables: dict[str, DataFrame], rejects: DataFrame | None
-               ) -> tuple[dict[str, DataFrame], DataFrame | None]:
-    """SRC-7: drop every row of every rejected entry.
+def entry_rejects(entries: DataFrame, tables: dict[str, DataFrame], rejects: DataFrame | None) -> DataFrame:
+    """SRC-7: (entry, rule, raw) of every rule that an entry breaks: values of a wrong type
+    (``faults``), the flatteners' checks, and the schema's (NOT NULL columns, enum codes)."""
+    found = [r for r in (rejects, schema_rejects(tables)) if r is not None]
+    if "faults" in entries.columns:
+        found.append(entries.select(ENTRY, F.explode("faults").alias("x")).select(
+            ENTRY, F.concat(F.lit("type: "), F.col("x.path")).alias("rule"), F.col("x.raw").alias("raw")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
 
-    The reject list is one row per (entry, rule) and is de-duplicated to
-    one row per entry before the anti joins; AQE broadcasts it when it is
-    small and shuffles otherwise.
-    """
-    all_rejects = [r for r in (rejects, schema_rejects(tables)) if r is not None]
-    if not all_rejects:
-        return tables, None
-    rej = all_rejects[0]
-    for r in all_rejects[1:]:
-        rej = rej.unionByName(r)
-    bad = rej.select(ENTRY).distinct()
-    clean = {name: df.join(bad, ENTRY, "left_anti") for name, df in tables.items()}
-    return clean, rej
+
+def quarantine(tables: dict[str, DataFrame], rejects: DataFrame) -> dict[str, DataFrame]:
+    """SRC-7: drop every row of every rejected entry (one anti join per table; AQE broadcasts
+    the list of entries when it is small and shuffles otherwise)."""
+    bad = rejects.select(ENTRY).distinct()
+    return {name: df.join(bad, ENTRY, "left_anti") for name, df in tables.items()}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -91,9 +93,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def ingest_entries(entries: DataFrame, staged: bool = False
-                   ) -> tuple[dict[str, DataFrame], DataFrame | None]:
-    """Flatten de-duplicated entries (``_entry, _seq, e``), quarantine the
+                   ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Flatten de-duplicated entries (``_entry, _seq, e``, maybe ``faults``), quarantine the
     rejected ones, and build the label dimensions from the accepted ones.
+    Returns the tables and the staged rejects (_entry, rule, raw).
 
     Two lineage cuts keep every later plan small: the entries are staged
     once (all ~100 projections scan the staged parquet), and the rejected
@@ -103,17 +106,9 @@ def ingest_entries(entries: DataFrame, staged: bool = False
     if not staged:
         entries = stage(entries, "entries")
     tables, uses, rejects = flatten_entries(entries)
-    all_rejects = [r for r in (rejects, schema_rejects(tables)) if r is not None]
-    rej = None
-    if all_rejects:
-        rej = all_rejects[0]
-        for r in all_rejects[1:]:
-            rej = rej.unionByName(r)
-        rej = stage(rej.groupBy(ENTRY).agg(F.sort_array(F.collect_set("rule")).alias("rules")),
-                    "rejects")
-        bad = rej.select(ENTRY)
-        tables = {name: df.join(bad, ENTRY, "left_anti") for name, df in tables.items()}
-        uses = uses.join(bad, ENTRY, "left_anti")
+    rej = stage(entry_rejects(entries, tables, rejects), "rejects")
+    tables = quarantine(tables, rej)
+    uses = uses.join(rej.select(ENTRY).distinct(), ENTRY, "left_anti")
     code_label, country_label = label_dimensions(uses)
     tables["code_label"] = code_label.withColumn(ENTRY, F.lit(None).cast("string"))
     tables["country_label"] = country_label.withColumn(ENTRY, F.lit(None).cast("string"))
@@ -123,6 +118,26 @@ def ingest_entries(entries: DataFrame, staged: bool = False
     return tables, rej
 
 
+def ingest_pages(pages: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """SRC-1 … SRC-7 on landed pages: the tables of the accepted entries, the staged entries, and all
+    rejects (page, position, entry, rule, raw), of pages and of entries."""
+    pages = stage(pages, "pages")
+    found, unreadable = P.split_pages(pages)
+    entries = stage(P.dedupe_entries(found), "entries")
+    tables, rej = ingest_entries(entries, staged=True)
+    return tables, entries, placed_rejects(entries, rej, unreadable)
+
+
+def placed_rejects(entries: DataFrame, rejects: DataFrame, unreadable: DataFrame) -> DataFrame:
+    """(page, position, entry, rule, raw) of the rejected entries and the unreadable pages."""
+    places = entries.select(ENTRY, F.col("_seq._page").alias("page"),
+                            F.col("_seq._pos").cast("int").alias("position"))
+    return rejects.join(places, ENTRY).select(
+        "page", "position", F.col(ENTRY).alias("entry"), "rule", "raw").unionByName(
+        unreadable.select(F.col("_page").alias("page"), F.lit(None).cast("int").alias("position"),
+                          F.lit(None).cast("string").alias("entry"), "rule", "raw"))
+
+
 def ingest_to(entries: DataFrame, path: str) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """Ingest and persist (SRC-9): every table written once below ``path``
     and read back, so queries scan typed parquet, not the ingest plan."""
@@ -224,6 +239,6 @@ def refresh_all(tables, path: str | None = None) -> dict[str, DataFrame]:
                                                      f"{base}/mv_revolving_door_network")}
 
 
-__all__ = ["seed_enums", "schema_rejects", "quarantine", "ingest_entries",
+__all__ = ["seed_enums", "schema_rejects", "entry_rejects", "quarantine", "ingest_entries", "ingest_pages",
            "upsert_entries", "replace_children", "write_tables", "read_tables", "materialize",
            "refresh_all"]

@@ -3,91 +3,41 @@
 The reference runs a producer / bounded queue / worker pool that writes one
 entry per database transaction.  Here a file-source stream picks up new page
 files; every micro-batch goes through the batch ingest (extract → merge →
-de-duplicate → flatten → quarantine) and is applied to the current store
-with ``replace_children``: re-ingested entries lose all of their old rows.
-
-The store is versioned: a batch writes a complete new version into a folder of
-its own and commits it by creating ``_commits/<number>`` as the last step, a
-file that names the folder, the stream and its epoch.  Numbers only grow, also
-when a stream starts anew at epoch 0 from an empty checkpoint; creating a
-number twice fails, so of two writers one loses.  A batch that its stream
-has committed already (replayed after a failure) is skipped.  Versions older
-than the last ``KEEP`` are removed.
+de-duplicate → flatten → quarantine) and is applied to the store, of which it
+rewrites only the buckets that its entries fall in (``sources.buckets``).
+Rejected entries and unreadable pages go to the store's ledger (``sources.ledger``).
+
+A version is committed by creating a numbered file as the last step.  Numbers
+only grow, also when a stream starts anew at epoch 0 from an empty checkpoint.
+A batch that its stream has committed already (replayed after a failure) is
+skipped; one that failed half way overwrites its own ledger rows.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from civicflow.session import shared_path
+from civicflow.sources import buckets as B
+from civicflow.sources import ledger
 from civicflow.sources import pages as P
-from civicflow.sources.store import ingest_entries, read_tables, replace_children, write_tables
-
-#: Committed versions that stay on disk: readers of the last one may still run.
-KEEP = 3
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
+from civicflow.sources.buckets import KEEP, versions
+from civicflow.sources.store import ingest_pages, read_tables, stage, write_tables
 
-def _commits(spark: SparkSession, out: str) -> list[str]:
-    """Paths of the commit files below ``out``, oldest first."""
-    p, fs = _fs(spark, f"{out.rstrip('/')}/_commits")
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().toString() for s in fs.listStatus(p)
-                  if s.getPath().getName().isdigit())
-
-
-def _read(spark: SparkSession, path: str) -> dict:
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)
-
-
-def versions(spark: SparkSession, out: str) -> list[dict]:
-    """Committed versions: number, folder, stream, epoch."""
-    return [_read(spark, c) for c in _commits(spark, out)]
+__all__ = ["KEEP", "apply_batch", "current_tables", "rejects", "stream_ingest", "versions"]
 
 
 def current_tables(spark: SparkSession, out: str) -> dict[str, DataFrame] | None:
-    vs = versions(spark, out)
-    if not vs:
-        return None
-    base = f"{out.rstrip('/')}/{vs[-1]['folder']}"
-    p, fs = _fs(spark, base)
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    return read_tables(spark, base, names)
-
-
-def _commit(spark: SparkSession, out: str, entry: dict) -> None:
-    p, fs = _fs(spark, f"{out.rstrip('/')}/_commits/{entry['number']:010d}")
-    stream = fs.create(p, False)               # fails if the number is taken
-    try:
-        stream.write(bytearray(json.dumps(entry).encode()))
-    finally:
-        stream.close()
+    """The tables of the last committed version; None before the first."""
+    return B.read_store(spark, out)
 
 
-def _expire(spark: SparkSession, out: str) -> None:
-    """Remove all but the last KEEP versions, commit file first."""
-    for path in _commits(spark, out)[:-KEEP]:
-        folder = _read(spark, path)["folder"]
-        for old in (path, f"{out.rstrip('/')}/{folder}"):
-            p, fs = _fs(spark, old)
-            fs.delete(p, True)
+def rejects(spark: SparkSession, out: str) -> DataFrame | None:
+    """The ledger of the committed versions; None before the first."""
+    last = B.last_version(spark, out)
+    return ledger.read_ledger(spark, f"{out.rstrip('/')}/_rejects", last["number"]) if last else None
 
 
 def apply_batch(pages: DataFrame, epoch_id: int, out: str, stream: str = "") -> None:
@@ -96,15 +46,16 @@ def apply_batch(pages: DataFrame, epoch_id: int, out: str, stream: str = "") ->
     done = versions(spark, out)
     if any(v["stream"] == stream and v["epoch"] >= epoch_id for v in done):
         return
-    entries = P.dedupe_entries(P.merge_page_metadata(P.extract_entries(pages)))
-    incoming, _ = ingest_entries(entries)
-    current = current_tables(spark, out)
-    merged = incoming if current is None else replace_children(current, incoming)
+    pages = stage(pages, "batch")
+    tables, _, rejected = ingest_pages(pages)
+    # The ingest plans run once; the store reads their rows from files.
+    work = shared_path(spark, "batch-tables", unique=True)
+    write_tables(tables, work)
+    incoming = read_tables(spark, work, list(tables))
     number = done[-1]["number"] + 1 if done else 0
-    folder = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
-    write_tables(merged, f"{out.rstrip('/')}/{folder}")
-    _commit(spark, out, {"number": number, "folder": folder, "stream": stream, "epoch": epoch_id})
-    _expire(spark, out)
+    ledger.append(f"{out.rstrip('/')}/_rejects", number, stage(rejected, "ledger"), incoming["register_entry"],
+                  pages.select("_page").distinct(), rejects(spark, out))
+    B.apply(spark, out, incoming, stream, epoch_id)
 
 
 def stream_ingest(spark: SparkSession, landing: str, out: str,

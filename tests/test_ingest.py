@@ -210,8 +210,53 @@ def test_a_stream_that_starts_anew_loses_nothing(spark):
     assert tables["activity_operation_type"].count() == 3
 
 
-def test_unreadable_pages_are_rejects(spark):
-    docs = [("good", json.dumps({**META, "results": [_entry("R1")]})), ("cut", '{"results": [{"registerNumb'),
-            ("list", json.dumps([_entry("R2"), 1])), ("no json", "<html>")]
-    pages = _pages(spark, docs)
-    assert sorted(r["_page"] for r in P.unreadable_pages(pages).collect()) == ["cut", "no json"]
+def test_split_pages_reads_by_type_and_names_faults(spark):
+    """Quoted numbers, integral floats and boolean words load, objects in text columns are NULL,
+    what does not fit is a fault with its path and raw value; a cut page is a reject."""
+    odd = _entry("R1", lobbyistIdentity={"identity": "NATURAL", "lastName": {"a": 1}, "firstName": 7,
+                                         "contactDetails": {"emails": ["a@b.de"]}},
+                 financialExpenses={"financialExpensesEuro": {"from": 5.5, "to": "12"}},
+                 accountDetails={"activeLobbyist": "yes", "registerEntryVersions": [{"version": 4.0}, {"version": "3"}]},
+                 donators="text")
+    bad = _entry("R2", accountDetails={"activeLobbyist": "maybe", "registerEntryVersions": [{"version": "x"}, {"version": [1]}]})
+    docs = [("p1", json.dumps({**META, "results": [odd, 3, bad]})), ("p2", json.dumps({**META, "results": [_entry("R3")]})),
+            ("cut", '{"results": [{"registerNumb'), ("list", json.dumps([_entry("R4"), 1])), ("no json", "<html>")]
+    found, unreadable = P.split_pages(_pages(spark, docs))
+    rows = {r["e"]["registerNumber"]: r for r in found.collect()}
+    assert set(rows) == {"R1", "R2", "R3", "R4"}
+    assert sorted((r["_page"], r["rule"]) for r in unreadable.collect()) == [
+        ("cut", "unreadable page"), ("no json", "unreadable page")]
+    e = rows["R1"]["e"]
+    assert rows["R1"]["faults"] == [] and e["lobbyistIdentity"]["lastName"] is None
+    assert (e["lobbyistIdentity"]["firstName"], e["lobbyistIdentity"]["contactDetails"]["emails"]) == ("7", '["a@b.de"]')
+    assert tuple(e["financialExpenses"]["financialExpensesEuro"]) == (6, 12) and e["donators"] is None
+    assert e["accountDetails"]["activeLobbyist"] is True and e["source"] == "P"
+    assert [v["version"] for v in e["accountDetails"]["registerEntryVersions"]] == [4, 3]
+    assert [tuple(f) for f in rows["R2"]["faults"]] == [
+        ("accountDetails.activeLobbyist", '"maybe"'), ("accountDetails.registerEntryVersions[].version", '"x"'),
+        ("accountDetails.registerEntryVersions[].version", "[1]")]
+    assert (rows["R2"]["_page"], rows["R2"]["_pos"]) == ("p1", 2)
+
+
+def test_ledger_keeps_rejects_until_corrected_input_comes(spark):
+    """Three runs of the stream's batch: rejects are written once, replaced, and resolved."""
+    from civicflow.sources import ledger
+    from civicflow.streaming.ingest import apply_batch, current_tables, rejects
+    out = tempfile.mkdtemp(prefix="civicflow-ledger-") + "/store"
+    bad_date = _entry("R1", accountDetails={"registerEntryVersions": [{"version": 1, "legislation": "G", "validFromDate": "soon"}]})
+    bad_type = _entry("R2", accountDetails={"activeLobbyist": "maybe"})
+    first = _pages(spark, [("p1", json.dumps({**META, "results": [bad_date, bad_type, _entry("R3")]})), ("p2", "{cut")])
+    apply_batch(first, 0, out)
+    apply_batch(first, 0, out)                          # a replay adds nothing
+    got = sorted((r["page"], r["position"] or 0, r["entry"] or "", r["rule"], r["raw"])
+                 for r in ledger.open_rejects(rejects(spark, out)).collect())
+    assert [g for g in got if "NULL" not in g[3]] == [
+        ("p1", 0, "R1", "account.version.validFromDate", "soon"),
+        ("p1", 1, "R2", "type: accountDetails.activeLobbyist", '"maybe"'), ("p2", 0, "", "unreadable page", "{cut")]
+    assert {r["register_number"] for r in current_tables(spark, out)["register_entry"].collect()} == {"R3"}
+    still_bad = _entry("R2", accountDetails={"activeLobbyist": 5})
+    apply_batch(_pages(spark, [("p2", json.dumps({**META, "results": [_entry("R1"), still_bad]}))]), 1, out)
+    left = [tuple(r)[1:] for r in ledger.open_rejects(rejects(spark, out)).collect()]
+    assert left == [("p2", 1, "R2", "type: accountDetails.activeLobbyist", "5")]
+    assert rejects(spark, out).where("NOT resolved").count() >= 4       # nothing is ever removed
+    assert {r["register_number"] for r in current_tables(spark, out)["register_entry"].collect()} == {"R1", "R3"}
