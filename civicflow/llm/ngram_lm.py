@@ -52,8 +52,8 @@ from civicflow.session import shared_path
 FOLDS, HELD_OUT = 7, 2
 #: What absolute discounting takes from each count.
 DISCOUNT = 0.75
-CHUNK_BYTES = 8 << 20
-SHARD_TOKENS = 4_000_000
+CHUNK_BYTES = 4 << 20
+SHARD_TOKENS = 1_500_000
 #: Words, summed over the chunks, of a hash bucket, about; CHUNK_SHARE for each chunk at least, so
 #: that words which all chunks have do not outweigh the rest.
 BUCKET_WORDS = 1 << 20
@@ -63,7 +63,7 @@ CLASSES = 128
 #: Events of a shard that are scored by one task, in bytes.
 PART_BYTES = 64 << 20
 #: Pairs and triples that are gathered before they are merged.
-MERGE_AT = 1 << 20
+MERGE_AT = 1 << 19
 
 #: Hashes beyond 62 bits stand for the end token and for the start of a text.
 END, START = 1 << 62, (1 << 62) + 1
