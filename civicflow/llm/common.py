@@ -51,13 +51,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """Cut a batch into parts of at most SLICE_BYTES of text (or one row)."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):
+    """Cut a batch into parts of at most ``limit`` bytes of text (or one row)."""
     text = batch.column(batch.schema.get_field_index(column))
     size = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
     first, total = 0, 0
     for i, n in enumerate(size):
-        if total and total + n > SLICE_BYTES:
+        if total and total + n > limit:
             yield batch.slice(first, i - first)
             first, total = i, 0
         total += int(n)

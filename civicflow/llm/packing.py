@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import full_text, prepare, slices
-from civicflow.llm.tokenize import Encoder, with_end
+from civicflow.llm.tokenize import TOKEN_SLICE, Encoder, with_end
 
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
@@ -173,7 +173,7 @@ def _pack(tokenizer: str, limits: dict, batches: Iterator[pa.RecordBatch]):
     packer = Packer(**limits)
     number = TaskContext.get().partitionId() * TASK_SPAN
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=TOKEN_SLICE):
             docs = part.column(0).to_pylist()
             loss = part.column(2).to_pylist()
             ids, offsets = with_end(*encoder.encode(full_text(part)), END_ID)

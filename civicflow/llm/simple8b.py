@@ -16,7 +16,7 @@ container).  Columns: ``first_doc`` (smallest id of the part), ``part``,
     i64 doc_ids[n_docs] | u32 n_tokens[n_docs] | u32 block_words[n_blocks + 1] | u64 words[]
 
 Edge cases: a null or empty text has only the end id; a null ``doc_id`` sorts
-first and comes back null; repeated rows are kept, in order of text; an empty
+first and comes back null; repeated rows are kept, in order of their ids; an empty
 table gives no frame and no row; extra columns are ignored.
 """
 
@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import NULL_ID, full_text, prepare, slices
-from civicflow.llm.tokenize import Encoder, with_end
+from civicflow.llm.common import NULL_ID, full_text, prepare, slices, staged
+from civicflow.llm.tokenize import TOKEN_SLICE, Encoder, with_end
 from civicflow.session import shared_path
 
 BLOCK = 1024
@@ -42,6 +42,8 @@ END_ID = 1
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10),
          (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
+#: Ids of a frame, about.
+FRAME_IDS = 1 << 18
 #: Bytes of a Parquet row group: what a reader holds of the payload column at once.
 ROW_GROUP = 16 << 20
 MAGIC = b"S8B1"
@@ -160,34 +162,63 @@ def unpack_frame(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths, decode_blocks(words, offsets, n_ids, block)
 
 
-def _frames(tokenizer: str, end_id: int, batches: Iterator[pa.RecordBatch]):
+def _tokenised(tokenizer: str, end_id: int, batches: Iterator[pa.RecordBatch]):
+    """The ids of each document, in two bytes each where all of the slice fit."""
     encoder = Encoder.get(tokenizer, "word")
-    part, frame, start, first = TaskContext.get().partitionId(), 0, 0, None
     for batch in batches:
-        for piece in slices(batch):
-            doc = piece.column(0).to_numpy(zero_copy_only=False)
+        for piece in slices(batch, limit=TOKEN_SLICE):
             ids, offsets = with_end(*encoder.encode(full_text(piece)), end_id)
-            first = int(doc[0]) if first is None else first
-            payload = pack_frame(doc, np.diff(offsets), ids)
-            yield pa.RecordBatch.from_pydict({
-                "first_doc": pa.array([first], pa.int64()), "part": pa.array([part], pa.int32()),
-                "frame": pa.array([frame], pa.int32()), "start": pa.array([start], pa.int64()),
-                "n_ids": pa.array([len(ids)], pa.int64()),
-                "payload": pa.array([payload], pa.binary())})
-            frame, start = frame + 1, start + len(ids)
+            width = 2 if ids.max(initial=0) < 1 << 16 else 4
+            column = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), piece.num_rows,
+                [None, pa.py_buffer(offsets.astype(np.int64) * width), pa.py_buffer(ids.astype(f"<u{width}"))])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array(np.full(piece.num_rows, width, np.int32)), column.cast(pa.binary())],
+                ["doc_id", "width", "ids"])
+
+
+def _frames(batches: Iterator[pa.RecordBatch]):
+    """Frames of about FRAME_IDS ids (or one document) from documents in order."""
+    part, frame, start, first = TaskContext.get().partitionId(), 0, 0, None
+    docs, held, size = [], [], 0
+
+    def row():
+        ids = np.concatenate(held)
+        payload = pack_frame(np.array(docs, np.int64), np.array([len(x) for x in held], np.int64), ids)
+        return pa.RecordBatch.from_pydict({
+            "first_doc": pa.array([first], pa.int64()), "part": pa.array([part], pa.int32()),
+            "frame": pa.array([frame], pa.int32()), "start": pa.array([start], pa.int64()),
+            "n_ids": pa.array([len(ids)], pa.int64()), "payload": pa.array([payload], pa.binary())})
+
+    for batch in batches:
+        for doc, width, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            ids = np.frombuffer(data.as_buffer(), f"<u{width}").astype(np.uint32)
+            first = doc if first is None else first
+            if held and size + len(ids) > FRAME_IDS:
+                yield row()
+                frame, start = frame + 1, start + size
+                docs, held, size = [], [], 0
+            docs.append(doc)
+            held.append(ids)
+            size += len(ids)
+    if held:
+        yield row()
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> str:
     """Encode ``docs`` (doc_id, text) and write the frames to ``path`` in doc_id order.
 
-    The texts are range-partitioned by doc_id once; each task tokenises and
-    packs a contiguous range, so part files are in order and of like size."""
+    The texts are tokenised where they are scanned and staged as ids, a third of their
+    size; only these are range-partitioned by doc_id, once.  Each task packs a
+    contiguous range, so part files are in order and of like size."""
     prepare(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-         .mapInArrow(lambda it: _frames(tokenizer, end_id, it), FRAME_SCHEMA)
-         .write.option("parquet.block.size", ROW_GROUP).parquet(path))
+    coded = staged(rows.mapInArrow(lambda it: _tokenised(tokenizer, end_id, it),
+                                   "doc_id long, width int, ids binary"), "token_ids")
+    (coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+          .mapInArrow(_frames, FRAME_SCHEMA)
+          .write.option("parquet.block.size", ROW_GROUP).parquet(path))
     return path
 
 

@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 
 from civicflow.llm.common import buffer_of, ragged
 
+#: Bytes of text that are cut into pieces at a time: each distinct piece of it is looked up once.
+TOKEN_SLICE = 4 << 20
 #: Pieces a worker remembers (about 150 bytes each); further ones are encoded when met.
 CACHE_PIECES = 500_000
 #: Longer pieces are encoded without being remembered.
