@@ -48,7 +48,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "llm", name, unique=True)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def unstaged(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._staged_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import (ByteHash, NULL_ID, U64, full_text, mix, owners, prepare, ragged,
-                                  slices, staged, tokens)
+                                  slices, staged, tokens, unstaged)
 from civicflow.llm.elias_fano import Trie
 from civicflow.llm.runs import WORD_BYTES
 from civicflow.session import shared_path
@@ -53,7 +53,7 @@ FOLDS, HELD_OUT = 7, 2
 #: What absolute discounting takes from each count.
 DISCOUNT = 0.75
 CHUNK_BYTES = 4 << 20
-SHARD_TOKENS = 1_500_000
+SHARD_TOKENS = 3_000_000
 #: Words, summed over the chunks, of a hash bucket, about; CHUNK_SHARE for each chunk at least, so
 #: that words which all chunks have do not outweigh the rest.
 BUCKET_WORDS = 1 << 20
@@ -238,9 +238,20 @@ def _class_of(n: np.ndarray) -> np.ndarray:
     return (2 * np.log2(np.maximum(n, 1))).astype(np.int64)
 
 
-def _counted_chunks(buckets: int, batches: Iterator[pa.RecordBatch]):
+def _ordered(buckets: int, batches: Iterator[pa.RecordBatch]):
+    """Bodies of the chunks with, in place of the hashes, the places of the words in bucket order."""
+    for batch in batches:
+        for chunk, words, body in zip(*(c.to_pylist() for c in batch.columns)):
+            h = np.append(unpack_arrays(words)[0], START)
+            order = np.concatenate([at for _, at in _in_buckets(h, buckets)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([body], pa.binary()),
+                 pa.array([pack_arrays(order)], pa.binary())], ["chunk", "payload", "places"])
+
+
+def _counted_chunks(batches: Iterator[pa.RecordBatch]):
     """Chunks with the ids and counts of their words; a chunk comes before the answers of its buckets."""
-    chunk, texts, places, ids, n, new = None, None, {}, None, None, 0
+    chunk, texts, order, at, ids, n, new = None, None, None, 0, None, None, 0
 
     def row():
         return pa.RecordBatch.from_arrays(
@@ -248,17 +259,19 @@ def _counted_chunks(buckets: int, batches: Iterator[pa.RecordBatch]):
              pa.array([pack_arrays(*texts, ids, n)], pa.binary())], ["chunk", "n_new", "payload"])
 
     for batch in batches:
-        for key, bucket, more, payload, words in zip(*(c.to_pylist() for c in batch.columns)):
+        for key, bucket, more, payload, places in zip(*(c.to_pylist() for c in batch.columns)):
             if bucket is None:
                 if chunk is not None:
                     yield row()
-                h = np.append(unpack_arrays(words)[0], START)
+                (order,), at = unpack_arrays(places), 0
                 chunk, texts, new = key, unpack_arrays(payload), 0
-                ids, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-                places = dict(_in_buckets(h, buckets))
+                ids, n = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
             else:
-                ids[places[bucket]], n[places[bucket]] = unpack_arrays(payload)
-                new += more
+                # Buckets come in order, and so do the places of their words.
+                found = unpack_arrays(payload)
+                own = order[at:at + len(found[0])]
+                ids[own], n[own] = found
+                at, new = at + len(own), new + more
     if chunk is not None:
         yield row()
 
@@ -272,10 +285,11 @@ def _with_ids(chunks: DataFrame) -> DataFrame:
         lambda it: _ranked(buckets, it), "chunk long, bucket long, n_new long, payload binary")
     # Null buckets sort first: the chunk, then the answers.
     none = F.lit(None).cast("long")
-    rows = chunks.select("chunk", none.alias("bucket"), none.alias("n_new"), F.col("body").alias("payload"),
-                         "words").unionByName(answers.withColumn("words", F.lit(None).cast("binary")))
-    return staged(_streamed(rows, "chunk", "bucket").mapInArrow(
-        lambda it: _counted_chunks(buckets, it), COUNTED_SCHEMA), "lm_counted")
+    bodies = chunks.select("chunk", "words", "body").mapInArrow(
+        lambda it: _ordered(buckets, it), "chunk long, payload binary, places binary")
+    rows = bodies.select("chunk", none.alias("bucket"), none.alias("n_new"), "payload", "places").unionByName(
+        answers.withColumn("places", F.lit(None).cast("binary")))
+    return staged(_streamed(rows, "chunk", "bucket").mapInArrow(_counted_chunks, COUNTED_SCHEMA), "lm_counted")
 
 
 # -- pairs and triples of a chunk ------------------------------------------------
@@ -333,15 +347,19 @@ class Grams:
 
     def by_shard(self, shards: int, pair_keep: np.ndarray, triple_keep: np.ndarray):
         """For each shard: numbers of its pairs and of its triples, in order."""
-        shard = np.where(pair_keep, shard_of(self.a, self.b, shards), -1)
+        # Small numbers sort by radix.
+        kind = np.uint16 if shards < 1 << 16 else np.int64
+        shard = np.where(pair_keep, shard_of(self.a, self.b, shards), shards).astype(kind)
         pairs = np.argsort(shard, kind="stable")
-        own = np.where(triple_keep, shard[self.parent] if len(self.parent) else 0, -1)
+        own = np.where(triple_keep, shard[self.parent] if len(self.parent) else 0, shards).astype(kind)
         triples = np.argsort(own, kind="stable")
-        pair_shard, triple_shard = shard[pairs], own[triples]
-        for s in np.unique(pair_shard[pair_shard >= 0]).tolist():
-            p = pairs[slice(*np.searchsorted(pair_shard, [s, s + 1]))]
-            t = triples[slice(*np.searchsorted(triple_shard, [s, s + 1]))]
-            yield s, p, t
+        every = np.unique(shard)
+        every = every[every < shards]
+        pair_cuts = np.searchsorted(shard[pairs], np.append(every, shards).astype(kind))
+        triple_cuts = np.searchsorted(own[triples], np.append(every, shards).astype(kind))
+        for i, s in enumerate(every.tolist()):
+            yield (s, pairs[pair_cuts[i]:pair_cuts[i + 1]],
+                   triples[triple_cuts[i]:triple_cuts[i + 1]])
 
 
 def shard_of(a: np.ndarray, b: np.ndarray, shards: int) -> np.ndarray:
@@ -513,21 +531,41 @@ def train(chunks: DataFrame) -> tuple[Model, DataFrame]:
 
 def _answered(folder: str, batches: Iterator[pa.RecordBatch]):
     """Codes and tables of the values of each event's pairs and triples."""
-    shard, trie = None, None
+    shard, trie, held, size = None, None, [], 0
+
+    def rows():
+        # The events of several chunks are sought at once; their numbers are shifted, so they stay apart.
+        ids, a, b, parent, c = [], [], [], [], []
+        words = pairs = 0
+        for _, (gaps, own_a, own_b, children, own_c) in held:
+            ids.append(np.cumsum(gaps))
+            a.append(np.cumsum(own_a) + words)
+            b.append(own_b + words)
+            parent.append(np.repeat(np.arange(len(own_a)) + pairs, children))
+            c.append(own_c + words)
+            words, pairs = words + len(gaps), pairs + len(own_a)
+        found = trie.lookup(*(np.concatenate(x) for x in (ids, a, b, parent, c)))
+        tables = [np.ascontiguousarray(table).view("<u4") for _, table in trie.codes]
+        p = t = 0
+        for chunk, (_, own_a, _, _, own_c) in held:
+            own = (found[0][p:p + len(own_a)], found[1][p:p + len(own_a)], found[2][t:t + len(own_c)])
+            p, t = p + len(own_a), t + len(own_c)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([shard], pa.int64()),
+                 pa.array([pack_arrays(*own, *tables)], pa.binary())], ["chunk", "shard", "payload"])
+
     for batch in batches:
-        for i in range(batch.num_rows):
-            s = batch.column(0)[i].as_py()
+        for s, chunk, payload in zip(*(col.to_pylist() for col in batch.columns)):
+            if s != shard or size > MERGE_AT:
+                if held and trie is not None:
+                    yield from rows()
+                held, size = [], 0
             if s != shard:
                 shard, trie = s, _open(folder, s)
-            gaps, a, b, children, c = unpack_arrays(batch.column(2)[i].as_py())
-            parent = np.repeat(np.arange(len(a)), children)
-            if trie is None:
-                continue
-            found = trie.lookup(np.cumsum(gaps), np.cumsum(a), b, parent, c)
-            tables = [x for _, table in trie.codes for x in (table.view("<u4"),)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).slice(i, 1), pa.array([s], pa.int64()),
-                 pa.array([pack_arrays(*found, *tables)], pa.binary())], ["chunk", "shard", "payload"])
+            held.append((chunk, unpack_arrays(payload)))
+            size += len(held[-1][1][2]) + len(held[-1][1][4])
+    if held and trie is not None:
+        yield from rows()
 
 
 def _token_scores(g: Grams, weights, pair_p, rest, triple_p, n_tokens: int, n_words: int):
@@ -603,7 +641,10 @@ def score(model: Model, counted: DataFrame) -> DataFrame:
 
 def language_model_scores(docs: DataFrame, train_rows: Column) -> DataFrame:
     """Trains on the rows that ``train_rows`` marks and scores all of ``docs`` (doc_id, text)."""
-    model, counted = train(chunks_of(docs, train_rows))
+    chunks = chunks_of(docs, train_rows)
+    model, counted = train(chunks)
+    # The counted chunks hold all that scoring needs.
+    unstaged(chunks)
     return score(model, counted).select(
         F.nullif(F.col("doc_id"), F.lit(NULL_ID)).alias("doc_id"), (~F.col("train")).alias("held_out"),
         "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
