@@ -484,7 +484,8 @@ def src_rejects(t: Tables) -> DataFrame:
     """SRC-1/7: the ledger's rows of pages with planted faults, and the number of entries that were accepted."""
     docs = _from_entries(t, _FAULTY)
     whole = docs.groupBy("page").agg(F.concat(
-        F.lit('{"results":['), F.concat_ws(",", F.transform(
+        F.lit('{"source":"s","sourceUrl":"u","sourceDate":"2025-01-01T00:00:00Z","jsonDocumentationUrl":"d",'
+              '"results":['), F.concat_ws(",", F.transform(
             F.sort_array(F.collect_list(F.struct("id", "json"))), lambda x: x["json"])), F.lit("]}")).alias("value"))
     broken = F.regexp_replace("page", "page-", "").cast("int") % 6 == 5
     text = whole.select(F.col("page").alias("_page"), F.when(broken, F.substring("value", 1, 20)).otherwise(
