@@ -5,14 +5,15 @@ versioned slot-to-shard map assigns slots to shards (largest slot first, to
 the shard with fewest bytes).  Rebalancing edits that map: only the slots it
 moves change shard, records are never hashed anew.
 
-Records hash by their text, so equal texts share a slot and a shard.  A group
-of equal texts that weighs more than ``1 / HOT_SHARE`` of a shard would spoil
-the balance; its records hash by ``doc_id`` instead, and where one ``doc_id``
-(or null) alone weighs that much, by their place in the staged rows.  There are
-at most ``shards * HOT_SHARE`` of each, so their lists are broadcast.
+Records hash by their text, so equal texts share a slot and a shard; the assignment
+takes the heaviest slots first, which levels what lighter ones can.  Only a group of equal texts
+that weighs more than a whole shard cannot stay together: its records hash by
+``doc_id`` instead, and where one ``doc_id`` (or null) alone weighs that much, by
+their place in the staged rows.  There are fewer than ``shards`` of each, so their lists
+are broadcast.
 
-A slot with more than ``MANY`` times the rows of an average one (very many short
-or empty texts) is numbered in ``SUBSLOTS`` parts, not by one task.
+Every slot is numbered in ``SUBSLOTS`` parts (very many short or empty texts may share
+one); a row's part is written with it, so counts and numbers agree whatever is recomputed.
 
 The map is a Parquet table (version, slot, shard) with one row per slot and
 version, below the shared folder; a new version is a new file set.
@@ -33,9 +34,7 @@ from civicflow.llm.common import prepare, staged
 from civicflow.session import shared_path
 
 SLOTS = 8192
-HOT_SHARE = 8
-SUBSLOTS = 64
-MANY = 16
+SUBSLOTS = 16
 ROW_BYTES = 8
 MAP_SCHEMA = "version int, slot int, shard int"
 
@@ -102,23 +101,25 @@ def slotted(docs: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     data = F.encode(text, "UTF-8")
+    # The place is written with the row: it is read again for the part.
     rows = staged(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
-        F.crc32(data).alias("text_crc32"), F.xxhash64(text).alias("h")), "slot_rows")
+        F.crc32(data).alias("text_crc32"), F.xxhash64(text).alias("h"),
+        F.monotonically_increasing_id().alias("place")), "slot_rows")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t"))
     hot = (rows.groupBy("h").agg(F.sum("size").alias("b")).join(F.broadcast(total))
-           .where(F.col("b") * (shards * HOT_SHARE) > F.col("t"))
-           .select("h", F.lit(True).alias("hot")))
-    rows = rows.withColumn("place", F.monotonically_increasing_id()).join(F.broadcast(hot), "h", "left")
+           .where(F.col("b") * shards > F.col("t")).select("h", F.lit(True).alias("hot")))
+    rows = rows.join(F.broadcast(hot), "h", "left")
     repeated = (rows.where("hot").groupBy(F.col("h").alias("g"), F.col("doc_id").alias("d"))
                 .agg(F.sum("size").alias("b")).join(F.broadcast(total))
-                .where(F.col("b") * (shards * HOT_SHARE) > F.col("t"))
+                .where(F.col("b") * shards > F.col("t"))
                 .select("g", "d", F.lit(True).alias("repeated")))
     key = (F.when(F.col("repeated"), F.xxhash64("doc_id", "h", "place"))
            .when(F.col("hot"), F.xxhash64("doc_id", "h")).otherwise(F.col("h")))
     return (rows.join(F.broadcast(repeated), (F.col("h") == F.col("g")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
             .select("doc_id", "size", "text_crc32",
+                    F.pmod(F.xxhash64("place"), F.lit(SUBSLOTS)).cast("int").alias("part"),
                     F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot")))
 
 
@@ -133,12 +134,6 @@ def place(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     ``rows`` are staged.  The position is the offset of the slot's part in its
     shard, a prefix sum over slots and parts, plus the row's number within the
     part: no window over rows spans a shard or a whole slot."""
-    sizes = rows.groupBy("virtual_slot").agg(F.count("*").alias("n"))
-    many = (sizes.join(F.broadcast(sizes.agg(F.avg("n").alias("mean")))).where(F.col("n") > MANY * F.col("mean"))
-            .select("virtual_slot", F.lit(True).alias("many")))
-    part = F.pmod(F.xxhash64("id"), F.lit(SUBSLOTS))
-    rows = (rows.withColumn("id", F.monotonically_increasing_id()).join(F.broadcast(many), "virtual_slot", "left")
-            .withColumn("part", F.when(F.col("many"), part).otherwise(0).cast("int")).drop("id", "many"))
     counts = rows.groupBy("virtual_slot", "part").agg(F.count("*").alias("n"))
     per_shard = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(
         Window.unboundedPreceding, -1)

@@ -15,10 +15,15 @@ def test_queries_are_registered_and_return_their_columns(spark):
 
     found = __spark_entry__.queries()
     assert "pipeline" in found and set(queries.QUERIES) <= set(found)
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
+    # The operators have no SQL form; the README lists them, and all others have SQL.
+    assert set(found) - set(__spark_entry__.oracle_sql()) == set(queries.QUERIES) - set(queries.ORACLES) | {"pipeline"}
     want = {"op1": "doc_id start n_tokens ids_crc32", "op4": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
             "op6": "doc_id size text_crc32 law shard slot grown_shard", "op7": "page_id url text n_chars",
-            "op9": "doc_id held_out score predicted", "op10": "doc_id held_out score predicted"}
+            "op9": "doc_id held_out score predicted", "op10": "doc_id held_out score predicted",
+            "op11": "doc_id held_out n_tokens n_known train_tokens base_score score",
+            "op12": "vec_id component n deviation whitened explained identity_error",
+            "op13": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256"}
     for name, f in queries.QUERIES.items():
         if (short := name.split("_")[0]) in want:
             assert set(want[short].split()) <= set(f(spark, SF).columns)

@@ -74,3 +74,39 @@ def test_heavy_group_without_ids_is_level_and_numbered(spark, tmp_path):
     grown = slots.reshard(staged, 5, str(tmp_path / "map"), 1).collect()
     assert len(grown) == len(rows) and {r.shard for r in grown} == set(range(5))
     assert {r.shard for r in slots.load_map(spark, 2, str(tmp_path / "map")).collect()} == set(range(5))
+
+
+def test_query_against_the_rows_themselves(spark):
+    from civicflow.llm.queries import SHARDS, op6_slot_shards
+    sf = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = op6_slot_shards(spark, sf).collect()
+    want = Counter((d, len(t.encode()) + 8, zlib.crc32(t.encode())) for d, t in docs)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
+    assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)}
+    load, place, group, weight = Counter(), defaultdict(list), defaultdict(set), Counter()
+    for r in got:
+        load[r.shard] += r.size
+        place[r.shard].append(r.slot)
+        group[r.text_crc32].add(r.shard)
+        weight[r.text_crc32] += r.size
+    assert set(load) <= set(range(SHARDS))
+    assert all(sorted(v) == list(range(len(v))) for v in place.values())
+    mean = sum(load.values()) / SHARDS
+    # Groups stay together unless one is heavier than a shard.
+    assert all(len(s) == 1 or weight[crc] > mean for crc, s in group.items())
+    # Greedy by weight: no shard is further above the mean than one slot of a single text can lift it.
+    assert max(load.values()) <= max(1.02 * mean, max(weight.values()) + 0.1 * mean)
+
+
+def test_group_of_half_a_shard_stays_whole(spark):
+    rows = [(i, f"text {i} " * 12, "x") for i in range(2400)]
+    heavy = "one text of many rows " * 20
+    n = sum(len(t) + 8 for _, t, _ in rows) // 24 // 2 // (len(heavy) + 8)
+    rows += [(5000 + i, heavy, "x") for i in range(n)]
+    got = slots.shard(_frame(spark, rows), 24).collect()
+    assert len({r.shard for r in got if r.doc_id >= 5000}) == 1
+    load = Counter()
+    for r in got:
+        load[r.shard] += r.size
+    assert max(load.values()) <= 1.02 * min(load.values())
