@@ -6,8 +6,9 @@ Element i is the i-th one of the vector; the first element not below x (the *suc
 lies between two of its zeros.  All queries take arrays of arguments.
 
 Everything is read in place from one buffer of little-endian words, whether
-the bytes of an Arrow value or a memory-mapped file (``Trie.open``); only the counts of
-ones per 64-bit word, a 64th of the vector, are made when a level is opened.
+the bytes of an Arrow value or a memory-mapped file (``Trie.open``).  Opening a
+sequence makes its select directories, 32-bit numbers for each one and each zero of
+the vector, for queries in constant time; a shard of the model is open in one task at a time.
 """
 
 from __future__ import annotations
@@ -20,35 +21,6 @@ U64 = np.uint64
 _SIXTY_FOUR = U64(64)
 
 
-_ONES8, _TOPS8 = U64(0x0101010101010101), U64(0x8080808080808080)
-
-
-def _byte_table() -> np.ndarray:
-    """Position of the k-th one of each byte, at [k * 256 + byte]."""
-    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
-    rank = np.cumsum(bits, axis=1) - bits
-    table = np.zeros((8, 256), np.uint8)
-    byte, at = np.nonzero(bits)
-    table[rank[byte, at], byte] = at
-    return table.ravel()
-
-
-_IN_BYTE = _byte_table()
-
-
-def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Position of the k-th one (from 0) of each word: by byte sums in one multiplication, then by table."""
-    k = k.astype(U64)
-    sums = word - ((word >> U64(1)) & U64(0x5555555555555555))
-    sums = (sums & U64(0x3333333333333333)) + ((sums >> U64(2)) & U64(0x3333333333333333))
-    sums = ((sums + (sums >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _ONES8
-    # Bytes whose sum, with all before, is k at most lie before the one sought.
-    at = np.bitwise_count(((k * _ONES8) | _TOPS8) - sums & _TOPS8).astype(U64) << U64(3)
-    k -= ((sums << U64(8)) >> at) & U64(255)
-    byte = (word >> at) & U64(255)
-    return at.astype(np.int64) + _IN_BYTE[((k << U64(8)) + byte).astype(np.int64)]
-
-
 def _pack_low(values: np.ndarray, bits: int) -> np.ndarray:
     n = len(values)
     out = np.zeros((n * bits + 63) // 64 + 1, U64)
@@ -75,9 +47,11 @@ class EliasFano:
         self.low = words[at:at + n_low]
         self.high = words[at + n_low:at + n_low + n_high]
         self.size = 4 + n_low + n_high
-        ones = np.cumsum(np.bitwise_count(self.high), dtype=np.int64)
-        self.ones = ones
-        self.zeros = (np.arange(1, n_high + 1) << 6) - ones
+        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        kind = np.int32 if n_high < 1 << 25 else np.int64
+        # High bits of each element, and the first element of each value of the high bits.
+        self.top = (ones - np.arange(n)).astype(kind)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(self.top))]).astype(kind)
         self.mask = U64((1 << bits) - 1)
 
     @staticmethod
@@ -107,16 +81,7 @@ class EliasFano:
     def access(self, i: np.ndarray) -> np.ndarray:
         """Elements at i (all within the sequence)."""
         i = np.asarray(i, np.int64)
-        word = np.searchsorted(self.ones, i, side="right")
-        before = np.where(word > 0, self.ones[word - 1], 0)
-        place = (word << 6) + _select_in_word(self.high[word], i - before)
-        return ((place - i) << self.bits) | self._low(i).astype(np.int64)
-
-    def _ones_before_zero(self, k: np.ndarray) -> np.ndarray:
-        """Elements before the k-th zero: those with high bits of k at most."""
-        word = np.searchsorted(self.zeros, k, side="right")
-        before = np.where(word > 0, self.zeros[word - 1], 0)
-        return (word << 6) + _select_in_word(~self.high[word], k - before) - k
+        return (self.top[i].astype(np.int64) << self.bits) | self._low(i).astype(np.int64)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first element that is not below x (n if there is none)."""
@@ -125,10 +90,9 @@ class EliasFano:
         if not self.n:
             return out
         h = x >> self.bits
-        there = np.flatnonzero(h < self.zeros[-1])
+        there = np.flatnonzero(h < len(self.starts) - 1)
         x, h = x[there], h[there]
-        high = self._ones_before_zero(h)
-        low = np.where(h > 0, self._ones_before_zero(np.maximum(h - 1, 0)), 0)
+        low, high = self.starts[h].astype(np.int64), self.starts[h + 1].astype(np.int64)
         want = x.astype(U64) & self.mask
         while True:
             open_ = np.flatnonzero(low < high)
