@@ -24,7 +24,7 @@ from civicflow.sources import buckets as B
 from civicflow.sources import ledger
 from civicflow.sources import pages as P
 from civicflow.sources.buckets import KEEP, versions
-from civicflow.sources.store import ingest_pages, read_tables, stage, write_tables
+from civicflow.sources.store import LABEL_TABLES, ingest_pages, stage
 
 __all__ = ["KEEP", "apply_batch", "current_tables", "rejects", "stream_ingest", "versions"]
 
@@ -48,10 +48,8 @@ def apply_batch(pages: DataFrame, epoch_id: int, out: str, stream: str = "") ->
         return
     pages = stage(pages, "batch")
     tables, _, rejected = ingest_pages(pages)
-    # The ingest plans run once; the store reads their rows from files.
-    work = shared_path(spark, "batch-tables", unique=True)
-    write_tables(tables, work)
-    incoming = read_tables(spark, work, list(tables))
+    # The store reads each table once, but these more often.
+    incoming = tables | {name: stage(tables[name], name) for name in (*LABEL_TABLES, "register_entry")}
     number = done[-1]["number"] + 1 if done else 0
     ledger.append(f"{out.rstrip('/')}/_rejects", number, stage(rejected, "ledger"), incoming["register_entry"],
                   pages.select("_page").distinct(), rejects(spark, out))

@@ -243,7 +243,7 @@ def test_ledger_keeps_rejects_until_corrected_input_comes(spark):
     from civicflow.sources import ledger
     from civicflow.streaming.ingest import apply_batch, current_tables, rejects
     out = tempfile.mkdtemp(prefix="civicflow-ledger-") + "/store"
-    bad_date = _entry("R1", accountDetails={"registerEntryVersions": [{"version": 1, "legislation": "G", "validFromDate": "soon"}]})
+    bad_date = _entry("R1", accountDetails={"registerEntryVersions": [{"version": 1, "legislation": "GL2022", "validFromDate": "soon"}]})
     bad_type = _entry("R2", accountDetails={"activeLobbyist": "maybe"})
     first = _pages(spark, [("p1", json.dumps({**META, "results": [bad_date, bad_type, _entry("R3")]})), ("p2", "{cut")])
     apply_batch(first, 0, out)
