@@ -22,11 +22,11 @@ from civicflow.plans.common import Tables
 from civicflow.plans.registry import query
 from civicflow.sources import pages as P
 from civicflow.sources.chain import page_chain
+from civicflow.sources.deltas import maintained_views, refresh_changed
 from civicflow.sources.nest import nest_documents, pages_text
 from civicflow.session import shared_path
 from civicflow.operators.flatten import flatten_entries
-from civicflow.sources.store import (entry_rejects, ingest_to, placed_rejects, refresh_all, stage,
-                                     upsert_entries)
+from civicflow.sources.store import (entry_rejects, ingest_to, placed_rejects, stage, upsert_entries)
 
 S = "ingest"
 SOURCE = "register-fixture"
@@ -388,14 +388,41 @@ def src_enums(t: Tables) -> DataFrame:
 
 
 @query("mv_refresh", section=S, oracle="""
-SELECT 'mv_financial_tops' AS view, COUNT(*) AS n FROM mv_financial_tops
-UNION ALL SELECT 'mv_revolving_door_network', COUNT(*) FROM mv_revolving_door_network""")
+SELECT 'mv_financial_tops' AS view, field_of_interest AS name, lobbyist_count AS n,
+       CAST(total_spend_max AS VARCHAR) AS total, avg_spend AS average, CAST(NULL AS VARCHAR) AS detail
+FROM mv_financial_tops
+UNION ALL
+SELECT 'mv_revolving_door_network', register_number, COUNT(*), NULL, NULL,
+       concat_ws('|', organization_name, last_name, first_name, role, end_year_month, gov_function_type)
+FROM mv_revolving_door_network GROUP BY ALL""")
 def mv_refresh(t: Tables) -> DataFrame:
-    """SRC-11: rows of both views after they were written and read back."""
-    views = refresh_all(t)
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("view"), "n")
-             for name, df in views.items()]
-    return parts[0].unionByName(parts[1])
+    """SRC-11: both views after two incremental refreshes.  The first run sees every third entry without
+    expenses and people; a second run brings these entries alone, as they are."""
+    spark = t["register_entry"].sparkSession
+    out = shared_path(spark, "mv-deltas", unique=True)
+    late = t["register_entry"].where(F.col("id") % 3 == 0).select(F.col("id").alias("entry_id"))
+
+    def early(name: str) -> DataFrame:
+        return t[name].join(late, "entry_id", "left_anti")
+
+    refresh_changed(spark, out, t.with_tables(financial_expenses=early("financial_expenses"),
+                                              lobbyist_identity=early("lobbyist_identity")))
+    only = {name: t[name].join(late, "entry_id", "left_semi")
+            for name in ("activities_interests", "financial_expenses", "lobbyist_identity")}
+    refresh_changed(spark, out, t.with_tables(
+        **only, register_entry=t["register_entry"].where(F.col("id") % 3 == 0)))
+    views = maintained_views(spark, out)
+    tops = views["mv_financial_tops"].select(
+        F.lit("mv_financial_tops").alias("view"), F.col("field_of_interest").alias("name"),
+        F.col("lobbyist_count").alias("n"), F.col("total_spend_max").cast("string").alias("total"),
+        F.col("avg_spend").alias("average"), F.lit(None).cast("string").alias("detail"))
+    people = views["mv_revolving_door_network"].groupBy(
+        F.col("register_number").alias("name"), F.concat_ws(
+            "|", "organization_name", "last_name", "first_name", "role", "end_year_month", "gov_function_type")
+        .alias("detail")).agg(F.count(F.lit(1)).alias("n"))
+    return tops.unionByName(people.select(
+        F.lit("mv_revolving_door_network").alias("view"), "name", "n", F.lit(None).cast("string").alias("total"),
+        F.lit(None).cast("double").alias("average"), "detail"))
 
 
 @query("src_upsert", section=S, oracle="""
