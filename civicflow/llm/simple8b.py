@@ -28,11 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import NULL_ID, full_text, prepare, slices, staged
+from civicflow.llm.common import NULL_ID, full_text, prepare, slices
 from civicflow.llm.tokenize import TOKEN_SLICE, Encoder, with_end
 from civicflow.session import shared_path
 
@@ -42,6 +41,7 @@ END_ID = 1
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10),
          (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
+_LIMITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 #: Ids of a frame, about.
 FRAME_IDS = 1 << 18
 #: Bytes of a Parquet row group: what a reader holds of the payload column at once.
@@ -61,6 +61,8 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     is known for all places at once; only the walk from word to word is a loop."""
     values = np.asarray(ids, np.uint64)
     n = len(values)
+    # Bits of each id, so that a selector's test is on bytes.
+    length = np.searchsorted(_LIMITS, values, side="right").astype(np.uint8)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32)
     end = np.minimum((np.arange(n, dtype=np.int64) // block + 1) * block, n)
@@ -71,7 +73,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     for s in range(len(PACKS) - 1, -1, -1):
         count, bits = PACKS[s]
         wide = np.zeros(n + 1, np.int32)
-        np.cumsum(values >> np.uint64(bits) > 0, dtype=np.int32, out=wide[1:])
+        np.cumsum(length > bits, dtype=np.int32, out=wide[1:])
         last = np.minimum(open_ + count, end[open_])
         fits = wide[last] == wide[open_]
         open_, last = open_[fits], last[fits]
@@ -162,24 +164,36 @@ def unpack_frame(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths, decode_blocks(words, offsets, n_ids, block)
 
 
-def _tokenised(tokenizer: str, end_id: int, batches: Iterator[pa.RecordBatch]):
-    """The ids of each document, in two bytes each where all of the slice fit."""
+def _bins(doc: np.ndarray, ids: np.ndarray, offsets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Range of each document: the first bound not below its id.  An id that fills several ranges
+    (equal bounds) is dealt out over them by a checksum of its ids."""
+    first = np.searchsorted(bounds, doc)
+    many = np.searchsorted(bounds, doc, side="right") - first
+    for i in np.flatnonzero(many > 1).tolist():
+        first[i] += zlib.crc32(ids[offsets[i]:offsets[i + 1]].astype("<u4").tobytes()) % int(many[i])
+    return first
+
+
+def _tokenised(tokenizer: str, end_id: int, bounds: np.ndarray, batches: Iterator[pa.RecordBatch]):
+    """The ids of each document, in two bytes each where all of the slice fit, with its range."""
     encoder = Encoder.get(tokenizer, "word")
     for batch in batches:
         for piece in slices(batch, limit=TOKEN_SLICE):
+            doc = piece.column(0).to_numpy(zero_copy_only=False)
             ids, offsets = with_end(*encoder.encode(full_text(piece)), end_id)
             width = 2 if ids.max(initial=0) < 1 << 16 else 4
             column = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), piece.num_rows,
                 [None, pa.py_buffer(offsets.astype(np.int64) * width), pa.py_buffer(ids.astype(f"<u{width}"))])
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(np.full(piece.num_rows, width, np.int32)), column.cast(pa.binary())],
-                ["doc_id", "width", "ids"])
+                [pa.array(_bins(doc, ids, offsets, bounds).astype(np.int32)), piece.column(0),
+                 pa.array(np.full(piece.num_rows, width, np.int32)), column.cast(pa.binary())],
+                ["part", "doc_id", "width", "ids"])
 
 
 def _frames(batches: Iterator[pa.RecordBatch]):
-    """Frames of about FRAME_IDS ids (or one document) from documents in order."""
-    part, frame, start, first = TaskContext.get().partitionId(), 0, 0, None
+    """Frames of about FRAME_IDS ids (or one document) from documents in order; a range is a part."""
+    part, frame, start, first = None, 0, 0, None
     docs, held, size = [], [], 0
 
     def row():
@@ -191,13 +205,14 @@ def _frames(batches: Iterator[pa.RecordBatch]):
             "n_ids": pa.array([len(ids)], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
     for batch in batches:
-        for doc, width, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            ids = np.frombuffer(data.as_buffer(), f"<u{width}").astype(np.uint32)
-            first = doc if first is None else first
-            if held and size + len(ids) > FRAME_IDS:
+        for p, doc, width, data in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            ids = np.frombuffer(data.as_buffer(), f"<u{width}")
+            if held and (p != part or size + len(ids) > FRAME_IDS):
                 yield row()
                 frame, start = frame + 1, start + size
                 docs, held, size = [], [], 0
+            if p != part:
+                part, frame, start, first = p, 0, 0, doc
             docs.append(doc)
             held.append(ids)
             size += len(ids)
@@ -208,15 +223,19 @@ def _frames(batches: Iterator[pa.RecordBatch]):
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> str:
     """Encode ``docs`` (doc_id, text) and write the frames to ``path`` in doc_id order.
 
-    The texts are tokenised where they are scanned and staged as ids, a third of their
-    size; only these are range-partitioned by doc_id, once.  Each task packs a
-    contiguous range, so part files are in order and of like size."""
-    prepare(docs.sparkSession)
+    Approximate quantiles of the ids bound the ranges (one scan of the ids alone; as many as
+    there are shuffle partitions).  The texts are tokenised where they are scanned,
+    and only ids are shuffled, once, to their range and packed there in order."""
+    spark = docs.sparkSession
+    prepare(spark)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    coded = staged(rows.mapInArrow(lambda it: _tokenised(tokenizer, end_id, it),
-                                   "doc_id long, width int, ids binary"), "token_ids")
-    (coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).first()[0] if n > 1 else None
+    bounds = np.array(found or [], np.int64)
+    coded = rows.mapInArrow(lambda it: _tokenised(tokenizer, end_id, bounds, it),
+                            "part int, doc_id long, width int, ids binary")
+    (coded.repartition("part").sortWithinPartitions("part", "doc_id", "ids")
           .mapInArrow(_frames, FRAME_SCHEMA)
           .write.option("parquet.block.size", ROW_GROUP).parquet(path))
     return path
