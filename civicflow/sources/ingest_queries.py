@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from civicflow.operators.flatten import ENTRY
 from civicflow.plans.common import Tables
 from civicflow.plans.registry import query
+from civicflow.sources import buckets
 from civicflow.sources import pages as P
 from civicflow.sources.chain import page_chain
 from civicflow.sources.deltas import maintained_views, refresh_changed
@@ -528,3 +529,24 @@ def src_rejects(t: Tables) -> DataFrame:
     return rows.withColumn("raw", F.when(F.col("entry").isNotNull(), F.col("raw"))).unionByName(accepted.select(
         none.alias("page"), F.lit(None).cast("int").alias("position"), none.alias("entry"),
         F.lit("accepted entries").alias("rule"), "raw"))
+
+
+@query("src_replace", section=S, oracle="""
+SELECT e.register_number, CASE WHEN e.id % 4 = 0 THEN 'again ' || i.name ELSE i.name END AS name, i.amount_to_eur
+FROM donator_item i JOIN donators d ON d.id = i.parent_id JOIN register_entry e ON e.id = d.entry_id
+WHERE e.id % 8 <> 0""")
+def src_replace(t: Tables) -> DataFrame:
+    """SRC-6: a quarter of the entries comes again to the bucketed store, half of these without donors."""
+    spark = t["register_entry"].sparkSession
+    entry = t["register_entry"].select("id", "register_number", F.col("register_number").alias(ENTRY))
+    donors = (t["donator_item"].join(t["donators"].select(F.col("id").alias("parent_id"), "entry_id"), "parent_id")
+              .join(entry.select(F.col("id").alias("entry_id"), ENTRY), "entry_id")
+              .select("entry_id", "name", "amount_to_eur", ENTRY))
+    out = shared_path(spark, "replace", unique=True)
+    buckets.apply(spark, out, {"register_entry": entry, "donator_item": donors})
+    buckets.apply(spark, out, {
+        "register_entry": entry.where("id % 4 = 0"),
+        "donator_item": donors.where("entry_id % 4 = 0 AND entry_id % 8 <> 0")
+        .withColumn("name", F.concat(F.lit("again "), F.col("name")))}, epoch=1)
+    return buckets.read_store(spark, out)["donator_item"].select(
+        F.col(ENTRY).alias("register_number"), "name", "amount_to_eur")
