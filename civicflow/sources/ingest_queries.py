@@ -489,7 +489,7 @@ SELECT id, register_number, 'page-' || CAST(CAST(floor(id / 10) AS INT) AS VARCH
          WHEN 1 THEN ',"financialExpenses":{"financialExpensesEuro":{"to":"abc"}}'
          WHEN 2 THEN ',"financialExpenses":{"financialExpensesEuro":{"to":"1200"}}'
          WHEN 3 THEN ',"financialExpenses":{"financialExpensesEuro":{"to":1200.0}}'
-         WHEN 4 THEN ',"registerEntryDetails":{"version":1,"legislation":"L","validFromDate":"not a day"}'
+         WHEN 4 THEN ',"financialExpenses":{"relatedFiscalYearStart":"not a day"}'
          WHEN 5 THEN ',"codeOfConduct":{"ownCodeOfConduct":true,"codeOfConductPdfUrl":{"a":1}}'
          WHEN 6 THEN ',"codeOfConduct":{"ownCodeOfConduct":"maybe"}'
          WHEN 7 THEN ',"financialExpenses":{"fiscalYearStart":"2021"}'
@@ -501,7 +501,7 @@ FROM register_entry"""
 WITH docs AS ({_FAULTY}), cut AS (SELECT page, string_agg(json, ',' ORDER BY id) AS body FROM docs GROUP BY page),
 broken AS (SELECT page FROM cut WHERE CAST(replace(page, 'page-', '') AS INT) % 6 = 5),
 found AS (SELECT page, position, register_number AS entry, CASE id % 8
-            WHEN 1 THEN 'type: financialExpenses.financialExpensesEuro.to' WHEN 4 THEN 'details.validFromDate'
+            WHEN 1 THEN 'type: financialExpenses.financialExpensesEuro.to' WHEN 4 THEN 'expenses.relatedFiscalYearStart'
             WHEN 6 THEN 'type: codeOfConduct.ownCodeOfConduct' WHEN 7 THEN 'expenses.fiscalYearStart' END AS rule,
           CASE id % 8 WHEN 1 THEN '"abc"' WHEN 4 THEN 'not a day' WHEN 6 THEN '"maybe"' WHEN 7 THEN '2021' END AS raw
           FROM docs WHERE page NOT IN (SELECT page FROM broken))
