@@ -5,7 +5,8 @@
    the sum of the index vectors of its neighbours (``WINDOW`` tokens to each
    side) over *all* texts.  The table of sums has a fixed size.
 2. A document is the mean and the deviation of its tokens' vectors.
-3. A two-layer network is fitted with numpy on a bounded sample of labelled rows;
+3. A two-layer network is fitted with numpy on a bounded sample of labelled rows,
+   pooled where they lie, so that no text reaches the driver;
    a temperature fitted on a fifth of them, which the network does not see,
    calibrates its probabilities.
 
@@ -26,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.common import (ByteHash, TOKENS, U64, accumulate, full_text, mix, owners,
-                                  prepare, slices, text_slices, tokens)
+                                  prepare, slices, tokens)
 from civicflow.llm.decontaminate import filtered
-from civicflow.llm.toxicity import labelled_sample
+from civicflow.llm.toxicity import labelled_rows
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -162,12 +163,10 @@ def _temperature(logit: np.ndarray, y: np.ndarray) -> float:
     return float(min(np.geomspace(0.25, 8, 60), key=loss))
 
 
-def fit(rows: list[tuple[int, str, int]], vectors: np.ndarray) -> Network:
-    y = np.array([r[2] for r in rows], float)
-    blank = Network(vectors, np.zeros(1), np.ones(1), None)
-    if not len(rows) or y.min() == y.max():
-        return blank
-    x = np.concatenate([pooled(part, vectors) for part in text_slices([t for _, t, _ in rows])])
+def fit(x: np.ndarray, y: np.ndarray, vectors: np.ndarray) -> Network:
+    """The network of pooled texts ``x`` and their labels ``y``."""
+    if not len(y) or y.min() == y.max():
+        return Network(vectors, np.zeros(1), np.ones(1), None)
     held = np.arange(len(y)) % 5 == 4
     if y[~held].min() == y[~held].max():
         held[:] = False
@@ -177,13 +176,37 @@ def fit(rows: list[tuple[int, str, int]], vectors: np.ndarray) -> Network:
     return net
 
 
+def pooled_sample(rows: DataFrame, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pooled vectors and labels of at most ``most`` of ``rows`` (doc_id, text, label), least hash first.
+
+    Texts are pooled in the tasks; 2 * DIMENSIONS + 1 numbers a row reach the driver."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(vectors)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for part in slices(batch):
+                x = pooled(full_text(part), shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1)))],
+                    ["doc_id", "label", "x"])
+    found = rows.mapInArrow(run, "doc_id long, label int, x array<double>").orderBy(
+        F.xxhash64("doc_id"), "doc_id", "x").limit(most).select("label", "x").toArrow()
+    shared.destroy()
+    x = found["x"].combine_chunks()
+    x = x.flatten() if isinstance(x, pa.Array) else pa.concat_arrays([c.flatten() for c in x.chunks])
+    return (x.to_numpy(zero_copy_only=False).reshape(found.num_rows, 2 * DIMENSIONS + 1),
+            found["label"].to_numpy().astype(float))
+
+
 def classifier(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     """A broadcast network: vectors from all of ``docs``, layers from the labelled sample."""
     spark = prepare(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string").alias("text"))
     vectors = word_vectors(accumulate(rows, count_contexts, BUCKETS * DIMENSIONS))
-    return spark.sparkContext.broadcast(
-        fit(labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, sample_rows), vectors))
+    sample = labelled_rows(docs, labels, "quality", FOLDS, HELD_OUT, sample_rows)
+    return spark.sparkContext.broadcast(fit(*pooled_sample(sample, vectors, sample_rows), vectors))
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

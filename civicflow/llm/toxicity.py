@@ -54,12 +54,12 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int,
-                    rows: int) -> list[tuple[int, str, int]]:
-    """At most ``rows`` labelled documents (doc_id, text, label), none of them held out.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int,
+                  rows: int) -> DataFrame:
+    """doc_id, text, label of the rows of at most ``rows`` labelled documents, none of them held out.
 
     The ids with least hash are chosen from the labels; that bounded list is
-    broadcast to fetch the texts."""
+    broadcast to fetch the texts.  A repeated doc_id brings all its rows."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                             F.col(label).cast("int").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
@@ -68,8 +68,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = text.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return [tuple(r) for r in found.select("doc_id", "text", "label").limit(rows).collect()]
+    return text.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int,
+                    rows: int) -> list[tuple[int, str, int]]:
+    """At most ``rows`` of the ``labelled_rows`` (doc_id, text, label), least hash of doc_id first."""
+    found = labelled_rows(docs, labels, label, folds, fold, rows)
+    return [tuple(r) for r in found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()]
 
 
 def token_features(text: pa.Array):

@@ -120,6 +120,38 @@ def test_context_sums_match_brute_force():
     assert (total.reshape(want.shape) == want).all()
 
 
+def test_quality_scores_match_brute_force(spark):
+    """Pooling and network, number by number; the sample pooled in tasks gives the same fit."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(quality.BUCKETS, quality.DIMENSIONS)).astype(np.float32)
+    texts = [None, "", "one", "a b c, d! a", "déjà vu 東京 x", "w " * 40_000]
+    column = pa.array([t or "" for t in texts], pa.large_string())
+    bucket, offsets = quality.token_buckets(column)
+    want = []
+    for a, b in zip(offsets, offsets[1:]):
+        v = [vectors[k].astype(float) for k in bucket[a:b]]
+        mean = [sum(c) / len(v) for c in zip(*v)] if v else [0.0] * quality.DIMENSIONS
+        off = [max(sum(x * x for x in c) / len(v) - m * m, 0) ** 0.5 for c, m in zip(zip(*v), mean)] \
+            if v else [0.0] * quality.DIMENSIONS
+        want.append(mean + off + [np.log1p(b - a)])
+    got = quality.pooled(column, vectors)
+    assert np.allclose(got, want, atol=1e-3)     # squares are taken in 32 bits
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    rows = quality.labelled_rows(docs, labels, "quality", 1_000_003, 7, 10)
+    x, y = quality.pooled_sample(rows, vectors, 10)
+    assert sorted(map(tuple, np.round(x, 6))) == sorted(map(tuple, np.round(got, 6)))
+    assert sorted(y) == [0, 0, 0, 1, 1, 1]
+    net = quality.fit(x, y, vectors)
+    w1, b1, w2, b2 = net.layers
+    for score, row in zip(net.scores(column), got):
+        h = np.tanh(((row - net.center) / net.scale) @ w1 + b1)
+        z = ((h * w2).sum() + b2[0]) / net.temperature
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-9
+    assert quality.pooled_sample(rows.limit(0), vectors, 10)[0].shape == (0, 2 * quality.DIMENSIONS + 1)
+
+
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><script>var a='</p>';</script></head><body>"
         "<nav><a href='/'>home</a></nav><header>Site</header>{notice}<div class=\"ad\">buy</div>"
         "<article><h1>Head &amp; line</h1><p>First <b>bold</b>\n text.<br>More<p>Second &lt;3 {i}"
