@@ -424,6 +424,7 @@ def classes(docs: DataFrame) -> DataFrame:
     labelled = sampled.select("doc_id", "node").join(roots, "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root"))
     labelled = staged(labelled, "labelled")
+    idf.destroy()
     heads = labelled.groupBy("root").agg(
         F.min(F.struct(F.expr(f"CASE WHEN doc_id = {NULL_ID} THEN 1 ELSE 0 END").alias("void"),
                        F.col("doc_id").alias("d"), F.col("node").alias("k"))).alias("head"),
