@@ -8,6 +8,7 @@ difference of two prefix sums, so no Python string is made per word.
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, most: int):
+    """Arrow batches of the jobs run inside hold at most about ``most`` bytes, however long the texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 

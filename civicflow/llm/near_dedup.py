@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import (ByteHash, NULL_ID, U64, accumulate, full_text, mix, owners,
+from civicflow.llm.common import (ByteHash, NULL_ID, U64, accumulate, arrow_bytes, full_text, mix, owners,
                                   prepare, shingles, slices, staged, tokens)
 
 SHINGLE = 5
@@ -63,6 +63,8 @@ CROWD = 64
 SLACK = 1e-5
 #: Features that are sampled at a time, so that their arrays stay in the cache.
 PORTION = 1 << 14
+#: Bytes of an Arrow batch; rows that carry two long texts would else make batches of 64 MB.
+BATCH_BYTES = 4 << 20
 #: Bits of a feature's hash.
 _FEATURE = 44
 
@@ -396,8 +398,12 @@ def classes(docs: DataFrame) -> DataFrame:
     """doc_id, node, root, class_doc, class_node, class_size of every row of ``docs`` (doc_id, text).
 
     (class_doc, class_node) is the least row of the class, its representative."""
-    spark = prepare(docs.sparkSession)
-    rows = keyed(docs)
+    with arrow_bytes(prepare(docs.sparkSession), BATCH_BYTES):
+        return _classes(keyed(docs))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
     idf = spark.sparkContext.broadcast(
         idf_table(accumulate(rows.select("text"), count_features, BUCKETS + 1)))
     sampler = Sampler()
