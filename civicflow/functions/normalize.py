@@ -10,12 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicflow.functions.dates import lenient_day, lenient_timestamp
+
 YEAR_MONTH = r"^\d{4}-\d{2}$"
 
-# Text formats tried after the ISO-8601 cast, in order.
-TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm:ss", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy", "yyyy/MM/dd",
-                     "yyyyMMdd"]
-DATE_FORMATS = ["dd.MM.yyyy", "yyyy/MM/dd", "yyyyMMdd", "yyyy-MM"]
+#: ISO spellings, read as they are; all others go through the grammar of ``dates``.
+ISO = r"^\d{4}-\d{2}-\d{2}($|[T ])"
 
 
 def _c(c) -> Column:
@@ -30,9 +30,7 @@ def blank_to_null(c) -> Column:
 def ts(c) -> Column:
     """NRM-2: lenient timestamp; blank → NULL.  See ``ts_invalid``."""
     s = blank_to_null(c)
-    tries = [s.try_cast(T.TimestampType())]
-    tries += [F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS]
-    return F.coalesce(*tries)
+    return F.coalesce(F.when(s.rlike(ISO), s.try_cast(T.TimestampType())), lenient_timestamp(s))
 
 
 def ts_invalid(c) -> Column:
@@ -43,11 +41,9 @@ def ts_invalid(c) -> Column:
 
 def day(c) -> Column:
     """NRM-3: date part.  The leading ``yyyy-MM-dd`` of the text is used as
-    is, so a zone offset never shifts the day; then other formats."""
+    is, so a zone offset never shifts the day; then other spellings."""
     s = blank_to_null(c)
-    tries = [F.substring(s, 1, 10).try_cast(T.DateType())]
-    tries += [F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in DATE_FORMATS]
-    return F.coalesce(*tries)
+    return F.coalesce(F.when(s.rlike(ISO), F.substring(s, 1, 10).try_cast(T.DateType())), lenient_day(s))
 
 
 def day_invalid(c) -> Column:
@@ -58,10 +54,8 @@ def year_month(c) -> Column:
     """NRM-4: trimmed ``YYYY-MM`` kept; other parseable dates reformatted;
     anything else NULL."""
     s = F.trim(_c(c).cast("string"))
-    parsed = F.coalesce(s.try_cast(T.TimestampType()),
-                        *[F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS])
     return (F.when(s.rlike(YEAR_MONTH), s)
-            .when(s != "", F.date_format(parsed, "yyyy-MM")))
+            .when(s != "", F.date_format(day(s), "yyyy-MM")))
 
 
 def simple_list(raw, key: str) -> Column:

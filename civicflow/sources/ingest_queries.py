@@ -17,6 +17,7 @@ import threading
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicflow.functions import normalize as N
 from civicflow.operators.flatten import ENTRY
 from civicflow.plans.common import Tables
 from civicflow.plans.registry import query
@@ -497,6 +498,26 @@ SELECT id, register_number, 'page-' || CAST(CAST(floor(id / 10) AS INT) AS VARCH
 FROM register_entry"""
 
 
+#: Spellings that ``nrm_dates`` writes and reads, as format patterns.
+SPELLINGS = ["yyyy-MM-dd", "d MMMM yyyy", "MMM d, yyyy", "M/d/yyyy", "yyyy/M/d", "yyyyMMdd",
+             "EEEE, d MMM yyyy", "dd-MMM-yy", "M.d.yyyy", "yyyy MMM d", "MMMM d'th', yyyy",
+             "M-d-yyyy HH:mm"]
+
+
+@query("nrm_dates", section=S, oracle="""
+SELECT id, publication_date AS day, strftime(publication_date, '%Y-%m') AS year_month,
+       false AS unreadable
+FROM draft_bill""")
+def nrm_dates(t: Tables) -> DataFrame:
+    """Every bill's date, written in one of the spellings and read again by NRM-3 and NRM-4."""
+    number = F.pmod("id", F.lit(len(SPELLINGS)))
+    text = F.coalesce(*[F.when(number == i, F.date_format("publication_date", f))
+                        for i, f in enumerate(SPELLINGS)])
+    return t["draft_bill"].select("id", text.alias("text")).select(
+        "id", N.day("text").alias("day"), N.year_month("text").alias("year_month"),
+        F.coalesce(N.day_invalid("text"), F.lit(False)).alias("unreadable"))
+
+
 @query("src_rejects", section=S, oracle=f"""
 WITH docs AS ({_FAULTY}), cut AS (SELECT page, string_agg(json, ',' ORDER BY id) AS body FROM docs GROUP BY page),
 broken AS (SELECT page FROM cut WHERE CAST(replace(page, 'page-', '') AS INT) % 6 = 5),
