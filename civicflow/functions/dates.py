@@ -98,16 +98,17 @@ def _split_run(c: Column) -> Column:
 def lenient_day(s: Column) -> Column:
     """The date of a spelling, NULL if it is none."""
     body = F.trim(F.regexp_replace(F.lower(F.trim(s)), TIME, ""))
-    tokens = F.when(body.rlike(_DAY), F.regexp_extract_all(body, F.lit(r"([a-z]+|\d+)"), F.lit(1)))
+
+    def tokens(b: Column) -> Column:
+        return F.when(b.rlike(_DAY), F.regexp_extract_all(b, F.lit(r"([a-z]+|\d+)"), F.lit(1)))
 
     def dated(t: Column) -> Column:
         known = F.forall(t, lambda x: x.rlike(r"^\d") | x.isin(NAMES + WORDS))
         kept = F.filter(t, lambda x: x.rlike(r"^\d") | x.isin(NAMES))
-        run = (F.size(kept) == 1) & F.get(kept, F.lit(0)).rlike(r"^(\d{8}|\d{6})$")
-        return F.when(known, _let(_split_run(kept), lambda c: _date(
-            c, F.when(run, F.lit("ymd")).otherwise(_order(c)))))
+        return F.when(known, _let(kept, lambda k: _let(_split_run(k), lambda c: _let(
+            F.when(F.size(k) < F.size(c), "ymd").otherwise(_order(c)), lambda o: _date(c, o)))))
 
-    return _let(tokens, dated)
+    return _let(body, lambda b: _let(tokens(b), dated))
 
 
 def lenient_timestamp(s: Column) -> Column:
@@ -126,5 +127,5 @@ def lenient_timestamp(s: Column) -> Column:
     clock = F.concat(F.lit(" "), hour.cast("string"), F.lit(":"), group(2), F.lit(":"),
                      F.when(group(3) == "", "00").otherwise(group(3)),
                      F.when(group(4) == "", "").otherwise(F.concat(F.lit("."), group(4))), zone)
-    day = lenient_day(s).cast("string")
-    return (F.when(text.rlike(TIME), F.concat(day, clock)).otherwise(day)).try_cast(T.TimestampType())
+    clock = F.when(text.rlike(TIME), clock).otherwise("")
+    return F.concat(lenient_day(s).cast("string"), clock).try_cast(T.TimestampType())
