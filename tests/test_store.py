@@ -91,3 +91,11 @@ def test_chains_shuffled_forked_cut_and_cyclic(spark):
     gaps = {r["run"]: r["complete"] for r in chain_gaps(chain).collect()}
     assert gaps == {run: any(k[0] == run and v[1] == "last" for k, v in got.items()) for run in range(6)}
     assert page_chain(df.limit(0)).count() == 0
+
+
+def test_cluster_broadcast_threshold_is_kept(spark):
+    """The package sets no broadcast threshold of its own over the cluster's."""
+    from civicflow.session import _DEFAULTS, configure
+    configure(spark)
+    assert "spark.sql.adaptive.autoBroadcastJoinThreshold" not in _DEFAULTS
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
