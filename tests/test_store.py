@@ -99,3 +99,21 @@ def test_cluster_broadcast_threshold_is_kept(spark):
     configure(spark)
     assert "spark.sql.adaptive.autoBroadcastJoinThreshold" not in _DEFAULTS
     assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
+def test_stage_bounds_row_groups(spark):
+    """Staged documents are written in row groups of at most the given rows."""
+    from pyarrow import parquet
+    from civicflow.sources.store import stage
+    got = stage(spark.range(0, 100, numPartitions=2), "bounded", 16)
+    files = [f.removeprefix("file://") for f in got.inputFiles()]
+    sizes = [m.row_group(i).num_rows for m in map(parquet.read_metadata, files) for i in range(m.num_row_groups)]
+    assert max(sizes) <= 16 and sum(sizes) == 100
+
+
+def test_stage_union_keeps_every_part(spark):
+    """More parts than one job takes: all rows of all parts, none of them twice."""
+    from civicflow.sources.store import UNION_PARTS, stage_union
+    n = 2 * UNION_PARTS + 1
+    got = stage_union([spark.range(i, i + 2) for i in range(n)], "union")
+    assert sorted(r.id for r in got.collect()) == sorted([*range(n), *range(1, n + 1)])
