@@ -25,34 +25,41 @@ from civicflow.sources.store import stage
 FIRST = ""
 
 
+def _shuffled(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join that never broadcasts: every round joins whole tables, and a side that
+    is just small enough would go through the driver once a round."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def page_chain(pages: DataFrame) -> DataFrame:
     """(run, page, rank, state) of landed ``pages`` (run, page, cursor, next_cursor)."""
     rows = pages.select("run", "page", F.coalesce("cursor", F.lit(FIRST)).alias("at"),
                         F.nullif(F.col("next_cursor"), F.lit(FIRST)).alias("to"))
     firsts = rows.groupBy("run", "at").agg(F.min("page").alias("page"))
     # One page per cursor; equal rows of one page name count once.
-    nodes = stage(rows.join(firsts, ["run", "at", "page"]).groupBy("run", "at", "page").agg(F.min("to").alias("to")),
-                  "chain-nodes")
+    nodes = stage(_shuffled(rows, firsts, ["run", "at", "page"]).groupBy("run", "at", "page").agg(
+        F.min("to").alias("to")), "chain-nodes")
     known = nodes.select("run", F.col("at").alias("to"))
-    jumps = nodes.where(F.col("to") != F.col("at")).join(known, ["run", "to"]).select("run", "at", "to")
+    jumps = _shuffled(nodes.where(F.col("to") != F.col("at")), known, ["run", "to"]).select("run", "at", "to")
     ranked = nodes.where(F.col("at") == FIRST).select("run", "at", F.lit(0).cast("long").alias("rank"))
     jumps, ranked, step, n = stage(jumps, "chain-jumps"), stage(ranked, "chain-ranks"), 1, -1
     while (now := ranked.count()) != n:
         n = now
-        ahead = ranked.join(jumps, ["run", "at"]).select(
+        ahead = _shuffled(ranked, jumps, ["run", "at"]).select(
             "run", F.col("to").alias("at"), (F.col("rank") + step).alias("rank"))
         # On a cycle a page is met again with a higher rank; the first one counts.
         ranked = stage(ranked.unionByName(ahead).groupBy("run", "at").agg(F.min("rank").alias("rank")), "chain-ranks")
         farther = jumps.select("run", F.col("at").alias("to"), F.col("to").alias("far"))
-        jumps = stage(jumps.join(farther, ["run", "to"]).select("run", "at", F.col("far").alias("to")), "chain-jumps")
+        jumps = stage(_shuffled(jumps, farther, ["run", "to"]).select("run", "at", F.col("far").alias("to")),
+                      "chain-jumps")
         step *= 2
     after = ranked.select("run", F.col("at").alias("to"), F.col("rank").alias("to_rank"))
     state = (F.when(F.col("to").isNull(), "last").when(F.col("to_rank").isNull(), "gap")
              .when(F.col("to_rank") <= F.col("rank"), "repeated").otherwise("chained"))
-    placed = nodes.join(ranked, ["run", "at"], "left").join(after, ["run", "to"], "left").select(
+    placed = _shuffled(_shuffled(nodes, ranked, ["run", "at"], "left"), after, ["run", "to"], "left").select(
         "run", "page", "at", "rank", F.when(F.col("rank").isNull(), "unreachable").otherwise(state).alias("state"))
-    rest = rows.select("run", "page", "at").distinct().join(placed.select("run", "page", "at"),
-                                                            ["run", "page", "at"], "left_anti")
+    rest = _shuffled(rows.select("run", "page", "at").distinct(), placed.select("run", "page", "at"),
+                     ["run", "page", "at"], "left_anti")
     return placed.select("run", "page", "rank", "state").unionByName(rest.select(
         "run", "page", F.lit(None).cast("long").alias("rank"), F.lit("duplicate").alias("state")))
 
