@@ -20,9 +20,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Coalesce shuffle partitions to the advisory size (64 MB), not to the
-    # default parallelism: fewer, fuller tasks on a busy cluster.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Small shuffles are dealt to all cores; larger ones are merged up to PARTITION_BYTES.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # No broadcast threshold of our own: a plan of this package holds dozens of
     # joins, and the relations of all broadcasts of a plan are in the driver and in
@@ -33,6 +32,12 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Bytes up to which AQE merges shuffle partitions; a cluster's smaller size holds.  They are
+#: counted as written, compressed: nested documents and register rows grow some tenfold in a task, and
+#: a stage of many joins sorts all its sides at once.  Spark's 64 MB took a gigabyte per task.
+PARTITION_BYTES = 8 << 20
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 
 def build_session(master: str | None = None, app: str = "civicflow",
                   shuffle_partitions: int | None = None,
@@ -43,7 +48,7 @@ def build_session(master: str | None = None, app: str = "civicflow",
         if master.startswith("local"):
             # Local mode: the driver JVM is the only executor.
             builder = builder.config("spark.driver.memory", "16g")
-    for k, v in _DEFAULTS.items():
+    for k, v in {**_DEFAULTS, _ADVISORY: str(PARTITION_BYTES)}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -64,10 +69,17 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # static conf on a running session
             pass
+    if _bytes(spark, spark.conf.get(_ADVISORY)) > PARTITION_BYTES:
+        spark.conf.set(_ADVISORY, str(PARTITION_BYTES))
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _bytes(spark: SparkSession, size: str) -> int:
+    """Bytes of a size such as ``64MB``, as Spark reads it."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)
