@@ -23,6 +23,7 @@
    feature has at least ``t / (1 + t) * (W + W')`` of either node's weight at and after it.  So
    rows (feature, node) of the rarest ``1 - t`` of each node's weight take the place of the
    bands, pairs that fail the bound are not formed, and the same rounds find all links among these nodes.
+   Features of one document only, nearly all of an edited copy's rarest, are common to no pair and give no row.
 6. Links and copies give connected components by alternating large and small stars.
 
 Every table between the steps is written below the shared checkpoint folder.
@@ -205,7 +206,8 @@ def _totals(weight: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def prefixes(feature: np.ndarray, count: np.ndarray, offsets: np.ndarray, idf: np.ndarray):
     """row, feature, weight before it, of the rarest features that hold 1 - SIMILARITY of a row's weight.
 
-    The order, by idf and then by hash, is the same for all rows."""
+    The order, by idf and then by hash, is the same for all rows.  A feature that the counters give to one
+    document weighs before the others, but no other row can share it: it is left out."""
     weight, rare = weights(feature, count, idf), idf[_bucket(feature)]
     row = owners(offsets)
     order = np.lexsort((feature, -rare, row))
@@ -213,7 +215,8 @@ def prefixes(feature: np.ndarray, count: np.ndarray, offsets: np.ndarray, idf: n
     total = _totals(weight, offsets)
     start = np.concatenate([[0.0], ends])[offsets[:-1]]
     before = ends - weight[order] - start[row]
-    keep = before <= (1 - SIMILARITY + SLACK) * total[row]
+    shared = rare[order] < 1 + DAMP - SLACK
+    keep = (before <= (1 - SIMILARITY + SLACK) * total[row]) & shared
     return row[keep], feature[order][keep], before[keep], total
 
 
@@ -296,13 +299,16 @@ def _links(state: DataFrame, pivots: DataFrame, texts: DataFrame, idf) -> DataFr
     return staged(sims.where(F.col("sim") >= SIMILARITY).select("node", "pivot"), "links")
 
 
-def _relabelled(rows: DataFrame, found: DataFrame, roots: DataFrame) -> DataFrame:
-    """``rows`` with the roots that the links ``found`` give; ``roots`` has each node's present one."""
+def _merged(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """old, new root of the components that the links ``found`` join; ``roots`` has each node's present one."""
     old = roots.select(F.col("node").alias("n"), F.col("root").alias("r"))
     ends = (found.join(old, F.col("node") == F.col("n")).select("pivot", F.col("r").alias("a"))
             .join(old, F.col("pivot") == F.col("n")).select(F.col("a").alias("node"), F.col("r").alias("pivot")))
-    merged = components(ends.where("node <> pivot").distinct()).select(
-        F.col("node").alias("old"), F.col("root").alias("new"))
+    return components(ends.where("node <> pivot")).select(F.col("node").alias("old"), F.col("root").alias("new"))
+
+
+def _relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """``rows`` with the new roots of ``merged``."""
     return rows.join(merged, F.col("root") == F.col("old"), "left").withColumn(
         "root", F.coalesce("new", "root")).drop("old", "new")
 
@@ -327,10 +333,10 @@ def _rounds(state: DataFrame, texts: DataFrame, idf, edges: list, crowds: bool)
         state = rows.join(pivots.select("band", F.col("pivot_node").alias("node")), ["band", "node"], "left_anti")
         if not found.isEmpty():
             edges.append(found)
-            roots = rows.select("node", "root").distinct()
-            state = _relabelled(state, found, roots)
+            merged = _merged(found, rows.select("node", "root").distinct())
+            state = _relabelled(state, merged)
             if crowd is not None:
-                crowd = staged(_relabelled(crowd, found, roots), "crowd")
+                crowd = staged(_relabelled(crowd, merged), "crowd")
         state = staged(state.select(*STATE), "members")
         number, pivots_of = number + 1, max(2 * pivots_of, PIVOTS)
 
@@ -359,12 +365,11 @@ def components(links: DataFrame) -> DataFrame:
     """node, root of all nodes of ``links`` (node, pivot): the least node of its component.
 
     Alternates large stars (neighbours above a node join its least neighbour)
-    and small stars (neighbours below join the least of them) until nothing
-    changes; minima are partial aggregates, neighbours are never gathered."""
+    and small stars (neighbours below join the least of them) until only stars are
+    left, whose centres are minima; minima are partial aggregates, neighbours are never gathered."""
     edges = staged(links.select(F.greatest("node", "pivot").alias("u"),
                                 F.least("node", "pivot").alias("v")).distinct(), "edges")
-    state = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m"))
@@ -375,14 +380,18 @@ def components(links: DataFrame) -> DataFrame:
         small = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges = staged(small, "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each upper node of ``edges`` (u > v) has one edge and is no lower node of another."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up + down > 1 AND up > 0").isEmpty()
+
+
 def node_key(text: Column) -> Column:
     """128-bit key of a whole text; equal texts are one node."""
     return F.unhex(F.md5(F.encode(text, "UTF-8")))

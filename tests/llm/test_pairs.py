@@ -291,3 +291,33 @@ def test_prefix_bound_keeps_every_similar_pair():
                 assert any(min(weight[i] - x, weight[j] - kept[j][k]) >= t / (1 + t) * (weight[i] + weight[j])
                            for k, x in kept[i].items() if k in kept[j])
     assert near > 10
+
+
+def test_features_of_one_document_give_no_prefix_row():
+    rng = random.Random(33)
+    base = _words(60, rng)
+    texts = []
+    for k in range(40):                                 # every copy has shingles of its own
+        copy = list(base)
+        for j in rng.sample(range(60), 3):
+            copy[j] = f"own{k}x{j}"
+        texts.append(" ".join(copy))
+    f, c, offsets = near_dedup.features(pa.array(texts, pa.large_string()))
+    total = np.zeros(near_dedup.BUCKETS + 1, np.int64)
+    near_dedup.count_features(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), total)
+    row, feature, before, _ = near_dedup.prefixes(f, c, offsets, near_dedup.idf_table(total))
+    df = total[near_dedup._bucket(feature)]
+    assert len(df) and df.min() >= 2
+    # What stands before a row's first feature counts the weight of those that are left out.
+    assert before.min() > 0
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    written = []
+    staged = near_dedup.staged
+    monkeypatch.setattr(near_dedup, "staged", lambda df, name: written.append(name) or staged(df, name))
+    pairs = [(bytes([g, k]), bytes([g, 0])) for g in range(3) for k in range(1, 9)]
+    links = spark.createDataFrame(pairs, "node binary, pivot binary")
+    got = {bytes(r.node): bytes(r.root) for r in near_dedup.components(links).collect()}
+    assert got == {bytes([g, k]): bytes([g, 0]) for g in range(3) for k in range(9)}
+    assert written == ["edges"]
