@@ -141,3 +141,17 @@ def test_merged_partitions_are_bounded(spark):
         assert spark.conf.get(first) == "true"
     finally:
         spark.conf.set(key, before)
+
+
+def test_joined_rows_are_the_joins_and_a_stage_joins_few(spark):
+    from civicflow.sources.nest import JOINED, joined
+
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "again"), (None, "c")], "k int, name string")
+    parts = [spark.createDataFrame([(1, i), (2, i), (2, -i), (None, i)], f"k int, v{i} int") for i in range(2 * JOINED + 1)]
+    plain = docs
+    for part in parts:
+        plain = plain.join(part, "k", "left")
+    got = joined(docs, parts, "k")
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert got.columns == plain.columns and rows(got) == rows(plain)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") <= JOINED
