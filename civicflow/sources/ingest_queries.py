@@ -28,7 +28,7 @@ from civicflow.sources.deltas import maintained_views, refresh_changed
 from civicflow.sources.nest import nest_documents, pages_text
 from civicflow.session import shared_path
 from civicflow.operators.flatten import flatten_entries
-from civicflow.sources.store import (ENTRY_ROWS, PAGE_ROWS, entry_rejects, ingest_to, placed_rejects, stage,
+from civicflow.sources.store import (ENTRY_ROWS, PAGE_ROWS, dealt, entry_rejects, ingest_to, placed_rejects, stage,
                                      upsert_entries)
 
 S = "ingest"
@@ -542,8 +542,9 @@ def src_rejects(t: Tables) -> DataFrame:
     broken = F.regexp_replace("page", "page-", "").cast("int") % 6 == 5
     text = whole.select(F.col("page").alias("_page"), F.when(broken, F.substring("value", 1, 20)).otherwise(
         F.col("value")).alias("value"))
-    found, unreadable = P.split_pages(stage(P.pages_from_text(text), "pages"))
-    entries = stage(P.dedupe_entries(found), "entries")
+    # Pages of ten entries.
+    found, unreadable = P.split_pages(stage(P.pages_from_text(dealt(text)), "pages", ENTRY_ROWS // 4))
+    entries = stage(dealt(P.dedupe_entries(found)), "entries", ENTRY_ROWS)
     tables, _, rejects = flatten_entries(entries)
     rejects = stage(entry_rejects(entries, tables, rejects), "rejects")
     rows = placed_rejects(entries, rejects, unreadable)

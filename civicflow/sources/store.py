@@ -95,6 +95,14 @@ def stage(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt to twice as many tasks as there are cores.
+
+    Texts of one form pack so well that Spark puts very many, by their bytes, into one task,
+    but each takes its time to parse."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def stage_union(parts: list[DataFrame], name: str, parallel: int = 4) -> DataFrame:
     """The union of many small results of one schema, ``UNION_PARTS`` of them to a job.
 

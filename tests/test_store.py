@@ -155,3 +155,19 @@ def test_joined_rows_are_the_joins_and_a_stage_joins_few(spark):
     rows = lambda df: sorted(map(repr, df.collect()))
     assert got.columns == plain.columns and rows(got) == rows(plain)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") <= JOINED
+
+
+def test_pages_with_faults_are_parsed_by_all_cores(spark, tables, monkeypatch):
+    import pytest
+    from civicflow.sources import ingest_queries as Q
+
+    class Staged(Exception):
+        pass
+
+    def stop(df, name, group_rows=None):
+        raise Staged(df.rdd.getNumPartitions(), group_rows)
+    monkeypatch.setattr(Q, "stage", stop)
+    with pytest.raises(Staged) as found:
+        Q.src_rejects(tables)
+    parts, group_rows = found.value.args
+    assert parts >= spark.sparkContext.defaultParallelism and group_rows
